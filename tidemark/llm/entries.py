@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, mixing
+from tidemark.llm import decontaminate, html_text, language_id, mixing, secrets, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": html_text.op1_html_extraction,
+    "op3_exact_topk": topk.op3_exact_topk,
+    "op4_secret_scans": secrets.op4_secret_scans,
+    "op5_language_id": language_id.op5_language_id,
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
+    "op7_token_counts": token_counts.op7_token_counts,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_exact_topk": topk.OP3_SQL,
     "op6_benchmark_decontamination": decontaminate.OP6_SQL,
 }
