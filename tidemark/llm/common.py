@@ -4,13 +4,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+PACKAGE = Path(__file__).resolve().parents[1]
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package's modules to the executors, once a Spark context: functions that run there are found in them."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    at = Path(tempfile.mkdtemp(prefix="tidemark-")) / f"{PACKAGE.name}.zip"
+    with zipfile.ZipFile(at, "w") as z:
+        for f in sorted(PACKAGE.rglob("*.py")):
+            z.write(f, f"{PACKAGE.name}/{f.relative_to(PACKAGE)}")
+    context.addPyFile(str(at))
+    context._tidemark_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
