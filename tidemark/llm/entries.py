@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, html_text, language_id, mixing, secrets, token_counts, topk, toxicity
+from tidemark.llm import decontaminate, html_text, jaccard_join, language_id, mixing, secrets, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": html_text.op1_html_extraction,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": language_id.op5_language_id,
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_ngram_jaccard_join": jaccard_join.op8_ngram_jaccard_join,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_mixing": mixing.op10_mixing,
 }

@@ -76,7 +76,7 @@ def _router(pivots: np.ndarray, ids: np.ndarray, cells: pd.DataFrame, k: int):
 
 
 def _solver(width: int, k: int):
-    def run(key, queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(block):
             return pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
         block = block.sort_values("vec_id", kind="stable")
