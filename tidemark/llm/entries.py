@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, html_text, jaccard_join, language_id, mixing, secrets, token_counts, topk, toxicity
+from tidemark.llm import decontaminate, html_text, jaccard_join, language_id, licenses, mixing, secrets, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": html_text.op1_html_extraction,
+    "op2_license_scans": licenses.op2_license_scans,
     "op3_exact_topk": topk.op3_exact_topk,
     "op4_secret_scans": secrets.op4_secret_scans,
     "op5_language_id": language_id.op5_language_id,

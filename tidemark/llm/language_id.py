@@ -147,27 +147,27 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS_
     return Filters.build(rows)
 
 
-def _predictor(held):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filters = held.value
-        for b in batches:
-            found = [filters.predict(t) for t in b["text"]]
-            yield b.drop(columns="text").assign(lang_pred=[x[0] for x in found], score=[x[1] for x in found])
+def prediction(spark: SparkSession, filters: Filters):
+    """A column function of text: lang_pred and score. The filters (at most 4 MB) are broadcast."""
+    held = spark.sparkContext.broadcast(filters)
 
-    return run
+    @F.pandas_udf("lang_pred string, score double")
+    def predicted(texts: pd.Series) -> pd.DataFrame:
+        found = [held.value.predict(t) for t in texts]
+        return pd.DataFrame({"lang_pred": [x[0] for x in found], "score": [x[1] for x in found]})
+
+    return predicted
 
 
 def predict(docs: DataFrame, filters: Filters) -> DataFrame:
-    """``docs (doc_id, text)`` with lang_pred and score; other columns are dropped.
+    """``docs`` with lang_pred and score; a column of either name is replaced.
 
     Null texts and texts without letters are ``und`` with score 0. Whole texts count, in pieces. Equal rows each get
-    a row; an empty table gives an empty result. The filters (at most 4 MB) are broadcast.
+    a row; an empty table gives an empty result.
     """
-    kind = docs.schema["doc_id"].dataType
-    held = docs.sparkSession.sparkContext.broadcast(filters)
-    out = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
-    out = out.mapInPandas(_predictor(held), "doc_id string, lang_pred string, score double")
-    return out.withColumn("doc_id", F.col("doc_id").cast(kind))
+    found = prediction(docs.sparkSession, filters)(F.col("text"))
+    kept = docs.drop("lang_pred", "score").withColumn("_found", found)
+    return kept.select("*", "_found.lang_pred", "_found.score").drop("_found")
 
 
 def held_out(doc_id) -> F.Column:
@@ -178,4 +178,4 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of all documents; learned from those that are not held out. A null doc_id is not held out, and teaches nothing."""
     docs = table(spark, sf_dir, "documents")
     filters = fit(docs.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")))
-    return predict(docs, filters).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+    return predict(docs.select("doc_id", "text"), filters).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
