@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import Scratch, table
 
 SIZES = (3, 4)
 SLOT_BITS = 19
@@ -139,7 +139,7 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS_
     sampled = F.create_map(*[x for name, n in totals.items() for x in (F.lit(name), F.lit(float(min(n, sample_docs))))])
     held = counts.withColumn("share", F.col("n") / sampled[F.col("lang")]).where((F.col("share") >= 0.01) & (F.col("n") >= F.when(sampled[F.col("lang")] >= 20, 2).otherwise(1)))
     most = held.groupBy("gram").agg(F.max("share").alias("most"))
-    chosen = held.join(most, "gram").where(F.col("share") >= F.col("most") / 5)
+    chosen = Scratch(labelled.sparkSession).table(held.join(most, "gram").where(F.col("share") >= F.col("most") / 5), "grams")
     rows = {}
     for name in totals:
         top = chosen.where(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(grams).select("gram").toPandas()
