@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
@@ -11,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.workspace import Scratch as Scratch
+
 
 PACKAGE = Path(__file__).resolve().parents[1]
 
@@ -36,29 +37,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once a row, however often body's lambdas use it."""
     return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-        found = spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/")
-
-
-class Scratch:
-    """Tables of one job in the shared folder. A lost executor is recovered from them, and they cut the lineage."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}"
-
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.root}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
-
-    def drop(self, name: str) -> None:
-        """Frees a table that no later read needs."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
