@@ -31,9 +31,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Drops documents that hold a window of a benchmark item."""
     key = F.xxhash64("doc_id", "text")
     report = decontaminate.report(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    gone = Scratch(spark).table(report.where("contaminated").select(F.col("doc_id").alias("gone")).distinct(), "contaminated")
+    gone = Scratch(spark).table(report.where("contaminated").select(F.col("doc_id").alias("_gone_key")).distinct(), "contaminated")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone
-    return docs.join(gone, key == F.col("gone"), "left_anti")
+    return docs.join(gone, key == F.col("_gone_key"), "left_anti")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

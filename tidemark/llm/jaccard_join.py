@@ -294,9 +294,9 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
     found = Scratch(docs.sparkSession).table(near_duplicates(docs, similarity, recall).select("doc_id", "keeps"), "kept")
     per_id = found.groupBy("doc_id").agg(F.max("keeps").alias("keeps"), F.count(F.lit(1)).alias("n"))
     last = F.lit(2**63 - 1)
-    gone = per_id.where(~F.col("keeps")).select(F.coalesce(F.col("doc_id").cast("long"), last).alias("gone"))
+    gone = per_id.where(~F.col("keeps")).select(F.coalesce(F.col("doc_id").cast("long"), last).alias("_gone_id"))
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    kept = docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), last) == F.col("gone"), "left_anti")
+    kept = docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), last) == F.col("_gone_id"), "left_anti")
     return kept if per_id.where("n > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 

@@ -75,8 +75,10 @@ def _counter(path: str, ranks_path: str | None):
 
 def _encode(path: str, ranks_path: str | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count = _counter(path, ranks_path)
+        count, seen = _counter(path, ranks_path), set()
         for b in batches:
+            # Rows that repeat an id and its text come to one task.
+            b = b[[d not in seen and not seen.add(d) for d in b["digest"]]]
             yield pd.DataFrame({"digest": b["digest"], "n_tokens": [count(t) for t in b["text"]]})
 
     return run
@@ -106,7 +108,7 @@ def count_tokens(docs: DataFrame, cache_dir: str, tokenizer: str = TOKENIZER, ra
         known = spark.read.schema(schema).parquet(cache_dir).where(F.col("version") == version).dropDuplicates(["digest"])
     else:
         known = spark.createDataFrame([], schema)
-    # The smallest doc_id stands for its key; a key without ids (all null) is encoded for each of its rows.
+    # The smallest doc_id stands for its key.
     wanted = keyed.groupBy("digest").agg(F.min("doc_id").alias("first_id")).join(known, "digest", "left_anti")
     wanted = wanted.withColumnRenamed("digest", "wanted")
     misses = keyed.join(wanted.hint("shuffle_hash"), (F.col("digest") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).select("digest", "text")
