@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,12 +21,17 @@ PREFIXES = (4, 5, 6, 7)
 #: About so many labelled examples of either label are fitted on, chosen by a hash of their ids.
 SAMPLE_DOCS = 4_000
 TERMS = 3_000
-LEAST_CHI2 = 20.0
+#: About twice the logarithm of how many terms a sample has: few are kept by chance.
+LEAST_SURPRISE = 18.0
+#: A term is this many times as common under one label as under the other.
+LEAST_RATIO = 8.0
 NEIGHBOURS = 12
 BLOCK = 64
 SHARPNESS = 4.0
 THRESHOLD = 0.3
+#: So many words, and vectors, are remembered in a task.
 KNOWN_WORDS = 200_000
+KNOWN_VECTORS = 50_000
 
 
 def word_terms(word: str) -> list[str]:
@@ -53,12 +59,12 @@ class Terms:
         known, at, out = self.known, self.at, {}
         if len(known) > KNOWN_WORDS:
             known.clear()
-        for word in WORD.findall(text.lower()):
+        for word, n in Counter(WORD.findall(text.lower())).items():
             found = known.get(word)
             if found is None:
                 found = known[word] = tuple(at[t] for t in word_terms(word) if t in at)
             for i in found:
-                out[i] = out.get(i, 0) + 1
+                out[i] = out.get(i, 0) + n
         return out
 
 
@@ -196,7 +202,11 @@ def build_index(terms: list[str], doc_ids: list[int], counts: list[dict[int, int
     held.doc = np.array([p[2] for p in posts], np.int64)
     held.weight = np.array([p[3] for p in posts])
     held.toxic, held.total, held.example = (np.array([v[2][i] for v in vectors], float if i < 2 else np.int64) for i in range(3))
-    raw = np.array([held.vote(*held.vector(c), without=(t * w, w))[0] for c, t, w in zip(counts, toxic, weights, strict=True)])
+    votes: dict[tuple, float] = {}
+    for c, t, w in zip(counts, toxic, weights, strict=True):
+        if (key := (t, w, *sorted(c.items()))) not in votes:
+            votes[key] = held.vote(*held.vector(c), without=(t * w, w))[0]
+    raw = np.array([votes[t, w, *sorted(c.items())] for c, t, w in zip(counts, toxic, weights, strict=True)])
     if n:
         # Weights count examples of the table; the pools' half example is one of the sample.
         scale = np.array(weights) / max(1e-12, min(weights))
@@ -208,8 +218,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, term
     """An index over a sample of ``labels (doc_id, toxic)`` with their texts of ``docs (doc_id, text)``.
 
     Each label's documents get in with a chance of sample_docs to their number, by a hash of doc_id, and count as many times as
-    they stand for. Terms are words and word beginnings; those kept are at most ``terms`` by chi squared against the
-    label, none under LEAST_CHI2. Labels other than 0 and 1, null ids and null texts teach nothing; a doc_id
+    they stand for. Terms are words and word beginnings; those kept are at most ``terms`` by their log-likelihood ratio
+    against the label (which holds for rare terms too), none under LEAST_SURPRISE and all LEAST_RATIO times as common under one label as under the other. Labels other than 0 and 1, null ids and null texts teach nothing; a doc_id
     labelled twice is toxic if one label says so.
     """
     spark = docs.sparkSession
@@ -226,9 +236,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, term
     pos, neg = n.get(1, 0), n.get(0, 0)
     held = sample.mapInPandas(_term_batches, "term string, clean bigint, toxic bigint").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     with_, both = F.col("clean") + F.col("toxic"), float(pos + neg)
-    off = F.col("toxic") * float(neg) - F.col("clean") * float(pos)
-    chi2 = both * off * off / (with_ * (both - with_ + 1e-9) * float(max(1, pos)) * float(max(1, neg)))
-    best = held.where(with_ >= 3).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(terms)
+    cell = lambda seen, row, total: F.when(seen > 0, seen * F.log(seen * both / (row * float(total)))).otherwise(0.0)
+    surprise = 2 * sum(
+        (cell(F.col(c), with_, n_c) + cell(float(n_c) - F.col(c), both - with_, n_c) for c, n_c in (("toxic", pos), ("clean", neg))), F.lit(0.0)
+    )
+    rate = lambda c, n: (F.col(c) + 0.5) / (n + 1)
+    ratio = F.abs(F.log(rate("toxic", pos) / rate("clean", neg)))
+    best = held.where((with_ >= 3) & (ratio >= math.log(LEAST_RATIO))).withColumn("surprise", surprise).where(F.col("surprise") >= LEAST_SURPRISE)
+    best = best.orderBy(F.desc("surprise"), "term").limit(terms)
     names = [r["term"] for r in best.collect()]
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -251,9 +266,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, term
 def _scorer(held):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = held.value
-        reader = Terms(index.terms)
+        reader, known = Terms(index.terms), {}
+
+        def scored(text: str) -> tuple[float, int | None, float]:
+            counts = reader.of(text)
+            key = tuple(sorted(counts.items()))
+            if key not in known:
+                if len(known) > KNOWN_VECTORS:
+                    known.clear()
+                known[key] = index.score(counts)
+            return known[key]
+
         for b in batches:
-            found = [index.score(reader.of(t)) for t in b["text"]]
+            found = [scored(t) for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "score": [x[0] for x in found], "nearest_example": pd.array([x[1] for x in found], "Int64"), "cosine": [x[2] for x in found]})
 
     return run
