@@ -9,7 +9,7 @@ from tidemark.llm import decontaminate, jaccard_join, language_id, mixing, secre
 from tidemark.llm.common import Scratch, table
 
 #: A text whose best language knows fewer of its n-grams than this is in none of the learned languages.
-LEAST_LANGUAGE_SCORE = 0.2
+LEAST_LANGUAGE_SCORE = 0.05
 #: Up to so many keys are broadcast; more are joined.
 BROADCAST_KEYS = 1_000_000
 

@@ -68,7 +68,7 @@ def _unwanted(tag: str, attrs: dict[str, str]) -> bool:
             if tag == "article" and words[0] in ("comment", "reply", "teaser", "promo", "ad", "related"):
                 return True
             continue
-        if MARKS.intersection(words) or "".join(words) in HEADERS or (words[-1] == "header" and words[0] in ("site", "page", "main", "global", "top")):
+        if MARKS.intersection([*words, "".join(words)]) or "".join(words) in HEADERS or (words[-1] == "header" and words[0] in ("site", "page", "main", "global", "top")):
             return True
     return False
 

@@ -303,3 +303,18 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes and links of all documents."""
     return near_duplicates(table(spark, sf_dir, "documents")).drop("keeps")
+
+
+OP8_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g, least(len(w), 5) AS m FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.m = b.m AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y, k = nx.n AND k = ny.n AS same FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE k >= 0.8 * (nx.n + ny.n - k) - 1e-9),
+c AS (SELECT d.doc_id, least(d.doc_id, coalesce(min(l.y), d.doc_id)) AS copy_id FROM d LEFT JOIN l ON l.x = d.doc_id AND l.same GROUP BY d.doc_id),
+r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+k AS (SELECT x AS doc_id, min(y) AS class_id FROM r GROUP BY x),
+t AS (SELECT l.x AS doc_id, count(*) AS n_links, count(DISTINCT c.copy_id) FILTER (NOT l.same) AS n_links_distinct FROM l JOIN c ON c.doc_id = l.y GROUP BY l.x)
+SELECT d.doc_id, c.copy_id, k.class_id, coalesce(t.n_links, 0) AS n_links, coalesce(t.n_links_distinct, 0) AS n_links_distinct, coalesce(n.n, 0) AS n_shingles
+FROM d JOIN c USING (doc_id) JOIN k USING (doc_id) LEFT JOIN t USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

@@ -127,7 +127,8 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS_
     ``grams`` of the commonest. Rows with a null text or language teach nothing.
     """
     known = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    totals = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    # Counted without the texts, which a columnar scan then leaves unread.
+    totals = {r["lang"]: r["n"] for r in labelled.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     if not totals:
         return Filters.build({})
     if len(totals) > MAX_LANGUAGES:
