@@ -25,4 +25,5 @@ ORACLES: dict[str, str] = {
     "op3_exact_topk": topk.OP3_SQL,
     "op6_benchmark_decontamination": decontaminate.OP6_SQL,
     "op8_ngram_jaccard_join": jaccard_join.OP8_SQL,
+    "op10_mixing": mixing.OP10_SQL,
 }

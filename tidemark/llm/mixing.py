@@ -21,6 +21,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _lot(seed: int, *parts: str) -> Column:
+    """A number below 2^60 that any SQL engine can compute: the first digits of an MD5; nulls count as empty."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def source_targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """Adds ``target`` to ``(source, source_size)``: shares of the whole by weight, none above max_epochs times its size.
 
@@ -97,8 +103,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = M
     # Both a shard's rows and the number of shards grow as the root of a very large input.
     shards = max(1, n // max(shard_rows, int(n**0.5)))
     block = max(1, min(block_words, words // 10_000))
-    place = F.xxhash64(F.lit(seed), "doc_id", "size")
-    dealt = sized.select("*", F.pmod(place, F.lit(shards)).alias("shard"), F.xxhash64(F.lit(seed + 1), "doc_id", "size").alias("_order"))
+    dealt = sized.select("*", (_lot(seed, "doc_id", "size") % shards).alias("shard"), _lot(seed + 1, "doc_id", "size").alias("_order"))
 
     per_shard = dealt.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
     per_source = per_shard.groupBy("source").agg(F.sum("shard_size").alias("source_size"))
@@ -119,7 +124,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = M
         .withColumn("_words", quota_words)
         .withColumn("_passes", F.when(F.col("shard_size") > 0, F.expr("_words div shard_size")).otherwise(0))
         .withColumn("_rest", F.col("_words") - F.col("_passes") * F.col("shard_size"))
-        .withColumn("_from", F.when(F.col("shard_size") > 0, F.expr(f"(pmod(xxhash64({seed + 2}, source, shard), shard_size) div {block}) * {block}")).otherwise(0))
+        .withColumn("_lot", _lot(seed + 2, "source", "shard"))
+        .withColumn("_from", F.when(F.col("shard_size") > 0, F.expr(f"(_lot % shard_size) div {block} * {block}")).otherwise(0))
         .withColumn("_till", F.col("_from") + F.col("_rest"))
         .withColumn("taken", F.col("_passes") * F.col("size") + overlap(F.col("_from"), F.col("_till")) + overlap(F.lit(0), F.col("_till") - F.col("shard_size")))
         .select("doc_id", "source", "size", "source_size", "target", "taken", "shard")
@@ -129,3 +135,28 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = M
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents."""
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+OP10_SQL = r"""
+WITH z AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+g AS (SELECT count(*) AS n, CAST(coalesce(sum(size), 0) AS BIGINT) AS words, greatest(1, n // greatest(1000, CAST(floor(sqrt(n)) AS BIGINT))) AS shards, greatest(1, least(64, words // 10000)) AS block FROM z),
+d AS (SELECT z.*, CAST(concat('0x', substr(md5(concat('17:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', CAST(size AS VARCHAR))), 1, 15)) AS BIGINT) % shards AS shard,
+             CAST(concat('0x', substr(md5(concat('18:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', CAST(size AS VARCHAR))), 1, 15)) AS BIGINT) AS o FROM z, g),
+h AS (SELECT source, shard, CAST(sum(size) AS BIGINT) AS shard_size FROM d GROUP BY ALL),
+s0 AS (SELECT source, CAST(sum(shard_size) AS BIGINT) AS source_size FROM h GROUP BY source),
+s1 AS (SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight, 3 * source_size AS cap FROM s0),
+s2 AS (SELECT *, CAST(g.words - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+              / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s1, g),
+s3 AS (SELECT *, max(CASE WHEN cap / weight > level THEN level END) OVER () AS free FROM s2),
+s AS (SELECT source, source_size, CASE WHEN cap / weight <= level THEN CAST(cap AS DOUBLE) ELSE free * weight END AS target, CAST(round_even(words / block, 0) AS BIGINT) AS blocks FROM s3),
+q AS (SELECT source, target / (2 * k + 1) AS quotient, k, max(blocks) OVER () AS blocks FROM s, unnest(range(0, blocks)) AS u(k)),
+w AS (SELECT source, count(*) AS won FROM (SELECT *, row_number() OVER (ORDER BY quotient DESC, source, k) AS r FROM q) WHERE r <= blocks GROUP BY source),
+hq AS (SELECT h.source, h.shard, shard_size / (2 * k + 1) AS quotient, k, w.won FROM h JOIN w ON h.source IS NOT DISTINCT FROM w.source, unnest(range(0, w.won)) AS u(k)),
+hw AS (SELECT source, shard, count(*) AS quota FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY quotient DESC, shard, k) AS r FROM hq) WHERE r <= won GROUP BY ALL),
+p AS (SELECT h.source, h.shard, h.shard_size, least(coalesce(hw.quota, 0) * block, 3 * h.shard_size) AS due, due // greatest(h.shard_size, 1) AS passes, due - passes * h.shard_size AS rest,
+             CASE WHEN h.shard_size > 0 THEN CAST(concat('0x', substr(md5(concat('19:', coalesce(h.source, ''), ':', CAST(h.shard AS VARCHAR))), 1, 15)) AS BIGINT) % h.shard_size // block * block ELSE 0 END AS lo, lo + rest AS hi
+      FROM h LEFT JOIN hw ON h.source IS NOT DISTINCT FROM hw.source AND h.shard = hw.shard, g),
+e AS (SELECT d.*, CAST(coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY o, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS a FROM d)
+SELECT e.doc_id, e.size, s.source_size, s.target, CAST(p.passes * e.size + greatest(0, least(a + e.size, hi) - greatest(a, lo)) + greatest(0, least(a + e.size, hi - shard_size) - a) AS BIGINT) AS taken, e.source
+FROM e JOIN p ON e.source IS NOT DISTINCT FROM p.source AND e.shard = p.shard JOIN s ON e.source IS NOT DISTINCT FROM s.source
+"""
