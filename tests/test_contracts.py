@@ -95,3 +95,20 @@ def test_require_names_stage_and_contract(good):
         C.require(every, "validate")
     assert C.final_status(every).first()["final_status"] == "FAIL"
     C.require(C.no_duplicates(good), "validate")
+
+
+def test_kept_contracts_give_the_rows_of_the_single_ones(spark):
+    columns, wide = ["n", "v"], f"{SCHEMA}, n_success bigint"
+    master = spark.createDataFrame([(1, 1, None), (2, 2, 5.0), (3, 3, 1.5), (4, 4, None)], SCHEMA)
+    run = spark.createDataFrame([(1, 7, None, 1), (2, 0, None, 0), (5, 1, None, 2), (6, 0, None, 0)], wide)
+    good = spark.createDataFrame([(1, 7, None), (2, 2, 5.0), (3, 3, 1.5), (4, 4, None), (5, 1, None)], SCHEMA)
+    bad = spark.createDataFrame([(1, 7, 0.0), (2, 2, 6.0), (3, 9, 1.5), (5, 1, 0.0)], SCHEMA)
+    for cand in (good, bad, good.unionByName(good.where("id = 3")), good.limit(0)):
+        failed = master.join(run.where("n_success = 0").select("id"), "id", "left_semi")
+        one = [
+            C.non_shrink(master, cand), C.unselected_preserved(master, run.select("id"), cand, columns), C.last_good_carried(failed, cand, columns),
+            C.missing_not_zero(run.where("n_success > 0"), cand, ["v"]),
+        ]
+        want = sorted(tuple(r.first()) for r in one)
+        assert sorted(map(tuple, C.kept_contracts(master, run, cand, columns, ["v"]).collect())) == want
+    assert {r["status"] for r in C.kept_contracts(master, run, bad, columns, ["v"]).collect()} == {"FAIL"}

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.operators.merge import lost_ids, preserve_unselected, snapshot_diff
+from tidemark.operators.merge import lost_ids, preserve_unselected, same_values, snapshot_diff
 
 PASS, FAIL = "PASS", "FAIL"
 
@@ -111,6 +111,29 @@ def missing_not_zero(before: DataFrame, after: DataFrame, columns: Sequence[str]
     return _contract("MISSING_NOT_ZERO", after.join(was, id).agg(reduce(lambda a, b: a + b, bad).alias("n_bad")))
 
 
+def kept_contracts(master: DataFrame, run: DataFrame, candidate: DataFrame, columns: Sequence[str], measured: Sequence[str], id: str = "id", success: str = "n_success") -> DataFrame:
+    """Four contracts at the cost of one: MASTER_NON_SHRINK, UNSELECTED_PRESERVATION, LAST_GOOD and MISSING_NOT_ZERO.
+
+    The three tables meet once, on id, where the single contracts would join them pair by pair; the rows are the same.
+    """
+    side = lambda df, name, *more: df.select(id, F.struct(F.lit(True).alias("_here"), *columns, *more).alias(name))
+    met = side(master, "_m").join(side(run, "_r", success), id, "full_outer").join(side(candidate, "_c"), id, "full_outer")
+    had, ran, there = (F.col(c).isNotNull() for c in ("_m", "_r", "_c"))
+    same = there & same_values(columns, "_m", "_c")
+    failed = ran & (F.col(f"_r.{success}") == 0)
+    zeroed = [F.count_if(ran & ~failed & F.col(f"_r.{c}").isNull() & F.coalesce(F.col(f"_c.{c}") == 0, F.lit(False))) for c in measured]
+    counted = met.agg(
+        F.count_if(had & ~there).alias("lost"), F.count_if(had & ~ran & ~same).alias("changed"), F.count_if(had & failed & ~same).alias("not_carried"), reduce(lambda a, b: a + b, zeroed, F.lit(0)).alias("zeroed"),
+    )
+    rows = lambda df, c: df.agg(F.count(F.lit(1)).alias(c))
+    counted = counted.crossJoin(rows(master, "_before")).crossJoin(rows(candidate, "_after"))
+    line = lambda name, c, also=None: F.struct(F.lit(name).alias("contract"), F.when((F.col(c) == 0) & (F.lit(True) if also is None else also), PASS).otherwise(FAIL).alias("status"), F.col(c).cast("long").alias("n_bad"))
+    lines = F.array(
+        line("MASTER_NON_SHRINK", "lost", F.col("_after") >= F.col("_before")), line("UNSELECTED_PRESERVATION", "changed"), line("LAST_GOOD", "not_carried"), line("MISSING_NOT_ZERO", "zeroed"),
+    )
+    return counted.select(F.inline(lines))
+
+
 def uniform_stamp(df: DataFrame, column: str = "synced_at") -> DataFrame:
     """One sync time, on every row."""
     least, most = F.min(column), F.max(column)

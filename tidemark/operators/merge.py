@@ -52,7 +52,8 @@ def new_ids(master: DataFrame, candidate: DataFrame, id: str = "id") -> DataFram
     return lost_ids(candidate, master, id)
 
 
-def _same(columns: Sequence[str], a: str, b: str) -> Column:
+def same_values(columns: Sequence[str], a: str, b: str) -> Column:
+    """Whether two structs agree in these fields; nulls equal nulls."""
     out = F.lit(True)
     for c in columns:
         out = out & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
@@ -63,7 +64,7 @@ def snapshot_diff(a: DataFrame, b: DataFrame, columns: Sequence[str], id: str =
     """Per id: added, removed, changed or same, from a to b; nulls equal nulls. One full outer join."""
     side = lambda df, name: df.select(id, F.struct(F.lit(True).alias("_here"), *columns).alias(name))
     both = side(a, "_a").join(side(b, "_b"), id, "full_outer")
-    change = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(_same(columns, "_a", "_b"), "same").otherwise("changed")
+    change = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(same_values(columns, "_a", "_b"), "same").otherwise("changed")
     return both.select(id, change.alias("change"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructType, Time
 
 from tidemark.functions.missing import sum_or_missing
 from tidemark.operators import acquire, contracts, merge
+from tidemark.sources.workspace import Scratch
 
 CUT = datetime(2024, 1, 30, 12)
 SYNCED_AT = datetime(2024, 2, 1)
@@ -67,24 +69,35 @@ def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return acquire.run_counts(acquire.attempts_per_id(attempts(spark, sf_dir)))
 
 
-def validated(spark: SparkSession, sf_dir: str, cand: DataFrame, prior: DataFrame) -> DataFrame:
-    """A row a contract over a candidate; a null measure of the run that became zero fails too."""
-    run = measured(attempts(spark, sf_dir))
-    counts = run_counts(spark, sf_dir)
-    selected, failed = acquire.select_ids(attempts(spark, sf_dir)), merge.carry_forward(prior, run)
-    fresh = F.col("status").isin(merge.REFRESHED, merge.NEW)
-    rules = {"has_a_success": F.col("n_ok") > 0, "fresh_is_of_this_run": ~fresh | (F.col("last_ok_at") >= F.lit(CUT).cast("timestamp_ntz")), "kept_is_older": fresh | (F.col("last_ok_at") < F.lit(CUT).cast("timestamp_ntz"))}
-    return contracts.all_contracts(
-        contracts.accounting(counts),
-        contracts.acquired_something(counts),
-        contracts.no_duplicates(cand),
-        contracts.counts_agree(cand),
-        contracts.schema_contract(cand, CANDIDATE),
-        contracts.type_contract(cand, CANDIDATE),
-        contracts.non_shrink(prior, cand),
-        contracts.unselected_preserved(prior, selected, cand, METRICS),
-        contracts.last_good_carried(failed, cand, METRICS),
-        contracts.semantic(cand, rules),
-        contracts.missing_not_zero(run.where("n_success > 0"), cand, ["purchase_value", "last_value"]),
-        contracts.uniform_stamp(cand),
-    )
+@dataclass
+class Run:
+    """The tables of one run, each written once and then read by whatever checks or publishes them."""
+
+    run: DataFrame
+    prior: DataFrame
+    candidate: DataFrame
+
+    @classmethod
+    def written(cls, spark: SparkSession, sf_dir: str) -> Run:
+        scratch = Scratch(spark)
+        run = scratch.table(measured(attempts(spark, sf_dir)), "run")
+        prior = scratch.table(master(spark, sf_dir), "prior")
+        return cls(run, prior, scratch.table(stamped(merge.merge_snapshot(prior, run, METRICS)), "candidate"))
+
+    def validated(self, candidate: DataFrame | None = None) -> DataFrame:
+        """A row a contract over the candidate, or over another one."""
+        cand = self.candidate if candidate is None else candidate
+        counts = acquire.run_counts(self.run)
+        fresh, new = F.col("status").isin(merge.REFRESHED, merge.NEW), F.col("last_ok_at") >= F.lit(CUT).cast("timestamp_ntz")
+        rules = {"has_a_success": F.col("n_ok") > 0, "fresh_is_of_this_run": ~fresh | new, "kept_is_older": fresh | ~new}
+        return contracts.all_contracts(
+            contracts.accounting(counts),
+            contracts.acquired_something(counts),
+            contracts.no_duplicates(cand),
+            contracts.counts_agree(cand),
+            contracts.schema_contract(cand, CANDIDATE),
+            contracts.type_contract(cand, CANDIDATE),
+            contracts.kept_contracts(self.prior, self.run, cand, METRICS, ["purchase_value", "last_value"]),
+            contracts.semantic(cand, rules),
+            contracts.uniform_stamp(cand),
+        )

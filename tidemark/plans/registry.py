@@ -115,9 +115,8 @@ _NAMES = ("ACCOUNTING", "ACQUISITION", "DUPLICATES", "COUNTS", "SCHEMA", "TYPE",
 
 @_register("q20_contracts", "SELECT unnest([" + ", ".join(f"'{n}'" for n in _NAMES) + "]) AS contract, 'PASS' AS status, CAST(0 AS BIGINT) AS n_bad FROM (SELECT 1 FROM events LIMIT 1)")
 def q20(spark, d):
-    """All contracts over the candidate, which is written once and then read for each of them."""
-    cand = Scratch(spark).table(R.candidate(spark, d), "candidate")
-    return R.validated(spark, d, cand, R.master(spark, d))
+    """All contracts over the candidate."""
+    return R.Run.written(spark, d).validated()
 
 
 #: Candidates that must fail, in each of them what is wrong.
@@ -138,10 +137,9 @@ def _broken(cand: DataFrame) -> dict[str, tuple[DataFrame, str]]:
   UNION ALL SELECT 'tampered', 'UNSELECTED_PRESERVATION', 'FAIL', count(*) FILTER (status = 'UNSELECTED') FROM cand
   UNION ALL SELECT 'late_stamp', 'UNIFORM_STAMP', 'FAIL', 1""")
 def q20_failing(spark, d):
-    cand, prior = Scratch(spark).table(R.candidate(spark, d), "candidate"), R.master(spark, d)
-    rows = []
-    for name, (df, contract) in _broken(cand).items():
-        found = R.validated(spark, d, df, prior).where(F.col("contract") == contract)
+    run, rows = R.Run.written(spark, d), []
+    for name, (df, contract) in _broken(run.candidate).items():
+        found = run.validated(df).where(F.col("contract") == contract)
         rows.append(found.select(F.lit(name).alias("candidate"), "contract", "status", "n_bad"))
     return contracts.all_contracts(*rows)
 
@@ -152,11 +150,11 @@ def q20_failing(spark, d):
   'PASS' AS backup_contract, 'PASS' AS readback, 'PASS' AS semantic_validation, 'PASS' AS master_non_shrink, 'PASS' AS unselected_preservation, 'PASS' AS final_status FROM att""")
 def q21(spark, d):
     """The run's summary after publication: started and finished are the first and the last attempt."""
-    scratch = Scratch(spark)
-    cand, prior = scratch.table(R.candidate(spark, d), "candidate"), R.master(spark, d)
+    scratch, run = Scratch(spark), R.Run.written(spark, d)
+    cand, prior = run.candidate, run.prior
     publish.publish(prior, scratch.root, "run-0")
     before = contracts.fingerprint(publish.readback(spark, scratch.root, "run-0"))
-    found = scratch.table(R.validated(spark, d, cand, prior), "contracts")
+    found = scratch.table(run.validated(), "contracts")
     publish.publish(cand, scratch.root, "run-1")
     read = contracts.same_rows(cand, publish.readback(spark, scratch.root, "run-1"))
     kept = contracts.same_rows(before, contracts.fingerprint(publish.readback(spark, scratch.root, "run-0"))).withColumn("contract", F.lit("BACKUP"))
@@ -168,7 +166,7 @@ def q21(spark, d):
         status("UNSELECTED_PRESERVATION").alias("unselected_preservation"), F.when(F.count_if(F.col("status") != "PASS") > 0, "FAIL").otherwise("PASS").alias("final_status"),
     )
     first, last = R.attempts(spark, d).agg(F.min("ts"), F.max("ts")).first()
-    return audit.run_summary("run-1", first, last, R.run_counts(spark, d), contracts.row_and_id_counts(cand), statuses)
+    return audit.run_summary("run-1", first, last, acquire.run_counts(run.run), contracts.row_and_id_counts(cand), statuses)
 
 
 @_register("q22_duplicates", _FULL + "SELECT id, CAST(2 AS BIGINT) AS n FROM cand WHERE id % 10 = 3")
@@ -349,11 +347,10 @@ _T0, _T1, _T2 = datetime(2024, 1, 30), datetime(2024, 2, 1), datetime(2024, 2, 2
 
 def _published(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
     """The master, then the candidate, published under a folder of this run."""
-    root, prior, cand = Scratch(spark).root, R.master(spark, d), R.candidate(spark, d)
-    publish.publish_validated(prior, contracts.no_duplicates(prior), root, "run-0", _T0)
-    kept = Scratch(spark).table(cand, "candidate")
-    publish.publish_validated(kept, R.validated(spark, d, kept, prior), root, "run-1", _T1)
-    return root, prior
+    root, run = Scratch(spark).root, R.Run.written(spark, d)
+    publish.publish_validated(run.prior, contracts.no_duplicates(run.prior), root, "run-0", _T0)
+    publish.publish_validated(run.candidate, run.validated(), root, "run-1", _T1)
+    return root, run.prior
 
 
 @_register("q40_publish_readback", _FULL + "SELECT * FROM cand")
