@@ -116,7 +116,8 @@ def count_tokens(docs: DataFrame, cache_dir: str, tokenizer: str = TOKENIZER, ra
     fresh.select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache_dir)
 
     counts = spark.read.schema(schema).parquet(cache_dir).where(F.col("version") == version)
-    counts = counts.groupBy("digest").agg(F.first("n_tokens").alias("n_tokens"))
+    # As a table of its own the counts meet the rows in a plain join, whose hot keys Spark can split.
+    counts = Scratch(spark).table(counts.groupBy("digest").agg(F.first("n_tokens").alias("n_tokens")), "counts")
     sized = keyed.select("doc_id", "digest", "n_bytes")
     return sized.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
