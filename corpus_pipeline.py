@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard_join, language_id, mixing, secrets
-from tidemark.llm.common import Scratch, table
+from tidemark.llm.common import Scratch, ship, table
 
 #: A text whose best language knows fewer of its n-grams than this is in none of the learned languages.
 LEAST_LANGUAGE_SCORE = 0.05
@@ -16,6 +16,7 @@ BROADCAST_KEYS = 1_000_000
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters and those in no learned language; a missing lang becomes the predicted one."""
+    ship(spark)
     known = docs.where(F.col("doc_id").isNotNull() & ~language_id.held_out("doc_id"))
     found = language_id.predict(docs, language_id.fit(known))
     kept = found.where((F.col("lang_pred") != language_id.UND) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
@@ -24,6 +25,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class of near copies."""
+    ship(spark)
     return jaccard_join.keep_one(docs).select(*docs.columns)
 
 
@@ -38,6 +40,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secret spans; n_chars follows the text."""
+    ship(spark)
     return secrets.redact(docs)
 
 

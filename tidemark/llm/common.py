@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.workspace import Scratch as Scratch
 
-
 PACKAGE = Path(__file__).resolve().parents[1]
+#: Rows and bytes that go to a Python worker at once, where the session does not say: texts are long, and workers small.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": (str(2**31 - 1), str(16 * 2**20))}
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends the package's modules to the executors, once a Spark context: functions that run there are found in them."""
+    """Readies a session for functions that run on its executors: sends them the package's modules, once a Spark context, and bounds batches."""
+    for name, (default, ours) in BATCH.items():
+        if spark.conf.get(name, default) == default:
+            spark.conf.set(name, ours)
     context = spark.sparkContext
     if getattr(context, "_tidemark_shipped", False):
         return

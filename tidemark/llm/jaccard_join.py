@@ -19,7 +19,7 @@ TREES = 24
 MAX_DEPTH = 12
 #: A block of representatives that one task compares holds about so many of them, and of shingles.
 BLOCK_DOCS = 384
-BLOCK_SHINGLES = 1_500_000
+BLOCK_SHINGLES = 500_000
 BROADCAST_IDS = 1_000_000
 CHUNK = 4_096
 GAMMA, MIX1, MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -149,7 +149,7 @@ def _counts(sets: list[np.ndarray], others: list[np.ndarray] | None) -> np.ndarr
     Shingles that only one set holds meet nothing and are left out first; the rest go through a 0/1 matrix, some columns at a time.
     """
     every = sets + (others or [])
-    owner = np.repeat(np.arange(len(every)), [len(s) for s in every])
+    owner = np.repeat(np.arange(len(every), dtype=np.int32), [len(s) for s in every])
     values = np.concatenate(every)
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]

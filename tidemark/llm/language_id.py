@@ -20,7 +20,7 @@ MAX_LANGUAGES = 64
 #: About so many documents of each language are fitted on, chosen by a hash of their ids.
 SAMPLE_DOCS = 2_000
 GRAMS_A_LANGUAGE = 30_000
-PIECE = 1 << 19
+PIECE = 1 << 16
 UND = "und"
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -157,7 +157,8 @@ def prediction(spark: SparkSession, filters: Filters):
         found = [held.value.predict(t) for t in texts]
         return pd.DataFrame({"lang_pred": [x[0] for x in found], "score": [x[1] for x in found]})
 
-    return predicted
+    # Else a filter on the prediction would run it once more.
+    return predicted.asNondeterministic()
 
 
 def predict(docs: DataFrame, filters: Filters) -> DataFrame:

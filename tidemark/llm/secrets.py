@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,8 +119,12 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         out += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST_ACCESS]
     out += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    base = sorted((s, e) for _, s, e in out)
-    out += [("random", s, e) for s, e in random_tokens(text) if not any(a < e and s < b for a, b in base)]
+    starts, reach = [s for _, s, _ in sorted(out, key=lambda x: x[1])], []
+    for _, _, e in sorted(out, key=lambda x: x[1]):
+        reach.append(max(e, reach[-1]) if reach else e)
+    # The spans that begin before a token's end reach into it if the farthest of them does.
+    touched = lambda s, e: (k := bisect_left(starts, e)) > 0 and reach[k - 1] > s
+    out += [("random", s, e) for s, e in random_tokens(text) if not touched(s, e)]
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
@@ -159,7 +164,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     def cleaned(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: t if t is None else _redacted(t, mark))
 
-    out = docs.withColumn("text", cleaned("text"))
+    # Else the length below would run it once more.
+    out = docs.withColumn("text", cleaned.asNondeterministic()("text"))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
