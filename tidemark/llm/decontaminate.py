@@ -21,15 +21,21 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, GAP), "")
 
 
-def _grams(words: Column, width: Column | int) -> Column:
-    """Hashes of all windows of so many words."""
-    width = F.lit(width) if isinstance(width, int) else width
+def _hash(hashes: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), hashes) if seed else F.xxhash64(hashes)
+
+
+def _grams(words: Column, width: int, *seeds: int) -> Column:
+    """Structs of hashes, one a seed, of all windows of so many words; null where there is none."""
     hashed = F.transform(words, lambda w: F.xxhash64(w))
-    return F.when(F.size(words) >= width, let(hashed, lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - width + 1), lambda i: F.xxhash64(F.slice(h, i, width)))))
+    named = lambda h: [_hash(h, seed).alias(f"hash{seed}") for seed in seeds]
+    start = lambda i: (i - 1).alias("start")
+    windows = lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - width + 1), lambda i: F.struct(*named(F.slice(h, i, width)), start(i), F.lit(width).alias("n")))
+    return F.when(F.size(words) >= width, let(hashed, windows))
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Distinct windows ``(hash, gram, n_gram, items)`` of ``benchmark (item_id, text)``; a short item is one window.
+    """Distinct windows ``(hash0, hash1, gram, n_gram, items)`` of ``benchmark (item_id, text)``; a short item is one window.
 
     Items without words have no window. An item whose id is null marks words, but is not among the items.
     """
@@ -39,7 +45,8 @@ def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     return (
         grams.groupBy("gram")
         .agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
-        .select(F.xxhash64(F.transform("gram", lambda w: F.xxhash64(w))).alias("hash"), "gram", F.size("gram").alias("n_gram"), "items")
+        .withColumn("h", F.transform("gram", lambda w: F.xxhash64(w)))
+        .select(_hash(F.col("h"), 0).alias("hash0"), _hash(F.col("h"), 1).alias("hash1"), "gram", F.size("gram").alias("n_gram"), "items")
     )
 
 
@@ -48,28 +55,36 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, broadca
 
     ``hits`` are the verified windows (0-based word start, number of words), ``items`` the sorted ids of the items they
     come from. A document's windows are hashed where its text is read, and meet the set of test windows there; a match
-    counts only if its words are the same. What is shuffled is the matches and one row a document. The test windows are counted first
-    and broadcast up to ``broadcast_windows``; beyond that, windows and set are shuffled by hash.
+    counts only if its words are the same. What is shuffled is the matches and one row a document. The test windows are
+    counted first and broadcast up to ``broadcast_windows``; beyond that, hashes of windows and set are shuffled, no texts,
+    and a second hash of the words verifies.
 
     Null and empty texts have no words and no hits. Equal rows each get a row. No benchmark: no hits.
     """
     windows = benchmark_windows(benchmark, width)
     spread = windows.groupBy("n_gram").agg(F.count(F.lit(1)).alias("n")).collect()  # at most `width` rows
     lengths = [r["n_gram"] for r in spread]
+    small = sum(r["n"] for r in spread) <= broadcast_windows
+    seeds = (0,) if small else (0, 1)
     # A row of its own for every document, beside its windows: it meets this entry of the set.
-    own = docs.sparkSession.range(1).select(F.lit(0).cast("long").alias("hash"), F.array().cast("array<string>").alias("gram"), F.lit(0).alias("n_gram"), F.array().cast("array<string>").alias("items"))
-    known = windows.unionByName(own).withColumnRenamed("hash", "known_hash")
-    if sum(r["n"] for r in spread) <= broadcast_windows:
-        known = F.broadcast(known)
+    empty = F.array().cast("array<string>")
+    own = docs.sparkSession.range(1).select(F.lit(0).cast("long").alias("hash0"), F.lit(0).cast("long").alias("hash1"), empty.alias("gram"), F.lit(0).alias("n_gram"), empty.alias("items"))
+    known = windows.unionByName(own).withColumnsRenamed({"hash0": "known0", "hash1": "known1"})
+    known = F.broadcast(known) if small else known.drop("gram")
 
     def entries(words: Column) -> Column:
-        of = lambda n: F.transform(F.coalesce(_grams(words, n), F.array().cast("array<bigint>")), lambda h, i: F.struct(h.alias("hash"), i.alias("start"), F.lit(n).alias("n")))
-        head = F.array(F.struct(F.lit(0).cast("long").alias("hash"), F.lit(0).alias("start"), F.lit(0).alias("n")))
-        return F.concat(head, *[of(n) for n in lengths])
+        fields = ", ".join([*(f"hash{k}: bigint" for k in seeds), "start: int", "n: int"])
+        none = F.array().cast(f"array<struct<{fields}>>")
+        head = F.array(F.struct(*[F.lit(0).cast("long").alias(f"hash{k}") for k in seeds], F.lit(0).alias("start"), F.lit(0).alias("n")))
+        return F.concat(head, *[F.coalesce(_grams(words, n, *seeds), none) for n in lengths])
 
     split = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words_of(F.col("text")).alias("words"))
     opened = split.select("row", "doc_id", "words", F.size("words").alias("n_words"), F.explode(entries(F.col("words"))).alias("e"))
-    same = (F.col("e.hash") == F.col("known_hash")) & (F.col("e.n") == F.col("n_gram")) & (F.slice("words", F.col("e.start") + 1, F.col("e.n")) == F.col("gram"))
+    same = (F.col("e.hash0") == F.col("known0")) & (F.col("e.n") == F.col("n_gram"))
+    if small:
+        same = same & (F.slice("words", F.col("e.start") + 1, F.col("e.n")) == F.col("gram"))
+    else:
+        opened, same = opened.drop("words"), same & (F.col("e.hash1") == F.col("known1"))
     found = opened.join(known, same).select("row", "doc_id", "n_words", "e.start", "n_gram", "items")
     return found.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
