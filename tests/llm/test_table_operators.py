@@ -261,6 +261,21 @@ def test_mixing_against_loops(spark, seed):
         assert abs(target[s] - want[s]) < 1e-6 * max(1, want[s]) and abs(taken[s] - want[s]) <= 25
 
 
+def test_mixing_of_a_tiny_source_among_many_shards(spark):
+    rows = [(i, "w " * 40, "big") for i in range(4_000)] + [(10_000 + i, "a b c d e", s) for i in range(300) for s in ("some", "tiny")]
+    df = spark.createDataFrame(rows, f"{DOCS}, source string")
+    for weights in ((100.0, 1.0, 100.0), (100.0, 1.35, 1.0)):  # "tiny" at its limit of three passes; "some" at about one and a half
+        got = mixing.mix(df, weights=weights, shard_rows=10, block_words=64).collect()
+        assert len({r["shard"] for r in got if r["source"] == "tiny"}) > 30
+        taken, target = Counter(), {}
+        for r in got:
+            assert 0 <= r["taken"] <= 3 * r["size"]
+            taken[r["source"]] += r["taken"]
+            target[r["source"]] = r["target"]
+        for s in target:
+            assert abs(taken[s] - target[s]) <= 64, (s, taken[s], target[s])
+
+
 def test_mixing_of_little_or_nothing(spark):
     df = spark.createDataFrame([(1, "a b c", "s"), (2, None, "t"), (3, "", None)], f"{DOCS}, source string")
     assert {r["doc_id"]: (r["size"], r["taken"]) for r in mixing.mix(df).collect()} == {1: (3, 3), 2: (0, 0), 3: (0, 0)}

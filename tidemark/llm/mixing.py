@@ -81,12 +81,37 @@ def sainte_lague(parties: DataFrame, votes: str, seats: str, by: Sequence[str],
     )
 
 
+def _within_limits(plan: DataFrame, block: int, max_epochs: int) -> DataFrame:
+    """Adds ``_words``: a shard's quota in words, at most max_epochs times its size.
+
+    What that limit cuts goes to the source's other shards in proportion to the room that they have left, to the word: each
+    takes the step of the running sum that its room makes. A source without a cut keeps its quotas. There is a row a source and shard here.
+    """
+    source = W.partitionBy("source")
+    along = source.orderBy("shard")
+    exact = lambda c: F.col(c).cast("decimal(19,0)")
+    due, limit = F.col("quota") * block, F.col("shard_size") * max_epochs
+    return (
+        plan.withColumn("_cut", F.greatest(F.lit(0), due - limit))
+        .withColumn("_room", F.greatest(F.lit(0), limit - due))
+        .withColumn("_all_room", F.sum("_room").over(source))
+        .withColumn("_given", F.least(F.sum("_cut").over(source), "_all_room"))
+        .withColumn("_till", F.sum("_room").over(along.rowsBetween(W.unboundedPreceding, 0)))
+        .withColumn("_from", F.col("_till") - F.col("_room"))
+        .withColumn("_more", exact("_till") * exact("_given"))
+        .withColumn("_less", exact("_from") * exact("_given"))
+        .withColumn("_more", F.when(F.col("_given") > 0, F.expr("_more div _all_room - _less div _all_room")).otherwise(0))
+        .withColumn("_words", F.least(due, limit) + F.col("_more"))
+        .drop("_cut", "_room", "_all_room", "_given", "_till", "_from", "_more", "_less")
+    )
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 17, shard_rows: int = SHARD_ROWS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Mixes ``docs (doc_id, text, source)``: how many words of each document the training mix takes.
 
     Documents are dealt to seeded shards, so that a source with a third of all rows is spread like any other. Blocks of
     equal words go to sources by highest quotients of their targets, and each source's blocks to its shards by highest
-    quotients of their words. Within a shard the documents stand in a seeded order; its quota takes whole
+    quotients of their words; what exceeds a shard's limit goes to the source's shards with room left. Within a shard the documents stand in a seeded order; its quota takes whole
     passes over it, and the rest as a run of blocks from a seeded place, round the end. Blocks hold ``block_words``
     words, or fewer where all texts together have under 10,000 blocks.
 
@@ -113,15 +138,13 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = M
     joined = named.join(quotas.drop("_blocks"), F.col("_source").eqNullSafe(F.col("source"))).drop("_source")
     plan = scratch.table(sainte_lague(joined, "shard_size", "_source_blocks", ["source"], ["shard"]).drop("_source_blocks"), "plan")
 
-    plan = plan.withColumnsRenamed({"source": "_source", "shard": "_shard"})
+    plan = _within_limits(plan, block, max_epochs).withColumnsRenamed({"source": "_source", "shard": "_shard"})
     within = W.partitionBy("source", "shard").orderBy("_order", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
     start = F.coalesce(F.sum("size").over(within), F.lit(0))
-    quota_words = F.least(F.col("quota") * block, F.col("shard_size") * max_epochs)
     overlap = lambda lo, hi: F.greatest(F.lit(0), F.least(F.col("_start") + F.col("size"), hi) - F.greatest(F.col("_start"), lo))
     return (
         dealt.withColumn("_start", start)
         .join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard")))
-        .withColumn("_words", quota_words)
         .withColumn("_passes", F.when(F.col("shard_size") > 0, F.expr("_words div shard_size")).otherwise(0))
         .withColumn("_rest", F.col("_words") - F.col("_passes") * F.col("shard_size"))
         .withColumn("_lot", _lot(seed + 2, "source", "shard"))
