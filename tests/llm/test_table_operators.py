@@ -54,6 +54,19 @@ def test_licences_of_planted_lines(spark):
     assert {(r["doc_id"], r["paragraph"], r["family"]) for r in licenses.find_licenses(corpus, model).collect()} == want
 
 
+def test_licences_of_wrapped_notices(spark):
+    model = licenses.fit(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    mit = "Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this software and\nassociated documentation files (the \"Software\"), to deal\nin the Software without restriction"
+    gpl = "# This program is free software: you can redistribute it\n# and/or modify it under the terms of the GNU\n# General Public License as published by\n# the Free Software Foundation, either version 3"
+    apache = " * Unless required by applicable law or agreed to\r\n * in writing, software distributed under the\r\n * License is distributed on an \"AS\r\n * IS\" BASIS, WITHOUT WARRANTIES"
+    code = "".join(f"the value of x{i} is set to one of the values in a list\n" for i in range(60))
+    texts = {1: bsd, 2: f"a b\n\n{mit}\n\nc d", 3: f"#\n{gpl}\n#\n# x", 4: apache, 5: f"{code}{bsd}\n{code}", 6: f"{bsd}\n{mit}", 7: code, 8: f"Released under the MIT License\n{bsd}"}
+    texts |= {9: bsd.replace("\n", "\n\n"), 10: f"\n\n \n{bsd}"}
+    got = sorted((r["doc_id"], r["paragraph"], r["family"]) for r in licenses.find_licenses(spark.createDataFrame(list(texts.items()), DOCS), model).collect())
+    assert got == [(1, 0, "BSD"), (2, 2, "MIT"), (3, 1, "GPL"), (4, 0, "Apache-2.0"), (5, 60, "BSD"), (6, 0, "BSD"), (6, 3, "MIT"), (8, 0, "MIT"), (8, 1, "BSD"), (10, 3, "BSD")]
+
+
 def test_topk_against_all_products(spark):
     rnd = np.random.RandomState(4)
     rows = [(i, rnd.randn(6).astype("float32").tolist(), "x") for i in range(400)]

@@ -86,13 +86,31 @@ CONTAINED = 0.6
 LEAST_PROBABILITY = 0.5
 FALSE_ACCEPT = 0.001
 GAP = r"[^\p{L}\p{N}]+"
+WORD = r"[\p{L}\p{N}]+"
+#: Lines of the windows by which a run of lines is scored, besides the whole run.
+WINDOWS = (4, 12)
+#: Ends the number in front of a line.
+MARK = "\x01"
+
+
+def _hashes(paragraph: Column) -> Column:
+    return F.transform(F.filter(F.split(F.lower(paragraph), GAP), lambda w: w != ""), lambda w: F.xxhash64(w))
+
+
+def _neighbours(h: Column) -> Column:
+    return F.array_distinct(F.zip_with(h, F.slice(h, 2, F.greatest(F.size(h), F.lit(1))), lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b))))
 
 
 def bigrams(paragraph: Column) -> Column:
     """Hashes of neighbouring words, each once; words are runs of letters and digits in any case."""
-    words = F.filter(F.split(F.lower(paragraph), GAP), lambda w: w != "")
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    return let(hashed, lambda h: F.array_distinct(F.zip_with(h, F.slice(h, 2, F.greatest(F.size(h), F.lit(1))), lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))))
+    return let(_hashes(paragraph), _neighbours)
+
+
+def _line_bigrams(body: Column, after: Column) -> Column:
+    """``(gram, over)``: a line's bigrams, and the one over its end."""
+    end = lambda h: F.when(after != "", F.xxhash64(F.try_element_at(h, F.lit(-1)), F.xxhash64(after)))
+    pair = lambda g, over: F.struct(g.alias("gram"), F.lit(over).alias("over"))
+    return let(_hashes(body), lambda h: F.concat(F.transform(_neighbours(h), lambda g: pair(g, False)), F.array(pair(end(h), True))))
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
@@ -101,6 +119,22 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return lines.select("row", "doc_id", F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("paragraph", "body")).where(F.length("body") > 0)
 
 
+def _runs(docs: DataFrame) -> DataFrame:
+    """``(row, doc_id, run, at, body, after)``: lines with words, by runs of such lines.
+
+    ``at`` is the line's number in its text, ``run`` that of the first line of its run, and ``after`` the first word of the run's next line. Lines
+    get their number in front of them, so that a text can be cut at its lines without words and the pieces still tell where they were.
+    """
+    lines = docs.where(F.col("text").isNotNull()).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.split("text", r"\r\n|\r|\n").alias("lines"))
+    marked = F.array_join(F.transform("lines", lambda x, i: F.concat(F.lit("\n"), i.cast("string"), F.lit(MARK), x)), "")
+    pieces = lines.select("row", "doc_id", F.explode(F.split(marked, rf"\n\d+{MARK}[^\p{{L}}\p{{N}}\n]*(?=\n|\z)")).alias("piece")).where(F.length("piece") > 0)
+    cut = pieces.select("row", "doc_id", F.split(F.expr("substring(piece, 2)"), "\n").alias("numbered"))
+    bare = lambda x: F.substring(x, F.instr(x, MARK) + 1, F.length(x))
+    at = lambda x: F.substring_index(x, MARK, 1).cast("int")
+    line = lambda x, i: F.struct(at(x).alias("at"), bare(x).alias("body"), F.lower(F.regexp_extract(bare(F.get("numbered", i + 1)), WORD, 0)).alias("after"))
+    return cut.select("row", "doc_id", at(F.col("numbered")[0]).alias("run"), F.inline(F.transform("numbered", line)))
+
+
 def templates(spark: SparkSession) -> DataFrame:
     """``(template, family, grams)``."""
     rows = [(family, t) for family, texts in TEMPLATES.items() for t in texts]
@@ -161,9 +195,30 @@ def fit(docs: DataFrame, negatives: int = NEGATIVES) -> Model:
     return Model(families, weights, [float(x) for x in fitted.interceptVector], min(0.95, max(LEAST_PROBABILITY, reached)))
 
 
+def _likely(met: DataFrame, keys: list[str], model: Model, sizes: dict[int, tuple[str, int]]) -> DataFrame:
+    """Paragraphs that count: keys, doc_id, family, probability, contained, template; from a row a known bigram of each."""
+    n = len(model.families)
+    scored = met.groupBy(*keys).agg(
+        F.first("doc_id").alias("doc_id"), F.array(*[F.sum(F.col("weights")[i]) for i in range(n)]).alias("scores"), F.flatten(F.collect_list("templates")).alias("hits"),
+    )
+    names = F.array(*[F.lit(f) for f in model.families])
+    likely = scored.withColumn("p", model.probabilities(F.col("scores"))).withColumn("best", F.array_position("p", F.array_max("p")).cast("int"))
+    likely = likely.select(*keys, "doc_id", F.element_at(names, F.col("best")).alias("family"), F.array_max("p").alias("probability"), "hits")
+    likely = likely.where((F.col("family") != UNKNOWN) & (F.col("probability") >= model.least))
+    # How much of each of its family's templates the paragraph holds.
+    hits_of = lambda t: F.size(F.filter("hits", lambda h: h == t))
+    share = F.array(*[F.struct((hits_of(t) / size).alias("contained"), F.lit(-t).alias("order"), F.lit(f).alias("of")) for t, (f, size) in sizes.items()])
+    best = likely.withColumn("t", F.array_max(F.filter(share, lambda s: s["of"] == F.col("family")))).where(F.col("t.contained") >= CONTAINED)
+    return best.select(*keys, "doc_id", "family", F.round("probability", 6).alias("probability"), F.round("t.contained", 6).alias("contained"), (-F.col("t.order")).alias("template"))
+
+
 def find_licenses(docs: DataFrame, model: Model) -> DataFrame:
     """Licence paragraphs of ``docs (doc_id, text)``: doc_id, paragraph, family, probability, contained, template.
 
+    A paragraph is a line; and, as notices are wrapped, what lines with words follow each other are scored as a run too, without
+    those that count on their own: as a whole, and by its windows of WINDOWS lines, so that neither what stands around a notice nor a second one
+    hides it. A run gives a row a family, that of the window that holds most of a template; its paragraph is the window's first line.
+
     Bigrams are hashed where the text is read and meet the model's (a few hundred, from the fixed templates) by a
     broadcast join; a paragraph with none of them has the intercepts alone, which is the unknown class. For the others
     the weights are summed. A paragraph counts if a family other than unknown is likeliest, its probability is within
@@ -173,25 +228,33 @@ def find_licenses(docs: DataFrame, model: Model) -> DataFrame:
     an empty result. Other columns are dropped.
     """
     spark = docs.sparkSession
+    scratch = Scratch(spark)
     known = templates(spark)
-    owners = known.select(F.explode("grams").alias("gram"), "template").groupBy("gram").agg(F.collect_list("template").alias("templates"))
-    learned = spark.createDataFrame(model.weights, "gram bigint, weights array<double>").join(owners, "gram").withColumnRenamed("gram", "known_gram")
-    opened = paragraphs(docs).select("row", "doc_id", "paragraph", F.explode(bigrams(F.col("body"))).alias("gram"))
-    met = opened.join(F.broadcast(learned), F.col("gram") == F.col("known_gram"))
-    n = len(model.families)
-    scored = met.groupBy("row", "paragraph").agg(
-        F.first("doc_id").alias("doc_id"), F.array(*[F.sum(F.col("weights")[i]) for i in range(n)]).alias("scores"), F.flatten(F.collect_list("templates")).alias("hits"),
-    )
-    names = F.array(*[F.lit(f) for f in model.families])
-    likely = scored.withColumn("p", model.probabilities(F.col("scores"))).withColumn("best", F.array_position("p", F.array_max("p")).cast("int"))
-    likely = likely.select("doc_id", "paragraph", F.element_at(names, F.col("best")).alias("family"), F.array_max("p").alias("probability"), "hits")
-    likely = likely.where((F.col("family") != UNKNOWN) & (F.col("probability") >= model.least))
     sizes = {r["template"]: (r["family"], len(r["grams"])) for r in known.collect()}
-    # How much of each of its family's templates the paragraph holds.
-    hits_of = lambda t: F.size(F.filter("hits", lambda h: h == t))
-    share = F.array(*[F.struct((hits_of(t) / size).alias("contained"), F.lit(-t).alias("order"), F.lit(f).alias("of")) for t, (f, size) in sizes.items()])
-    best = likely.withColumn("t", F.array_max(F.filter(share, lambda s: s["of"] == F.col("family")))).where(F.col("t.contained") >= CONTAINED)
-    return best.select("doc_id", "paragraph", "family", F.round("probability", 6).alias("probability"), F.round("t.contained", 6).alias("contained"), (-F.col("t.order")).alias("template"))
+    owners = known.select(F.explode("grams").alias("gram"), "template").groupBy("gram").agg(F.collect_list("template").alias("templates"))
+    learned = F.broadcast(spark.createDataFrame(model.weights, "gram bigint, weights array<double>").join(owners, "gram"))
+    opened = _runs(docs).select("row", "doc_id", "run", "at", F.inline(_line_bigrams(F.col("body"), F.col("after"))))
+    opened = scratch.table(opened.join(learned.select("gram"), "gram", "left_semi"), "known_bigrams")
+    lines = scratch.table(_likely(opened.where(~F.col("over")).withColumnRenamed("at", "paragraph").join(learned, "gram"), ["row", "paragraph"], model, sizes), "notices")
+
+    # What is left of runs with a bigram over an end, where neither side of that end counts on its own.
+    taken = lines.select("row", F.col("paragraph").alias("at"), F.explode(F.array(F.lit(False), F.lit(True))).alias("over"))
+    taken = taken.union(lines.select("row", F.col("paragraph") - 1, F.lit(True))).distinct()
+    rest = opened.join(taken, ["row", "at", "over"], "left_anti")
+    # A template is in a window only if it is in the run.
+    least = F.create_map(*[F.lit(x) for t, (_, n) in sizes.items() for x in (t, CONTAINED * n)])
+    in_run = rest.groupBy("row", "run", "gram").agg(F.max("over").alias("over")).join(learned, "gram").select("row", "run", "over", F.explode("templates").alias("template"))
+    in_run = in_run.groupBy("row", "run", "template").agg(F.count(F.lit(1)).alias("n"), F.max("over").alias("over")).where(F.col("over") & (F.col("n") >= least[F.col("template")]))
+    rest = rest.join(in_run.select("row", "run").distinct(), ["row", "run"], "left_semi")
+
+    window = lambda size: lambda start: F.struct(F.lit(size).alias("size"), start.alias("start"))
+    windows = [F.transform(F.sequence(F.col("at") - (size - 1), F.col("at")), window(size)) for size in WINDOWS]
+    dealt = rest.select("row", "doc_id", "run", "gram", F.inline(F.concat(*windows, F.array(window(0)(F.col("run"))))))
+    dealt = dealt.groupBy("row", "run", "size", "start", "gram").agg(F.first("doc_id").alias("doc_id"))
+    found = _likely(dealt.join(learned, "gram"), ["row", "run", "size", "start"], model, sizes)
+    best = F.max_by(F.struct("doc_id", "start", "probability", "contained", "template"), F.struct("contained", "start", "probability")).alias("b")
+    found = found.groupBy("row", "run", "family").agg(best).select("b.doc_id", F.col("b.start").alias("paragraph"), "family", "b.probability", "b.contained", "b.template")
+    return lines.drop("row").select(*found.columns).unionByName(found)
 
 
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
