@@ -176,6 +176,18 @@ def test_jaccard_join_of_repeated_null_and_no_rows(spark):
     assert jaccard_join.near_duplicates(df.limit(0)).count() == 0 and jaccard_join.keep_one(df.limit(0)).count() == 0
 
 
+def test_one_of_near_copies_stays_with_repeated_and_null_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    a, near_a = " ".join(base), " ".join([*base, "more"])  # 56 of 57 shingles
+    b, near_b = " ".join(f"v{i}" for i in range(60)), " ".join(f"v{i}" for i in range(61))
+    c, near_c, alone = "one two three four five six seven eight nine", "one two three four five six seven eight nine ten", "nothing like the others at all"
+    rows = [(1, a), (None, near_a), (None, b), (None, near_b), (None, alone), (5, c), (5, c), (5, near_c), (6, alone + " x y z"), (6, near_a), (None, None)]
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    got = Counter((r["doc_id"], r["text"]) for r in jaccard_join.keep_one(df).collect())
+    assert max(got.values()) == 1 and got.keys() >= {(1, a), (None, alone), (6, alone + " x y z"), (None, None)} and (None, near_a) not in got and (6, near_a) not in got
+    assert ((None, b) in got) + ((None, near_b) in got) == 1 and ((5, c) in got) + ((5, near_c) in got) == 1 and len(got) == 6
+
+
 def test_forest_depth_reaches_the_recall():
     d = jaccard_join.depth_for(0.8, 0.999)
     assert 1 - (1 - 0.8**d) ** jaccard_join.TREES >= 0.999 > 1 - (1 - 0.8 ** (d + 1)) ** jaccard_join.TREES

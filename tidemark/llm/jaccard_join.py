@@ -119,13 +119,15 @@ def _prefixes(s: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _signer(depth: int):
+    """Rows with their set's keys and prefixes; a column ``digest`` goes along."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             sets = [shingles(t) for t in b["text"]]
             both = [_set_keys(s) for s in sets]
             yield pd.DataFrame({
                 "row": b["row"], "doc_id": b["doc_id"], "key1": [x[0] for x in both], "key2": [x[1] for x in both], "n": [len(s) for s in sets],
-                "prefixes": [_prefixes(s, depth) if len(s) else None for s in sets],
+                "prefixes": [_prefixes(s, depth) if len(s) else None for s in sets], "digest": b["digest"],
             })
 
     return run
@@ -219,6 +221,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     like others, but never represents a class while an id is there. Rows with the same doc_id are rows of their own. An empty table gives
     an empty result.
     """
+    return _near_duplicates(docs, similarity, recall).drop("digest")
+
+
+def _digest() -> F.Column:
+    """Names a row's text beside its doc_id, where a doc_id alone may be null or repeat."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _near_duplicates(docs: DataFrame, similarity: float, recall: float) -> DataFrame:
+    """Near duplicates, with a ``digest`` of each row's text."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     kind = docs.schema["doc_id"].dataType
@@ -226,8 +238,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     # Ids become the largest number where they are null, so that they come last.
     last = F.lit(2**63 - 1)
     read = docs.select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    numbered = read.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    signed = scratch.table(numbered.mapInPandas(_signer(depth), "row bigint, doc_id bigint, key1 bigint, key2 bigint, n bigint, prefixes array<bigint>"), "signed")
+    numbered = read.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", _digest().alias("digest"))
+    signed = scratch.table(numbered.mapInPandas(_signer(depth), "row bigint, doc_id bigint, key1 bigint, key2 bigint, n bigint, prefixes array<bigint>, digest bigint"), "signed")
 
     sets = signed.where("n > 0").groupBy("key1", "key2", "n")
     reps = sets.agg(F.min(F.struct("doc_id", "row")).alias("m"), F.min("row").alias("rid"), F.count(F.lit(1)).alias("copies"), F.first("prefixes").alias("prefixes"))
@@ -272,7 +284,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     )
     known = scratch.table(known, "known")
 
-    out = signed.select("row", "doc_id", "key1", "key2", "n").join(known, ["key1", "key2", "n"], "left")
+    out = signed.select("row", "doc_id", "key1", "key2", "n", "digest").join(known, ["key1", "key2", "n"], "left")
     id_of = lambda c: F.when(c != last, c).cast(kind)
     return out.select(
         id_of(F.col("doc_id")).alias("doc_id"),
@@ -282,22 +294,23 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
         F.coalesce("n_links_distinct", F.lit(0)).alias("n_links_distinct"),
         F.col("n").alias("n_shingles"),
         F.coalesce(F.col("row") == F.col("kept_row"), F.lit(True)).alias("keeps"),
+        "digest",
     )
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """``docs`` without near copies: the row with the smallest doc_id of each class stays, with all its columns.
 
-    Ids of rows that go are broadcast where there are few, else joined. A repeated id whose rows are near copies of each
-    other stays once; of ids that are null, equal texts stay once.
+    A row is known by its doc_id and a digest of its text, so rows whose doc_id is null or repeats go and stay by what their own
+    texts are. The keys of rows that go are broadcast where there are few, else joined. Of rows with equal doc_id and text one stays.
     """
-    found = Scratch(docs.sparkSession).table(near_duplicates(docs, similarity, recall).select("doc_id", "keeps"), "kept")
-    per_id = found.groupBy("doc_id").agg(F.max("keeps").alias("keeps"), F.count(F.lit(1)).alias("n"))
+    found = Scratch(docs.sparkSession).table(_near_duplicates(docs, similarity, recall).select("doc_id", "digest", "keeps"), "kept")
+    per_row = found.groupBy("doc_id", "digest").agg(F.max("keeps").alias("keeps"), F.count(F.lit(1)).alias("n"))
     last = F.lit(2**63 - 1)
-    gone = per_id.where(~F.col("keeps")).select(F.coalesce(F.col("doc_id").cast("long"), last).alias("_gone_id"))
+    gone = per_row.where(~F.col("keeps")).select(F.coalesce(F.col("doc_id").cast("long"), last).alias("_gone_id"), F.col("digest").alias("_gone_digest"))
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    kept = docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), last) == F.col("_gone_id"), "left_anti")
-    return kept if per_id.where("n > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    kept = docs.join(gone, (F.coalesce(F.col("doc_id").cast("long"), last) == F.col("_gone_id")) & (_digest() == F.col("_gone_digest")), "left_anti")
+    return kept if per_row.where("keeps and n > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
