@@ -118,6 +118,17 @@ def test_language_accuracy_and_edges(spark):
     assert language_id.Filters.build({}).predict("abc") == ("und", 0.0)
 
 
+def test_more_languages_than_a_mask_word_holds(spark):
+    rnd = random.Random(5)
+    vocabulary = {f"l{k:02}": ["".join(rnd.choice(string.ascii_lowercase) for _ in range(7)) for _ in range(12)] for k in range(70)}
+    rows = [(10 * k + i, " ".join(vocabulary[name]), name) for k, name in enumerate(sorted(vocabulary)) for i in range(2)]
+    df = spark.createDataFrame(rows, f"{DOCS}, lang string")
+    filters = language_id.fit(df)
+    assert filters.languages == sorted(vocabulary)
+    got = language_id.predict(df, filters).collect()
+    assert len(got) == 140 and all(r["lang_pred"] == r["lang"] and r["score"] > 0.9 for r in got)
+
+
 def test_pieces_of_a_long_text_give_the_same_grams(monkeypatch):
     text = "ab cde fghij " * 50 + "é"
     whole = np.sort(np.concatenate(list(language_id.gram_hashes(text))))

@@ -16,7 +16,8 @@ from tidemark.llm.common import Scratch, table
 SIZES = (3, 4)
 SLOT_BITS = 19
 HASHES = 3
-MAX_LANGUAGES = 64
+#: Languages a mask word holds; more take several words a slot.
+MASK_LANGUAGES = 64
 #: About so many documents of each language are fitted on, chosen by a hash of their ids.
 SAMPLE_DOCS = 2_000
 GRAMS_A_LANGUAGE = 30_000
@@ -65,7 +66,7 @@ def _slots(h: np.ndarray) -> list[np.ndarray]:
 
 @dataclass
 class Filters:
-    """Slot by slot, bit l says that language l has an n-gram there. ``false`` is each language's false-positive rate."""
+    """Slot by slot, bit l says that language l has an n-gram there; over 64 languages, a row of slots for each 64. ``false`` is each language's false-positive rate."""
 
     languages: list[str]
     slots: np.ndarray
@@ -74,30 +75,31 @@ class Filters:
     @classmethod
     def build(cls, grams: dict[str, np.ndarray]) -> Filters:
         languages = sorted(grams)
-        if len(languages) > MAX_LANGUAGES:
-            raise ValueError(f"{len(languages)} languages; the mask holds {MAX_LANGUAGES}")
-        slots = np.zeros(1 << SLOT_BITS, np.uint64)
-        for bit, name in enumerate(languages):
+        words = max(1, -(-len(languages) // MASK_LANGUAGES))
+        slots, fill = np.zeros((words, 1 << SLOT_BITS), np.uint64), []
+        for at, name in enumerate(languages):
+            word, bit = slots[at // MASK_LANGUAGES], np.uint64(1 << at % MASK_LANGUAGES)
             for s in _slots(grams[name]):
-                slots[s] |= np.uint64(1 << bit)
-        fill = [((slots >> np.uint64(bit)) & np.uint64(1)).mean() for bit in range(len(languages))]
-        kind = next(t for most, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32), (64, np.uint64)) if len(languages) <= most)
-        return cls(languages, slots.astype(kind), np.array(fill) ** HASHES)
+                word[s] |= bit
+            fill.append(np.count_nonzero(word & bit) / len(word))
+        kind = next((t for most, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32)) if len(languages) <= most), np.uint64)
+        return cls(languages, (slots if words > 1 else slots[0]).astype(kind), np.array(fill) ** HASHES)
 
     def masks(self, h: np.ndarray) -> np.ndarray:
-        """All languages that hold each n-gram, as bits."""
+        """All languages that hold each n-gram, as bits; a row for each 64 where there are more."""
         out = None
         for s in _slots(h):
-            out = self.slots[s] if out is None else out & self.slots[s]
+            out = self.slots[..., s] if out is None else out & self.slots[..., s]
         return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language with the highest corrected popcount, and that count as a share of the n-grams; ``und`` without letters."""
         counts, n = np.zeros(len(self.languages)), 0
         for h in gram_hashes(text or ""):
-            masks = self.masks(h)
+            masks = np.atleast_2d(self.masks(h))
             n += len(h)
-            counts += [np.count_nonzero(masks & masks.dtype.type(1 << bit)) for bit in range(len(self.languages))]
+            bit = [masks.dtype.type(1 << k) for k in range(min(MASK_LANGUAGES, len(self.languages)))]
+            counts += [np.count_nonzero(masks[at // MASK_LANGUAGES] & bit[at % MASK_LANGUAGES]) for at in range(len(self.languages))]
         if not n:
             return UND, 0.0
         if not self.languages:
@@ -128,11 +130,9 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS_
     """
     known = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     # Counted without the texts, which a columnar scan then leaves unread.
-    totals = {r["lang"]: r["n"] for r in labelled.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    totals = {r["lang"]: r["n"] for r in labelled.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals:
         return Filters.build({})
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} languages")
     lot = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
     share = F.create_map(*[x for name, n in totals.items() for x in (F.lit(name), F.lit(int(1_000_000 * min(1.0, sample_docs / n))))])
     sample = known.where(lot < share[F.col("lang")]).select("lang", "text")
@@ -149,7 +149,7 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS_
 
 
 def prediction(spark: SparkSession, filters: Filters):
-    """A column function of text: lang_pred and score. The filters (at most 4 MB) are broadcast."""
+    """A column function of text: lang_pred and score. The filters (at most 4 MB for each 64 languages) are broadcast."""
     held = spark.sparkContext.broadcast(filters)
 
     @F.pandas_udf("lang_pred string, score double")
