@@ -46,6 +46,15 @@ def test_main_text(source, want):
     assert html_text.main_text(source).rstrip("<") == want
 
 
+@pytest.mark.parametrize("wrapper", ["<div class='content-sidebar-wrap'>{}</div>", "<div id='search-and-article'>{}</div>", "<form id='aspnetForm'>{}</form>", "<form role='form'><div class='widget-area'>{}</div></form>"])
+@pytest.mark.parametrize("inner", [ARTICLE, f"<main>{ARTICLE[9:-10]}</main>", f"<div>{ARTICLE[9:-10]}</div>"])
+def test_wrappers_of_the_article_stay(wrapper, inner):
+    more = '<div class="sidebar">Some text aside.</div><form><label>Mail</label></form><section id="comments"><div class="comment">A reader says a lot of things here, and more of them than the article says in all of its lines.</div></section>'
+    assert html_text.main_text(page("<nav><a href=/>Home</a></nav>" + wrapper.format(inner + more))) == TEXT
+    related = '<div class="related-posts"><article><p>Another.</p></article></div>'
+    assert html_text.main_text(page(ARTICLE + related)) == TEXT
+
+
 def test_pages_of_every_kind(spark):
     rows = [(1, "u", page(ARTICLE), 9), (1, "u", page(ARTICLE), 9), (None, None, None, 1), (3, "v", page(f"<article><p>{LONG}</p></article>"), 2)]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string, n_chars int").withColumn("text", F.lit("clash"))

@@ -48,16 +48,26 @@ CLOSES = {
     "option": (frozenset(["option", "optgroup"]), frozenset(["select"])),
     "head": (frozenset(["body"]), frozenset(["html"])),
 }
+#: Readers' comments can be longer than the article, so length alone does not bring these back.
+COMMENTS = frozenset("comment comments commentlist respond replies reply disqus".split())
+#: An element that goes by such a tag or role alone is looked at again, as names are.
+FORMS = frozenset(["form"])
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 LINKED = 0.5
 
 
-def _unwanted(tag: str, attrs: dict[str, str]) -> bool:
-    if tag in DROPPED:
+def _hard(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether an element goes whatever it holds."""
+    if tag in DROPPED - FORMS:
         return True
     if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I):
         return True
-    if attrs.get("role", "").lower() in ROLES:
+    return attrs.get("role", "").lower() in ROLES - FORMS
+
+
+def _soft(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether an element goes by its name, or as a form, unless it holds the article."""
+    if tag in FORMS or attrs.get("role", "").lower() in FORMS:
         return True
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
         words = [w.lower() for w in NAME.findall(name)]
@@ -74,10 +84,15 @@ def _unwanted(tag: str, attrs: dict[str, str]) -> bool:
 
 
 class _Lines(HTMLParser):
-    """Collects lines: text, tags, linked characters, and the elements around it, of what is not unwanted."""
+    """Collects lines: text, tags, linked characters, and the elements around it, of what is not unwanted.
+
+    ``released``: numbers of elements that stay though their name or tag drops them; None keeps all of those. ``soft`` has
+    the numbers of all such elements, and whether they are readers' comments.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, released: frozenset[int] | None = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
+        self.released, self.soft = released, {}
         self.stack: list[tuple[str, int, bool]] = []  # tag, number, whether it drops its text
         self.drops = self.links = self.number = self.tags = self.linked = 0
         self.text: list[str] = []
@@ -110,8 +125,13 @@ class _Lines(HTMLParser):
         self.tags += not self.drops
         if tag in VOID:
             return
-        drops = _unwanted(tag, {k: v or "" for k, v in attrs})
+        named = {k: v or "" for k, v in attrs}
+        drops = _hard(tag, named)
         self.number += 1
+        if not drops and _soft(tag, named):
+            names = NAME.findall(f"{named.get('class', '')} {named.get('id', '')}")
+            self.soft[self.number] = not COMMENTS.isdisjoint(x.lower() for x in names)
+            drops = self.released is not None and self.number not in self.released
         self.stack.append((tag, self.number, drops))
         self.drops += drops
         self.links += tag == "a"
@@ -156,20 +176,56 @@ def content_lines(ratios: np.ndarray) -> np.ndarray:
     return x > (low + high) / 2
 
 
+def _parsed(html: str, released: frozenset[int] | None = frozenset()) -> _Lines:
+    parser = _Lines(released)
+    parser.feed(html)
+    parser.close()
+    parser.flush()
+    return parser
+
+
+def _released(html: str) -> frozenset[int]:
+    """Numbers of the elements that their name, or being a form, would drop with the article in them.
+
+    Such an element stays if it holds more text of an article or main part than stands in others outside such elements, or if it holds most
+    of the text that the smoothed ratios mark, readers' comments apart. Inner elements are decided first, and what goes in them does not count.
+    """
+    parser = _parsed(html, None)
+    soft, lines = parser.soft, parser.lines
+    if not soft or not lines:
+        return frozenset()
+    plain = [len(t) - linked for t, _, linked, _ in lines]
+    marked = content_lines(np.array([p / max(1, tags) for p, (_, tags, *_) in zip(plain, lines, strict=True)]))
+    total = free = 0
+    within: dict[int, list[int]] = defaultdict(list)
+    for i, (*_, path) in enumerate(lines):
+        around = [n for _, n in path if n in soft]
+        for n in around:
+            within[n].append(i)
+        total += plain[i] * bool(marked[i]) * (not any(soft[n] for n in around))
+        free += plain[i] * (not around and any(t in ("article", "main") for t, _ in path))
+    out: set[int] = set()
+    for n in sorted(within, reverse=True):
+        inner = lambda i, n=n: [(t, k) for t, k in lines[i][3] if k > n]
+        left = [i for i in within[n] if all(k not in soft or k in out for _, k in inner(i))]
+        article = sum(plain[i] for i in left if any(t in ("article", "main") and k not in soft for t, k in inner(i)))
+        most = sum(plain[i] * bool(marked[i]) for i in left)
+        if article > free or (not soft[n] and not free and most > total / 2):
+            out.add(n)
+    return frozenset(out)
+
+
 def main_text(html: str | None) -> str:
     """The article's text of a page; empty where there is none.
 
-    Parser events become lines, one a block. Elements that are no article by their tag, role or name give no lines. Each
+    Parser events become lines, one a block. Elements that are no article by their tag, role or name give no lines, but for
+    those named so, or forms, that hold the article. Each
     line has its characters outside links a tag; smoothed ratios fall in two clusters, and the higher one marks content.
     The region is then the element around the marked lines: the articles (or, without any, the main part) that hold marked
     text; else the innermost element with nine tenths of it. Of a region every line counts, short ones too, but
     for lines of links alone at its edges where no article or main part bounds it.
     """
-    parser = _Lines()
-    parser.feed(html or "")
-    parser.close()
-    parser.flush()
-    lines = parser.lines
+    lines = _parsed(html or "", _released(html or "")).lines
     if not lines:
         return ""
     ratios = np.array([(len(t) - linked) / max(1, tags) for t, tags, linked, _ in lines])
