@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: a MinHash LSH forest finds candidates, exact set comparison decides."""
+"""N-gram Jaccard join: MinHash bands (in place of an LSH forest) find candidates, exact set comparison decides."""
 
 from __future__ import annotations
 
@@ -211,7 +211,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
 
     Words are runs of digits, letters a-z and anything beyond ASCII in A-Z-lowered text; a text of fewer than five words is
     one shingle. Whole texts are hashed, in chunks. First, equal sets become one representative. Its minhashes make
-    a key in each of the forest's tries: a prefix as long as the recall at the threshold allows. Representatives that share a key with
+    a key in each band: a prefix as long as the recall at the threshold allows, of one depth for all. Representatives that share a key with
     others hang together in groups; each group is dealt to blocks of bounded size, every two blocks meet in one task, and there
     all their pairs are compared exactly. Tasks return counts and forests, never pairs, so a group of n near copies gives
     rows in proportion to n times its blocks, and none of its links is lost. A key, a group or a set of copies that holds
