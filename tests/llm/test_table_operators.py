@@ -74,8 +74,8 @@ def test_topk_against_all_products(spark):
     rows += [(500, None, "x"), (550, [1.0, None], "x"), (600, [float("nan")] * 6, "x"), (650, [float("inf")] * 6, "x"), (None, [9.0] * 6, "x"), (700, [], "x")]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, score string")
     v = Scratch(spark).table(topk.quantised(df), "v")
-    for pivots, block in ((8, 50), (64, 4096)):
-        got = sorted(map(tuple, topk.top_k(v, v.where("vec_id % 50 = 0"), pivots=pivots, block_rows=block).select("query_id", "rank", "vec_id", "score").collect()))
+    for pivots, block, asked in ((8, 50, 3), (64, 4096, 4096), (1, 100, 2)):
+        got = sorted(map(tuple, topk.top_k(v, v.where("vec_id % 50 = 0"), pivots=pivots, block_rows=block, query_rows=asked).select("query_id", "rank", "vec_id", "score").collect()))
         held = [(i, x, np.floor(256 * np.array(e, float)).astype(int)) for i, (x, e, _) in enumerate(rows) if x is not None and e and all(c is not None and np.isfinite(c) for c in e)]
         want = []
         for i, q, e in held:
@@ -88,6 +88,27 @@ def test_topk_against_all_products(spark):
     assert topk.top_k(few.limit(0), few.limit(0)).count() == 0
 
 
+def test_topk_sends_only_rows_within_reach(spark):
+    rnd = np.random.RandomState(8)
+    centres = rnd.randn(40, 12) * 6
+    points = centres[np.arange(4000) % 40] + rnd.randn(4000, 12) * 0.05
+    df = spark.createDataFrame([(i, (x * (1 + i % 3 / 10)).tolist()) for i, x in enumerate(points)], "vec_id bigint, embedding array<double>")
+    v = Scratch(spark).table(topk.quantised(df), "clustered")
+    report = {}
+    got = topk.top_k(v, v.where("vec_id % 50 = 0"), block_rows=200, query_rows=8, report=report).collect()
+    x = np.floor(256 * np.array([r["embedding"] for r in df.collect()])).astype(np.int64)
+    want = set()
+    for q in range(0, 4000, 50):
+        best = sorted((-int(s), i) for i, s in enumerate(x @ x[q]) if i != q)[:5]
+        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    assert set(map(tuple, got)) == want
+    assert report["kept"] < 0.3
+
+
+def test_cells_are_dealt_to_bounded_blocks():
+    assert topk.dealt({0: 30, 1: 30, 2: 250, 3: 90, 4: 10}, [4, 3, 0, 5, 1, 2], 100) == [(4, 0, 1), (3, 0, 1), (0, 1, 1), (1, 1, 1), (2, 2, 3)]
+
+
 def test_decontamination_against_loops(spark):
     rnd = random.Random(2)
     items = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(n))) for i, n in enumerate((12, 10, 3, 25, 0, 9))] + [(None, "p q r s t u v w x y z"), (7, None), (10, "a a a a a a a a a a")]
