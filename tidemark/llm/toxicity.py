@@ -7,31 +7,34 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, table
+from tidemark.llm.common import Scratch, drawn, table
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Beginnings of so many letters count as terms beside the whole word.
 PREFIXES = (4, 5, 6, 7)
-#: About so many labelled examples of either label are fitted on, chosen by a hash of their ids.
-SAMPLE_DOCS = 4_000
-TERMS = 3_000
-#: About twice the logarithm of how many terms a sample has: few are kept by chance.
-LEAST_SURPRISE = 18.0
-#: A term is this many times as common under one label as under the other.
-LEAST_RATIO = 8.0
+#: So many labelled examples of either label are fitted on at most, chosen by a hash of id and text.
+SAMPLE_DOCS = 2_000
+#: A term is indexed if at least this share of the examples, and at least three of them, hold it.
+FLOOR = 0.005
 NEIGHBOURS = 12
 BLOCK = 64
 SHARPNESS = 4.0
 THRESHOLD = 0.3
-#: So many words, and vectors, are remembered in a task.
+#: Terms that this share of the vectors hold, the commonest MATRIX_TERMS of them at most, have rows of a matrix in place of postings.
+COMMON = 1 / 16
+MATRIX_TERMS = 1_024
+#: Texts that are searched together, and blocks that each is held against first.
+CHUNK = 256
+FIRST_BLOCKS = 2
+#: So many words are remembered in a task.
 KNOWN_WORDS = 200_000
-KNOWN_VECTORS = 50_000
 
 
 def word_terms(word: str) -> list[str]:
@@ -39,49 +42,44 @@ def word_terms(word: str) -> list[str]:
 
 
 def _term_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents that hold a term, by label."""
+    """Documents that hold a term."""
     for b in batches:
-        held: dict[str, list[int]] = {}
-        for text, toxic in zip(b["text"], b["toxic"], strict=True):
-            for term in {t for w in set(WORD.findall(text.lower())) for t in word_terms(w)}:
-                held.setdefault(term, [0, 0])[toxic] += 1
-        yield pd.DataFrame({"term": list(held), "clean": [x[0] for x in held.values()], "toxic": [x[1] for x in held.values()]})
+        held = Counter(t for text in b["text"] for t in {t for w in set(WORD.findall(text.lower())) for t in word_terms(w)})
+        yield pd.DataFrame({"term": list(held), "n": list(held.values())})
 
 
 class Terms:
-    """Counts of the chosen terms in a text. Words met before are remembered, up to a number of them."""
+    """Counts of the indexed terms in a text. Words met before are remembered, up to a number of them."""
 
     def __init__(self, terms: list[str]):
         self.at = {t: i for i, t in enumerate(terms)}
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def of(self, text: str) -> dict[int, int]:
-        known, at, out = self.known, self.at, {}
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        known, at = self.known, self.at
         if len(known) > KNOWN_WORDS:
             known.clear()
-        for word, n in Counter(WORD.findall(text.lower())).items():
+        ids: list[int] = []
+        for word in WORD.findall(text.lower()):
             found = known.get(word)
             if found is None:
                 found = known[word] = tuple(at[t] for t in word_terms(word) if t in at)
-            for i in found:
-                out[i] = out.get(i, 0) + n
-        return out
+            ids += found
+        return np.unique(np.array(ids, np.int32), return_counts=True)
 
 
 @dataclass
 class Index:
     """Distinct example vectors with the weight of toxic and of all examples that have them, in blocks of documents.
 
-    A term's postings lie together, block after block; ``most`` has each term's highest weight within each block, which
-    bounds the cosine of everything in the block.
+    A term's postings lie together, by document. What a block's documents hold at most of each term bounds their cosines.
     """
 
     terms: list[str]
-    idf: np.ndarray
-    ptr: np.ndarray  # term x (blocks + 1): where its postings in a block begin
+    weights: np.ndarray  # of terms
+    ptr: np.ndarray  # where a term's postings begin
     doc: np.ndarray
     weight: np.ndarray
-    most: np.ndarray  # term x block
     toxic: np.ndarray
     total: np.ndarray
     example: np.ndarray  # the smallest doc_id with the vector
@@ -89,66 +87,94 @@ class Index:
     raw: np.ndarray  # calibration: votes and what share was toxic
     share: np.ndarray
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.fromiter(sorted(counts), np.int64, len(counts))
-        w = np.array([1 + math.log(counts[i]) for i in ids.tolist()]) * self.idf[ids]
-        return ids, w / math.sqrt((w * w).sum()) if len(w) else w
-
-    def nearest(self, ids: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """The k example vectors of the highest cosine, and all that tie with the last: exact.
-
-        Blocks come by their bound; the first one whose bound is under the k-th cosine so far ends the search.
+    @cached_property
+    def matrix(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each term's column (-1: none), the columns' weights by block and document, and the highest of them by block."""
+        blocks, df = -(-len(self.toxic) // BLOCK), np.diff(self.ptr)
+        common = np.argsort(-df, kind="stable")[:MATRIX_TERMS]
+        common = common[df[common] >= max(1, COMMON * len(self.toxic))]
+        column = np.full(len(self.terms), -1)
+        column[common] = np.arange(len(common))
+        dense = np.zeros((blocks * BLOCK, len(common)), np.float32)
+        for i, t in enumerate(common.tolist()):
+            s, e = self.ptr[t], self.ptr[t + 1]
+            dense[self.doc[s:e], i] = self.weight[s:e]
+        dense = dense.reshape(blocks, BLOCK, len(common))
+        return column, dense, dense.max(1)
+
+    def vector(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        w = (1 + np.log(counts)) * self.weights[ids]
+        return w / math.sqrt((w * w).sum()) if len(w) else w
+
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the k example vectors of the highest cosine, and all that tie with the last: exact, to single precision.
+
+        The rarer terms' postings are read first. The highest weights of the common terms in a block bound what these can add there.
+        The blocks with the highest bounds are scored in full, then all whose bound reaches the k-th cosine so far; texts that
+        need the same block are scored together.
         """
-        blocks = self.most.shape[1]
-        if not len(ids) or not blocks:
-            return np.zeros(0, np.int64), np.zeros(0)
-        bound = w @ self.most[ids]
-        docs, cosines, kth = [], [], 0.0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] + 1e-9 < kth or bound[b] <= 0:
-                break
-            got = np.zeros(BLOCK)
-            for i, x in zip(ids.tolist(), w.tolist(), strict=True):
-                s, e = self.ptr[i, b], self.ptr[i, b + 1]
-                if e > s:
-                    got[self.doc[s:e]] += x * self.weight[s:e]
-            at = np.flatnonzero(got > 1e-12)
-            docs.append(at + b * BLOCK)
-            cosines.append(got[at])
-            if sum(map(len, cosines)) >= k:
-                every = np.concatenate(cosines)
-                kth = np.partition(every, len(every) - k)[len(every) - k]
-        if not docs:
-            return np.zeros(0, np.int64), np.zeros(0)
-        d, c = np.concatenate(docs), np.concatenate(cosines)
-        if len(c) > k:
-            keep = c >= np.partition(c, len(c) - k)[len(c) - k] - 1e-9
-            d, c = d[keep], c[keep]
-        order = np.lexsort((self.example[d], -c))
-        return d[order], c[order]
-
-    def vote(self, ids: np.ndarray, w: np.ndarray, without: tuple[float, float] | None = None) -> tuple[float, int | None, float]:
+        n, blocks = len(self.toxic), -(-len(self.toxic) // BLOCK)
+        for at in range(0, len(vectors), CHUNK):
+            part = vectors[at : at + CHUNK]
+            if not n:
+                yield from ((np.zeros(0, np.int64), np.zeros(0)) for _ in part)
+                continue
+            column, dense, most = self.matrix
+            q = np.repeat(np.arange(len(part)), [len(v[0]) for v in part])
+            ids, w = (np.concatenate([v[i] for v in part]) for i in (0, 1))
+            common = column[ids] >= 0
+            known = np.zeros((len(part), dense.shape[2]), np.float32)
+            known[q[common], column[ids[common]]] = w[common]
+            rare, of, x = ids[~common], q[~common], w[~common]
+            size = self.ptr[rare + 1] - self.ptr[rare]
+            post = np.repeat(self.ptr[rare] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            cell = np.repeat(of * (blocks * BLOCK), size) + self.doc[post]
+            got = np.bincount(cell, np.repeat(x, size) * self.weight[post], len(part) * blocks * BLOCK).astype(float).reshape(len(part), blocks, BLOCK)
+            bound = got.max(2) + known @ most.T + 1e-4
+            scores = np.zeros_like(got)
+            first = bound >= np.sort(bound, 1)[:, -min(FIRST_BLOCKS, blocks), None]
+            self._score(first, got, known, scores)
+            flat = scores.reshape(len(part), -1)
+            kth = np.partition(flat, flat.shape[1] - min(k, n), axis=1)[:, -min(k, n)]
+            self._score((bound >= kth[:, None]) & ~first, got, known, scores)
+            for row in flat:
+                d = np.flatnonzero(row > 1e-6)
+                if len(d) > k:
+                    d = d[row[d] >= np.partition(row[d], len(d) - k)[len(d) - k] - 1e-6]
+                order = np.lexsort((self.example[d], -row[d]))
+                yield d[order], row[d[order]]
+
+    def _score(self, wanted: np.ndarray, got: np.ndarray, known: np.ndarray, scores: np.ndarray) -> None:
+        """Full cosines of the texts and blocks that are wanted."""
+        for b in np.flatnonzero(wanted.any(0)).tolist():
+            texts = np.flatnonzero(wanted[:, b])
+            scores[texts, b] = got[texts, b] + known[texts] @ self.matrix[1][b].T
+
+    def vote(self, d: np.ndarray, c: np.ndarray, without: tuple[float, float] | None = None) -> tuple[float, int | None, float]:
         """The share of toxic weight among the nearest, by cosine to the power of SHARPNESS; the nearest example and its cosine.
 
         ``without``: this toxic and total weight is taken off the vector's own examples (for calibration).
         """
-        d, c = self.nearest(ids, w)
         if not len(d):
             t, n = self.none
             if without:
                 t, n = t - without[0], n - without[1]
             return (t / n if n > 1e-9 else 0.0), None, 0.0
         t, n = self.toxic[d].copy(), self.total[d].copy()
-        if without and c[0] > 1 - 1e-9:
+        if without and c[0] > 1 - 1e-5:
             t[0], n[0] = t[0] - without[0], max(0.0, n[0] - without[1])
         v = c**SHARPNESS
-        return (float((v * t).sum() / (v * n).sum()) if (v * n).sum() > 1e-9 else 0.0), int(self.example[d[0]]), float(c[0])
-
-    def score(self, counts: dict[int, int]) -> tuple[float, int | None, float]:
-        raw, example, cosine = self.vote(*self.vector(counts))
-        if len(self.raw):
-            raw = float(np.interp(raw, self.raw, self.share))
-        return min(1.0, max(0.0, raw)), example, cosine
+        return (float((v * t).sum() / (v * n).sum()) if (v * n).sum() > 1e-9 else 0.0), int(self.example[d[0]]), float(min(1.0, c[0]))
+
+    def score(self, counted: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, int | None, float]]:
+        """Calibrated score, nearest example and its cosine of each text's terms and counts."""
+        out = []
+        for d, c in self.nearest([(ids, self.vector(ids, counts)) for ids, counts in counted]):
+            raw, example, cosine = self.vote(d, c)
+            if len(self.raw):
+                raw = float(np.interp(raw, self.raw, self.share))
+            out.append((min(1.0, max(0.0, raw)), example, cosine))
+        return out
 
 
 def _isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,114 +197,91 @@ def _isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray,
     return np.array(xs), np.maximum.accumulate(np.array(ys))
 
 
-def build_index(terms: list[str], doc_ids: list[int], counts: list[dict[int, int]], toxic: list[int], weights: list[float]) -> Index:
-    """The index over these examples, and its calibration by leaving each example out in turn."""
+def term_weights(clean: np.ndarray, toxic: np.ndarray, n_clean: float, n_toxic: float) -> np.ndarray:
+    """IDF times how surely a term stands oftener under one label than under the other: its log odds ratio in standard errors.
+
+    Every term keeps a weight above 0, and so every term counts in the cosine.
+    """
+    odds = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
+    sure = np.abs(odds) / np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+    return (np.log((1 + n_clean + n_toxic) / (1 + clean + toxic)) + 1) * (sure + 0.01)
+
+
+def build_index(terms: list[str], doc_ids: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], toxic: list[int], weights: list[float]) -> Index:
+    """The index over these examples, ``vectors`` being their terms and counts, and its calibration by leaving each example out in turn."""
     n = len(doc_ids)
-    df = np.zeros(len(terms))
-    for c in counts:
-        df[list(c)] += 1
-    idf = np.log((1 + n) / (1 + df)) + 1
-    groups: dict[tuple, list[float]] = {}
+    held_by = [np.bincount(np.concatenate([np.zeros(0, np.int32)] + [v[0] for v, t in zip(vectors, toxic, strict=True) if t == label]), minlength=len(terms)) for label in (0, 1)]
+    of_term = term_weights(*held_by, toxic.count(0), toxic.count(1))
+    groups: dict[tuple[bytes, bytes], list] = {}
     none = [0.0, 0.0]
-    for doc, c, t, w in zip(doc_ids, counts, toxic, weights, strict=True):
-        if not c:
+    for doc, (ids, counts), t, w in zip(doc_ids, vectors, toxic, weights, strict=True):
+        if not len(ids):
             none = [none[0] + t * w, none[1] + w]
             continue
-        g = groups.setdefault(tuple(sorted(c.items())), [0.0, 0.0, doc])
-        g[:] = [g[0] + t * w, g[1] + w, min(g[2], doc)]
-    held = Index(terms, idf, np.zeros((0, 0), np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros((len(terms), 0)), np.zeros(0), np.zeros(0), np.zeros(0, np.int64), (none[0], none[1]), np.zeros(0), np.zeros(0))
-    vectors = [(*held.vector(dict(key)), g) for key, g in groups.items()]
+        g = groups.setdefault((ids.tobytes(), counts.tobytes()), [0.0, 0.0, doc, ids, counts])
+        g[:3] = [g[0] + t * w, g[1] + w, min(g[2], doc)]
+    empty = np.zeros(0)
+    held = Index(terms, of_term, np.zeros(len(terms) + 1, np.int64), empty.astype(np.int32), empty.astype(np.float32), empty, empty, empty.astype(np.int64), (none[0], none[1]), empty, empty)
+    known = [(g[3], held.vector(g[3], g[4]), g) for g in groups.values()]
     # Vectors with the same heaviest term stand together, which keeps the blocks' bounds tight.
-    vectors.sort(key=lambda v: (int(v[0][v[1].argmax()]), -float(v[1].max()), v[2][2]))
-    blocks = -(-len(vectors) // BLOCK)
-    posts = sorted((int(t), d // BLOCK, d % BLOCK, float(x)) for d, (ids, w, _) in enumerate(vectors) for t, x in zip(ids, w, strict=True))
-    most, ptr = np.zeros((len(terms), blocks)), np.zeros(len(terms) * blocks + 1, np.int64)
-    for t, b, _, x in posts:
-        most[t, b] = max(most[t, b], x)
-        ptr[t * blocks + b + 1] += 1
-    ptr = np.cumsum(ptr)
-    held.most = most
-    held.ptr = ptr[np.arange(len(terms))[:, None] * blocks + np.arange(blocks + 1)[None, :]] if blocks else np.zeros((len(terms), 1), np.int64)
-    held.doc = np.array([p[2] for p in posts], np.int64)
-    held.weight = np.array([p[3] for p in posts])
-    held.toxic, held.total, held.example = (np.array([v[2][i] for v in vectors], float if i < 2 else np.int64) for i in range(3))
-    votes: dict[tuple, float] = {}
-    for c, t, w in zip(counts, toxic, weights, strict=True):
-        if (key := (t, w, *sorted(c.items()))) not in votes:
-            votes[key] = held.vote(*held.vector(c), without=(t * w, w))[0]
-    raw = np.array([votes[t, w, *sorted(c.items())] for c, t, w in zip(counts, toxic, weights, strict=True)])
+    known.sort(key=lambda v: (int(v[0][v[1].argmax()]), -float(v[1].max()), v[2][2]))
+    if known:
+        term, doc = np.concatenate([v[0] for v in known]), np.repeat(np.arange(len(known), dtype=np.int32), [len(v[0]) for v in known])
+        order = np.argsort(term, kind="stable")
+        held.ptr = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))])
+        held.doc, held.weight = doc[order], np.concatenate([v[1] for v in known])[order].astype(np.float32)
+    held.toxic, held.total, held.example = (np.array([v[2][i] for v in known], float if i < 2 else np.int64) for i in range(3))
+    found = held.nearest([(ids, held.vector(ids, counts)) for ids, counts in vectors])
+    raw = np.array([held.vote(d, c, without=(t * w, w))[0] for (d, c), t, w in zip(found, toxic, weights, strict=True)])
     if n:
         # Weights count examples of the table; the pools' half example is one of the sample.
-        scale = np.array(weights) / max(1e-12, min(weights))
-        held.raw, held.share = _isotonic(raw, np.array(toxic, float), scale)
+        held.raw, held.share = _isotonic(raw, np.array(toxic, float), np.array(weights) / max(1e-12, min(weights)))
     return held
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, terms: int = TERMS) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, floor: float = FLOOR) -> Index:
     """An index over a sample of ``labels (doc_id, toxic)`` with their texts of ``docs (doc_id, text)``.
 
-    Each label's documents get in with a chance of sample_docs to their number, by a hash of doc_id, and count as many times as
-    they stand for. Terms are words and word beginnings; those kept are at most ``terms`` by their log-likelihood ratio
-    against the label (which holds for rare terms too), none under LEAST_SURPRISE and all LEAST_RATIO times as common under one label as under the other. Labels other than 0 and 1, null ids and null texts teach nothing; a doc_id
-    labelled twice is toxic if one label says so.
+    Of each label at most sample_docs documents get in, the first by a hash of their ids, and count as many times as
+    they stand for. Terms are words and word beginnings; all that a share ``floor`` of the examples hold are indexed, whatever their label. Labels
+    other than 0 and 1, null ids and null texts teach nothing; a doc_id labelled twice is toxic if one label says so.
     """
     spark = docs.sparkSession
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    lot = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
-    chance = {k: min(1.0, sample_docs / totals[k]) if totals.get(k) else 0.0 for k in (0, 1)}
-    chosen = known.where(lot < F.when(F.col("toxic") == 1, int(1e6 * chance[1])).otherwise(int(1e6 * chance[0])))
-    # At most about twice sample_docs ids.
+    chosen = drawn(known, "toxic", totals, sample_docs, "doc_id")
+    # At most twice sample_docs ids; where an id repeats, so do its texts, and those are drawn once more.
     scratch = Scratch(spark)
-    sample = scratch.table(docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "examples")
+    met = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = scratch.table(drawn(met, "toxic", {k: sample_docs for k in totals}, sample_docs, "doc_id", "text"), "examples")
 
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pos, neg = n.get(1, 0), n.get(0, 0)
-    held = sample.mapInPandas(_term_batches, "term string, clean bigint, toxic bigint").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    with_, both = F.col("clean") + F.col("toxic"), float(pos + neg)
-    cell = lambda seen, row, total: F.when(seen > 0, seen * F.log(seen * both / (row * float(total)))).otherwise(0.0)
-    surprise = 2 * sum(
-        (cell(F.col(c), with_, n_c) + cell(float(n_c) - F.col(c), both - with_, n_c) for c, n_c in (("toxic", pos), ("clean", neg))), F.lit(0.0)
-    )
-    rate = lambda c, n: (F.col(c) + 0.5) / (n + 1)
-    ratio = F.abs(F.log(rate("toxic", pos) / rate("clean", neg)))
-    best = held.where((with_ >= 3) & (ratio >= math.log(LEAST_RATIO))).withColumn("surprise", surprise).where(F.col("surprise") >= LEAST_SURPRISE)
-    best = best.orderBy(F.desc("surprise"), "term").limit(terms)
-    names = [r["term"] for r in best.collect()]
+    held = sample.mapInPandas(_term_batches, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    names = [r["term"] for r in held.where(F.col("n") >= max(3, math.ceil(floor * sum(n.values())))).select("term").orderBy("term").collect()]
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Terms(names)
         for b in batches:
             found = [reader.of(t) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "terms": [list(f) for f in found], "counts": [list(f.values()) for f in found]})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "terms": [f[0].tobytes() for f in found], "counts": [f[1].astype("<i4").tobytes() for f in found]})
 
-    rows = sample.mapInPandas(vectors, "doc_id bigint, toxic int, terms array<int>, counts array<int>").orderBy("doc_id", "toxic").collect()
+    rows = sample.mapInPandas(vectors, "doc_id bigint, toxic int, terms binary, counts binary").orderBy("doc_id", "toxic", "terms", "counts").collect()
     scratch.drop("examples")
     return build_index(
         names,
         [r["doc_id"] for r in rows],
-        [dict(zip(r["terms"], r["counts"], strict=True)) for r in rows],
+        [(np.frombuffer(r["terms"], np.int32), np.frombuffer(r["counts"], "<i4")) for r in rows],
         [r["toxic"] for r in rows],
-        [1 / max(chance[r["toxic"]], 1e-6) for r in rows],
+        [totals[r["toxic"]] / n[r["toxic"]] for r in rows],
     )
 
 
 def _scorer(held):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = held.value
-        reader, known = Terms(index.terms), {}
-
-        def scored(text: str) -> tuple[float, int | None, float]:
-            counts = reader.of(text)
-            key = tuple(sorted(counts.items()))
-            if key not in known:
-                if len(known) > KNOWN_VECTORS:
-                    known.clear()
-                known[key] = index.score(counts)
-            return known[key]
-
+        reader = Terms(index.terms)
         for b in batches:
-            found = [scored(t) for t in b["text"]]
+            found = index.score([reader.of(t) for t in b["text"]])
             yield pd.DataFrame({"doc_id": b["doc_id"], "score": [x[0] for x in found], "nearest_example": pd.array([x[1] for x in found], "Int64"), "cosine": [x[2] for x in found]})
 
     return run
@@ -287,9 +290,9 @@ def _scorer(held):
 def score(docs: DataFrame, index: Index) -> DataFrame:
     """``docs (doc_id, text)`` with score, predicted, and as evidence the nearest example and its cosine; other columns are dropped.
 
-    Whole texts count. Null and empty texts, and texts without any of the terms, get the share of toxic examples among those without
+    Whole texts count. Null and empty texts, and texts without any indexed term, get the share of toxic examples among those without
     terms. Equal rows each get a row, a null doc_id too; an empty table gives an empty result. Without labels all
-    scores are 0. The index, of a bounded sample and bounded terms, is broadcast.
+    scores are 0. The index, of a bounded sample, is broadcast.
     """
     kind = docs.schema["doc_id"].dataType
     held = docs.sparkSession.sparkContext.broadcast(index)
