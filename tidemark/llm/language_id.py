@@ -9,16 +9,17 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, table
+from tidemark.llm.common import Scratch, drawn, table
 
 SIZES = (3, 4)
 SLOT_BITS = 19
 HASHES = 3
 #: Languages a mask word holds; more take several words a slot.
 MASK_LANGUAGES = 64
-#: About so many documents of each language are fitted on, chosen by a hash of their ids.
+#: So many documents of each language are fitted on at most, chosen by a hash of id and text.
 SAMPLE_DOCS = 2_000
 GRAMS_A_LANGUAGE = 30_000
 PIECE = 1 << 16
@@ -85,6 +86,11 @@ class Filters:
         kind = next((t for most, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32)) if len(languages) <= most), np.uint64)
         return cls(languages, (slots if words > 1 else slots[0]).astype(kind), np.array(fill) ** HASHES)
 
+    @property
+    def empty(self) -> bool:
+        """Whether no language holds any n-gram, so that no prediction means anything."""
+        return not self.slots.any()
+
     def masks(self, h: np.ndarray) -> np.ndarray:
         """All languages that hold each n-gram, as bits; a row for each 64 where there are more."""
         out = None
@@ -93,16 +99,14 @@ class Filters:
         return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The language with the highest corrected popcount, and that count as a share of the n-grams; ``und`` without letters."""
+        """The language with the highest corrected popcount (of equal ones the first by name), and that count as a share of the n-grams; ``und`` without letters."""
         counts, n = np.zeros(len(self.languages)), 0
         for h in gram_hashes(text or ""):
             masks = np.atleast_2d(self.masks(h))
             n += len(h)
             bit = [masks.dtype.type(1 << k) for k in range(min(MASK_LANGUAGES, len(self.languages)))]
             counts += [np.count_nonzero(masks[at // MASK_LANGUAGES] & bit[at % MASK_LANGUAGES]) for at in range(len(self.languages))]
-        if not n:
-            return UND, 0.0
-        if not self.languages:
+        if not n or not self.languages:
             return UND, 0.0
         real = np.clip((counts - n * self.false) / (1 - np.minimum(self.false, 0.99)), 0, n)
         best = int(real.argmax())
@@ -123,29 +127,29 @@ def _count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS_A_LANGUAGE) -> Filters:
     """Filters from ``labelled (doc_id, text, lang)``.
 
-    The sample takes a language's documents with a chance of sample_docs to their number, by a hash of doc_id, so it is
-    about sample_docs a language however large the table. An n-gram's documents are counted per language; a language holds those n-grams that at
-    least a hundredth of its sampled documents (two, of a few) and at least a fifth as large a share of them as of any other language's have, at most
-    ``grams`` of the commonest. Rows with a null text or language teach nothing.
+    Of each language at most sample_docs documents are taken, the first by a hash of doc_id and text. An n-gram's documents are counted per
+    language; a language holds those n-grams that at least a hundredth of its sampled documents (two, of a few) and at least a fifth as large
+    a share of them as of any other language's have, at most ``grams`` of the commonest. Rows with a null text or language teach nothing.
     """
     known = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     # Counted without the texts, which a columnar scan then leaves unread.
     totals = {r["lang"]: r["n"] for r in labelled.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals:
         return Filters.build({})
-    lot = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
-    share = F.create_map(*[x for name, n in totals.items() for x in (F.lit(name), F.lit(int(1_000_000 * min(1.0, sample_docs / n))))])
-    sample = known.where(lot < share[F.col("lang")]).select("lang", "text")
+    scratch = Scratch(labelled.sparkSession)
+    sample = scratch.table(drawn(known, "lang", totals, sample_docs, "doc_id", "text").select("lang", "text"), "sample")
+    sizes = sample.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
     counts = sample.mapInPandas(_count_batches, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    sampled = F.create_map(*[x for name, n in totals.items() for x in (F.lit(name), F.lit(float(min(n, sample_docs))))])
-    held = counts.withColumn("share", F.col("n") / sampled[F.col("lang")]).where((F.col("share") >= 0.01) & (F.col("n") >= F.when(sampled[F.col("lang")] >= 20, 2).otherwise(1)))
+    # A row a language, of which there are few.
+    held = counts.join(F.broadcast(sizes), "lang").withColumn("share", F.col("n") / F.col("docs"))
+    held = held.where((F.col("share") >= 0.01) & (F.col("n") >= F.when(F.col("docs") >= 20, 2).otherwise(1)))
     most = held.groupBy("gram").agg(F.max("share").alias("most"))
-    chosen = Scratch(labelled.sparkSession).table(held.join(most, "gram").where(F.col("share") >= F.col("most") / 5), "grams")
-    rows = {}
-    for name in totals:
-        top = chosen.where(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(grams).select("gram").toPandas()
-        rows[name] = top["gram"].to_numpy(np.int64).view(np.uint64)
-    return Filters.build(rows)
+    chosen = scratch.table(held.join(most, "gram").where(F.col("share") >= F.col("most") / 5).select("lang", "gram", "n"), "grams")
+    first = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    top = chosen.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= grams).select("lang", "gram").toPandas()
+    scratch.drop("sample")
+    found = {name: part.to_numpy(np.int64).view(np.uint64) for name, part in top.groupby("lang")["gram"]}
+    return Filters.build({name: found.get(name, np.zeros(0, np.uint64)) for name in totals})
 
 
 def prediction(spark: SparkSession, filters: Filters):
