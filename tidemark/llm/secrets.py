@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import Scratch, table
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -22,8 +22,11 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "random")
 
-#: A token that may be a secret: long, of an encoding's alphabet, not inside a longer run of letters beyond ASCII.
-TOKEN = re.compile(r"(?<![^\W_])[A-Za-z0-9+/_=-]{20,}(?![^\W_])")
+#: A run that may hold a secret, not inside a longer run of letters beyond ASCII; its padding goes along.
+RUN = re.compile(r"(?<![^\W_])[A-Za-z0-9+/_-]{16,}(?![^\W_])={0,2}")
+LEAST_RANDOM = 16
+#: Where a run is cut if it is not random as a whole, one after the other: paths and sums, then words of identifiers.
+CUTS = (re.compile(r"[+/]"), re.compile(r"[_-]"))
 ALPHABETS = {
     "digits": "0123456789",
     "hex": "0123456789abcdef",
@@ -34,12 +37,22 @@ ALPHABETS = {
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
-#: Log probabilities of what comes next in a word-like token (words, identifiers, numbers), by the kinds of the two
-#: characters: l lower case, u upper case, d digit, m mark; a kind's characters count as equally likely.
-NEXT = {a + b: math.log(x) for a, row in {"l": (0.80, 0.10, 0.05, 0.05), "u": (0.45, 0.45, 0.05, 0.05), "d": (0.15, 0.10, 0.65, 0.10), "m": (0.60, 0.20, 0.15, 0.05)}.items() for b, x in zip("ludm", row, strict=True)}
-KIND_SIZE = {"l": math.log(26), "u": math.log(26), "d": math.log(10), "m": math.log(4)}
+#: Bins of the uniformity test: characters that words, names and numbers use alike often.
+BINS = ("01", "234", "56789", "etaoinsr", "hldcumfpg", "wybvkxjqz", "ETAOINSR", "HLDCUMFPG", "WYBVKXJQZ", "+/-_")
+LEAST_EXPECTED = 2.0
 FALSE_DISCOVERY = 0.01
-BATTERY_LEVEL = 0.001
+#: Combined p values at which the battery can be cut, and the one from which only random tokens are expected.
+LEVELS = (0.001, 0.003, 0.01, 0.03, 0.1, 0.3)
+SURELY = 0.5
+
+
+@lru_cache(maxsize=None)
+def _tables(encoding: str) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+    """Each character's place in the alphabet, the bin of each place, and the bins' shares of the alphabet."""
+    letters = ALPHABETS[encoding]
+    bins = [b for b in ("".join(c for c in chars if c in letters) for chars in BINS) if b]
+    bin_of = np.array([next(i for i, b in enumerate(bins) if c in b) for c in letters])
+    return {c: i for i, c in enumerate(letters)}, bin_of, np.bincount(bin_of) / len(letters)
 
 
 def infer_encoding(token: str) -> str | None:
@@ -56,16 +69,19 @@ def _upper_chi2(x: float, df: int) -> float:
 
 def battery(token: str, encoding: str) -> dict[str, float]:
     """P values under the null that the characters are drawn evenly and independently from the encoding's alphabet."""
-    body, letters = token.rstrip("="), ALPHABETS[encoding]
-    at = {c: i for i, c in enumerate(letters)}
-    x = np.array([at[c] for c in body], dtype=float)
-    n, k = len(x), len(letters)
-    # Alphabet uniformity over so many bins that each expects five or more characters.
-    bins = max(2, min(k, n // 5))
-    # Bins of (nearly) equal letters; what is expected follows the letters in each.
-    cell = (x * bins // k).astype(int)
-    share = np.bincount(np.arange(k) * bins // k, minlength=bins) / k
-    chi = float((((np.bincount(cell, minlength=bins) - n * share) ** 2) / (n * share)).sum())
+    at, bin_of, shares = _tables(encoding)
+    x = np.array([at[c] for c in token.rstrip("=")])
+    n, k = len(x), len(at)
+    # Alphabet uniformity: bins too small for so short a token join the next one.
+    seen, expected, cells = np.bincount(bin_of[x], minlength=len(shares)), shares * n, [[0.0, 0.0]]
+    for o, e in zip(seen.tolist(), expected.tolist(), strict=True):
+        if cells[-1][1] >= LEAST_EXPECTED:
+            cells.append([0.0, 0.0])
+        cells[-1] = [cells[-1][0] + o, cells[-1][1] + e]
+    if len(cells) > 1 and cells[-1][1] < LEAST_EXPECTED:
+        last = cells.pop()
+        cells[-1] = [cells[-1][0] + last[0], cells[-1][1] + last[1]]
+    chi = sum((o - e) ** 2 / e for o, e in cells)
     # Runs above and below the middle of the alphabet.
     high = x >= k / 2
     n1, n2 = int(high.sum()), int((~high).sum())
@@ -79,99 +95,157 @@ def battery(token: str, encoding: str) -> dict[str, float]:
     c = x - x.mean()
     r = float((c[1:] * c[:-1]).sum() / (c * c).sum()) if c.any() else 1.0
     z = (r + 1 / n) * math.sqrt(n)
-    return {"uniform": _upper_chi2(chi, bins - 1), "runs": p_runs, "serial": math.erfc(abs(z) / math.sqrt(2))}
-
+    return {"uniform": _upper_chi2(chi, len(cells) - 1) if len(cells) > 1 else 1.0, "runs": p_runs, "serial": math.erfc(abs(z) / math.sqrt(2))}
 
-def word_like(token: str, encoding: str) -> float:
-    """A bound on the chance that a word-like token looks as random as this one.
 
-    By Markov's inequality the likelihood ratio of even draws to word-like text exceeds t with chance 1 / t at most
-    when the text is word-like. The bound falls with every character, and so takes the length into account.
-    """
-    body = token.rstrip("=")
-    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "m" for c in body]
-    word = -sum(KIND_SIZE[k] for k in kinds) + math.log(0.25) + sum(NEXT[x + y] for x, y in zip(kinds, kinds[1:], strict=False))
-    return math.exp(min(0.0, word + len(body) * math.log(len(ALPHABETS[encoding]))))
+def combined(p_values: Iterable[float]) -> float:
+    """Fisher's combination of three p values."""
+    x = -sum(math.log(max(p, 1e-300)) for p in p_values)
+    return math.exp(-x) * (1 + x + x * x / 2)
 
 
-def random_tokens(text: str, level: float = FALSE_DISCOVERY) -> list[tuple[int, int]]:
-    """Spans of tokens that pass the battery and are no false discoveries among the text's candidates.
+def candidates(text: str, taken: Callable[[int, int], bool] = lambda s, e: False) -> list[tuple[int, int, str, float]]:
+    """``(start, end, encoding, p)`` of the runs of a text that may be secrets; ``taken`` tells spans that others have.
 
-    Benjamini-Hochberg over the candidates' word-likeness, a candidate's p value weighed by its length (longer
-    tokens, of which a text by chance holds fewer, get more of the level). What fails any test of
-    the battery, by Bonferroni over its three tests, is not taken.
+    A run that the battery refuses is cut, first at signs of paths, then at those of identifiers, and its pieces are tested: a key in a
+    path or behind a name is found by itself. What is refused at every cut is given as a whole, as what chance has to be judged by.
+    """
+    out = []
+
+    def test(s: int, e: int, cuts: int) -> list[tuple[int, int, str, float]]:
+        body = text[s:e].rstrip("=")
+        if len(body) < LEAST_RANDOM:
+            return []
+        encoding, whole = infer_encoding(body), []
+        if encoding and not taken(s, e):
+            whole = [(s, e, encoding, combined(battery(body, encoding).values()))]
+            if whole[0][3] >= LEVELS[0]:
+                return whole
+        for at in range(cuts, len(CUTS)):
+            ends = [m.start() for m in CUTS[at].finditer(text, s, s + len(body))]
+            if ends:
+                pieces = zip([s, *(i + 1 for i in ends)], [*ends, e], strict=True)
+                found = [x for a, b in pieces for x in test(a, b, at + 1)]
+                good = [x for x in found if x[3] >= LEVELS[0]]
+                return good or whole or found
+        return whole
+
+    for m in RUN.finditer(text):
+        out += test(m.start(), m.end(), 0)
+    return out
+
+
+def _class(encoding: str, length: int) -> str:
+    """What candidates are judged with: those of the same encoding and about the same length."""
+    return f"{encoding}:{min(length.bit_length(), 8)}"
+
+
+def cutoffs(histogram: dict[str, dict[float, int]], level: float = FALSE_DISCOVERY) -> dict[str, float]:
+    """The combined p value from which tokens of a class count as random; ``histogram`` has a class's candidates at or above each level and SURELY.
+
+    Random tokens spread evenly over p values, and others fall towards 0, the more so the longer they are. Twice those from SURELY on are
+    therefore about all random ones of a class, and what stands above a level beyond their share of it are false discoveries. The
+    lowest level at which those are ``level`` of all at most (but for two standard errors) is the class's cut-off.
     """
-    found = []
-    for m in TOKEN.finditer(text):
-        if (encoding := infer_encoding(m[0])) and encoding != "digits":  # numbers are no secrets
-            found.append((m.start(), m.end(), word_like(m[0], encoding), encoding))
-    if not found:
-        return []
-    mean = sum(e - s for s, e, *_ in found) / len(found)
-    ranked = sorted((p * mean / (e - s), s, e, c) for s, e, p, c in found)
-    last = max((i for i, (p, *_) in enumerate(ranked, 1) if p <= level * i / len(ranked)), default=0)
-    return [(s, e) for _, s, e, c in ranked[:last] if min(battery(text[s:e], c).values()) >= BATTERY_LEVEL / 3]
-
-
-def scan(text: str) -> list[tuple[str, int, int]]:
-    """All spans (kind, start, end) of a text by start, then kind: the base patterns', and random tokens that touch none of those."""
+    out = {}
+    for name, above in histogram.items():
+        false = lambda t: above[t] - 2 * (1 - t) * above[SURELY] - 2 * math.sqrt(above[t])  # noqa: E731, B023
+        out[name] = next((t for t in LEVELS if false(t) <= level * above[t]), SURELY)
+    return out
+
+
+def base_spans(text: str) -> list[tuple[str, int, int]]:
+    """The spans (kind, start, end) of the base patterns, by start."""
     out = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= LEAST_ASSIGN]
     if "AKIA" in text:
         out += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST_ACCESS]
     out += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    starts, reach = [s for _, s, _ in sorted(out, key=lambda x: x[1])], []
-    for _, _, e in sorted(out, key=lambda x: x[1]):
+    return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
+
+
+def examined(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, int, str, float]]]:
+    """A text's base spans, and its candidates that touch none of them."""
+    base = base_spans(text)
+    starts, reach = [s for _, s, _ in base], []
+    for _, _, e in base:
         reach.append(max(e, reach[-1]) if reach else e)
-    # The spans that begin before a token's end reach into it if the farthest of them does.
+    # The spans that begin before a candidate's end reach into it if the farthest of them does.
     touched = lambda s, e: (k := bisect_left(starts, e)) > 0 and reach[k - 1] > s
-    out += [("random", s, e) for s, e in random_tokens(text) if not touched(s, e)]
-    return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
+    return base, candidates(text, touched)
 
 
-def _joined(spans: list[tuple[str, int, int]]) -> str:
-    return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+def scan(text: str, cuts: dict[str, float]) -> list[tuple[str, int, int]]:
+    """All spans (kind, start, end) of a text by start, then kind: the base patterns', and those of random tokens."""
+    base, others = examined(text)
+    return sorted(base + [("random", s, e) for s, e, c, p in others if p >= cuts.get(_class(c, e - s), SURELY)], key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-def _scan_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        found = [scan(t) for t in b["text"]]
-        base = [[x for x in f if x[0] != "random"] for f in found]
-        count = lambda kind: [sum(x[0] == kind for x in f) for f in found]  # noqa: E731, B023
-        yield pd.DataFrame({
-            "doc_id": b["doc_id"], "n_assign": count("assign"), "n_access": count("access"), "n_hex": count("hex"), "n_random": count("random"),
-            "base_sha256": [hashlib.sha256(_joined(f).encode()).hexdigest() for f in base], "spans": [_joined(f) for f in found],
-        })
+CANDIDATES = "array<struct<s: bigint, e: bigint, class: string, p: double>>"
 
 
-def find_secrets(docs: DataFrame) -> DataFrame:
-    """Secrets in every whole text of ``docs (doc_id, text)``; other columns are dropped.
+def _examine_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        found = [examined(t) for t in b["text"]]
+        spans = [[{"s": s, "k": KINDS.index(k), "e": e} for k, s, e in f[0]] for f in found]
+        others = [[{"s": s, "e": e, "class": _class(c, e - s), "p": p} for s, e, c, p in f[1]] for f in found]
+        yield pd.DataFrame({"doc_id": b["doc_id"], "base": spans, "others": others})
 
-    A span is a pattern's whole match, in code points, end exclusive. Base kinds are assign, access and hex; the battery
-    adds kind ``random`` where no base span lies. Each text is judged by itself, so no rows move. A null or empty
-    text has no spans. Equal rows each get a row, a null doc_id too; an empty table gives an empty result.
-    """
-    whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+def _examine(docs: DataFrame) -> DataFrame:
+    """``(doc_id as string, base, others)``: each text read once."""
     # Whether the id is nullable must not turn it into a float on the way through pandas.
-    ids = whole.select(F.col("doc_id").cast("string"), "text")
-    out = ids.mapInPandas(_scan_batches, "doc_id string, n_assign bigint, n_access bigint, n_hex bigint, n_random bigint, base_sha256 string, spans string")
-    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    whole = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return whole.mapInPandas(_examine_batches, f"doc_id string, base array<struct<s: bigint, k: int, e: bigint>>, others {CANDIDATES}")
+
 
+def fit_cutoffs(examined_docs: DataFrame, level: float = FALSE_DISCOVERY) -> dict[str, float]:
+    """Cut-offs from the candidates of all texts: there is a row a class here, and classes are at most eight an encoding."""
+    each = examined_docs.select(F.explode("others").alias("o")).select("o.class", "o.p")
+    counts = each.groupBy("class").agg(*[F.count_if(F.col("p") >= t).alias(f"n{i}") for i, t in enumerate((*LEVELS, SURELY))]).collect()
+    return cutoffs({r["class"]: {t: r[f"n{i}"] for i, t in enumerate((*LEVELS, SURELY))} for r in counts}, level)
 
-def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every secret span replaced by ``mark``; overlapping spans by one. Rows and other columns stay, n_chars follows the text."""
+
+def find_secrets(docs: DataFrame, level: float = FALSE_DISCOVERY) -> DataFrame:
+    """Secrets in every whole text of ``docs (doc_id, text)``; other columns are dropped.
+
+    A span is a pattern's whole match, in code points, end exclusive. Base kinds are assign, access and hex. Runs of key characters
+    elsewhere go through the battery under their inferred encoding; its three p values are combined, and those of all texts'
+    candidates, by encoding and length, set from which on one counts as ``random``. Each text is read once; spans and candidates are written,
+    and the counts of the candidates are all that meets. A null or empty text has no spans. Equal rows each get a row, a null doc_id too; an
+    empty table gives an empty result.
+    """
+    found = Scratch(docs.sparkSession).table(_examine(docs), "examined")
+    cuts = fit_cutoffs(found, level)
+    known = F.create_map(*[x for name, t in cuts.items() for x in (F.lit(name), F.lit(t))]) if cuts else F.create_map().cast("map<string,double>")
+    passed = F.filter("others", lambda o: o["p"] >= F.coalesce(F.try_element_at(known, o["class"]), F.lit(SURELY)))
+    random = F.transform(passed, lambda o: F.struct(o["s"].alias("s"), F.lit(KINDS.index("random")).alias("k"), o["e"].alias("e")))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), x["k"] + 1), x["s"], x["e"])), ",")
+    count = lambda kind: F.size(F.filter("base", lambda x: x["k"] == KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+    return found.select(
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), count("assign"), count("access"), count("hex"), F.size(random).cast("long").alias("n_random"),
+        F.sha2(joined("base"), 256).alias("base_sha256"), joined(F.array_sort(F.concat("base", random))).alias("spans"),
+    )
+
+
+def redact(docs: DataFrame, mark: str = "[SECRET]", level: float = FALSE_DISCOVERY) -> DataFrame:
+    """``docs`` with every secret span replaced by ``mark``; overlapping spans by one. Rows and other columns stay, n_chars follows the text.
+
+    Candidates of all texts set the cut-offs first, so texts are read twice. Null texts stay null, empty ones empty.
+    """
+    cuts = fit_cutoffs(_examine(docs), level)
 
     @F.pandas_udf("string")
     def cleaned(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: t if t is None else _redacted(t, mark))
+        return texts.map(lambda t: t if t is None else _redacted(t, cuts, mark))
 
     # Else the length below would run it once more.
     out = docs.withColumn("text", cleaned.asNondeterministic()("text"))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
-def _redacted(text: str, mark: str) -> str:
+def _redacted(text: str, cuts: dict[str, float], mark: str) -> str:
     out, at = [], 0
-    for _, s, e in scan(text):
+    for _, s, e in scan(text, cuts):
         if s >= at:
             out += [text[at:s], mark]
         at = max(at, e)
