@@ -209,16 +209,49 @@ def test_one_of_near_copies_stays_with_repeated_and_null_ids(spark):
     assert ((None, b) in got) + ((None, near_b) in got) == 1 and ((5, c) in got) + ((5, near_c) in got) == 1 and len(got) == 6
 
 
-def test_forest_depth_reaches_the_recall():
-    d = jaccard_join.depth_for(0.8, 0.999)
-    assert 1 - (1 - 0.8**d) ** jaccard_join.TREES >= 0.999 > 1 - (1 - 0.8 ** (d + 1)) ** jaccard_join.TREES
+def test_prefixes_are_shortened_until_recall_is_reached():
+    J = jaccard_join
+    seen = lambda depth, *found: [sum(J.found_chance(s, d) / s**depth for s in found) for d in range(1, J.DEEPEST + 1)] + [sum(1 / s**depth for s in found)]
+    # Nothing found: the threshold alone decides, as long as a prefix can be shortened.
+    d = J.next_depth(8, seen(8), 0.8, 0.999)
+    assert J.found_chance(0.8, d) >= 0.999 > J.found_chance(0.8, d + 1)
+    # Close copies are found by the deepest prefixes; loose ones call for shorter ones.
+    assert J.next_depth(8, seen(8, *[0.97] * 500), 0.8, 0.999) is None
+    assert J.next_depth(8, seen(8, *[0.97] * 500, *[0.8] * 60), 0.8, 0.999) in (6, 7)
+    assert J.next_depth(8, seen(8, *[0.8] * 500), 0.8, 0.999) == d
+    assert J.next_depth(1, seen(1), 0.5, 0.9999999999) is None
+
+
+@pytest.mark.parametrize("depth", [4, 6, 8])
+def test_signatures_share_prefixes_as_often_as_computed(depth):
     rnd = np.random.RandomState(1)
     found = 0
-    for _ in range(300):
+    for _ in range(400):
         s = rnd.randint(0, 2**63, 900, dtype=np.int64).astype(np.uint64)
         a, b = np.unique(s[:810]), np.unique(np.concatenate([s[:720], s[810:]]))  # 0.8
-        found += bool((jaccard_join._prefixes(a, d) == jaccard_join._prefixes(b, d)).any())
-    assert found >= 297
+        x, y = (jaccard_join.signature(v).reshape(jaccard_join.TREES, -1)[:, :depth] for v in (a, b))
+        found += bool((x == y).all(1).any())
+    assert abs(found / 400 - float(jaccard_join.found_chance(0.8, depth))) < 0.02
+
+
+def test_unlike_texts_that_share_a_prefix_stay_apart(spark):
+    """A chain of texts, each half of the next: candidates by short prefixes, links none."""
+    pool = [f"w{i}" for i in range(60 * 120)]
+    chain = [(i, " ".join(pool[60 * i : 60 * i + 120])) for i in range(100)]
+    found = jaccard_join.near_duplicates(spark.createDataFrame(chain, DOCS), recall=0.9999999).collect()
+    assert len({r["class_id"] for r in found}) == 100 and not any(r["n_links"] for r in found)
+
+
+def test_recall_of_pairs_at_the_threshold_and_above(spark):
+    rnd = random.Random(12)
+    texts = []
+    for i in range(150):
+        base = [f"{rnd.random():.9f}" for _ in range(104)]
+        texts += [" ".join(base), " ".join([*base[:96], f"x{i}"]), " ".join([*base[: 90 + i % 5], *(f"y{i}{k}" for k in range(4))])]
+    links, root = near(texts)
+    rows = jaccard_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()
+    assert len(links) > 150 and sum(r["n_links"] for r in rows) >= 2 * 0.995 * len(links)
+    assert all(r["class_id"] >= root[r["doc_id"]] for r in rows)
 
 
 def test_components_of_a_long_path_and_a_star(spark):

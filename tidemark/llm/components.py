@@ -36,5 +36,7 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataF
             scratch.drop(f"{name}_{what}_{k - 1}")
         scratch.drop(f"{name}_joins_{k}")
         left, found = new, kept
+    else:
+        raise RuntimeError(f"components are unfinished after {MAX_ROUNDS} rounds")
     least = found.groupBy("root").agg(F.min("id").alias("least"))
     return found.join(least, "root").select("id", F.col("least").alias("root"))

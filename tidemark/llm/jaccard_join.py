@@ -1,8 +1,9 @@
-"""N-gram Jaccard join: MinHash bands (in place of an LSH forest) find candidates, exact set comparison decides."""
+"""N-gram Jaccard join: a MinHash LSH forest finds candidates, its prefixes shortened until recall is reached; exact set comparison decides."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.999
 TREES = 24
-MAX_DEPTH = 12
+#: Minhashes of a signature in each tree: the longest prefixes, with which the search begins.
+DEEPEST = 8
 #: A block of representatives that one task compares holds about so many of them, and of shingles.
 BLOCK_DOCS = 384
 BLOCK_SHINGLES = 500_000
@@ -84,53 +86,57 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(out)
 
 
-def depth_for(similarity: float, recall: float, trees: int = TREES, deepest: int = MAX_DEPTH) -> int:
-    """The longest prefix with which so many tries find a pair of this similarity with a chance of at least ``recall``.
+def found_chance(similarity: np.ndarray | float, depth: int, trees: int = TREES) -> np.ndarray | float:
+    """The chance that two sets share a prefix of this depth in some tree."""
+    return 1 - (1 - np.asarray(similarity, float) ** depth) ** trees
 
-    Prefixes are shortened one by one from the deepest; a shorter one only adds candidates.
+
+def next_depth(depth: int, seen: list[float], similarity: float, recall: float) -> int | None:
+    """The depth at which to search next after ``depth``, or None if recall is reached.
+
+    ``seen`` has, for every depth from 1 on, the sum over the links found of the chance to find the link there, each link divided by
+    how often it is met at the present depth; and as its last the sum of those weights. A link at the threshold
+    itself is counted among them, so that where nothing is found the threshold alone decides.
     """
-    return next((d for d in range(deepest, 0, -1) if 1 - (1 - similarity**d) ** trees >= recall), 1)
+    weight = 1 / similarity**depth
+    total = seen[-1] + weight
+    expected = lambda d: (seen[d - 1] + weight * float(found_chance(similarity, d))) / total
+    if expected(depth) >= recall:
+        return None
+    return next((d for d in range(depth - 1, 0, -1) if expected(d) >= recall), 1) if depth > 1 else None
 
 
 #: One linear permutation of 32-bit numbers a minhash.
-_SEEDS = _mixed(np.arange(1, 2 * TREES * MAX_DEPTH + 1, dtype=np.uint64) * GAMMA).astype(np.uint32)
-_TIMES, _PLUS = _SEEDS[: TREES * MAX_DEPTH] | np.uint32(1), _SEEDS[TREES * MAX_DEPTH :]
+_SEEDS = _mixed(np.arange(1, 2 * TREES * DEEPEST + 1, dtype=np.uint64) * GAMMA).astype(np.uint32)
+_TIMES, _PLUS = _SEEDS[: TREES * DEEPEST] | np.uint32(1), _SEEDS[TREES * DEEPEST :]
 MINHASH_ROWS = 1_024
 
 
-def minhashes(s: np.ndarray, n: int) -> np.ndarray:
-    """The least of n permuted 32-bit hashes over a set, some rows at a time."""
-    out = np.full(n, np.iinfo(np.uint32).max, np.uint32)
+def minhashes(s: np.ndarray) -> np.ndarray:
+    """The least of permuted 32-bit hashes over a set, some rows at a time."""
+    out = np.full(TREES * DEEPEST, np.iinfo(np.uint32).max, np.uint32)
     x = (s >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(x), MINHASH_ROWS):
-        h = x[at : at + MINHASH_ROWS, None] * _TIMES[:n]
-        h += _PLUS[:n]
+        h = x[at : at + MINHASH_ROWS, None] * _TIMES
+        h += _PLUS
         np.minimum(out, h.min(0), out=out)
     return out
 
 
-def _prefixes(s: np.ndarray, depth: int) -> np.ndarray:
-    """A trie key for each tree: the hash of the tree's number and of its first ``depth`` minhashes."""
-    m = minhashes(s, TREES * depth).reshape(TREES, depth).astype(np.uint64)
-    out = np.arange(1, TREES + 1, dtype=np.uint64)
-    for k in range(depth):
-        out = _mixed(out * GAMMA + m[:, k])
-    return out.view(np.int64)
-
-
-def _signer(depth: int):
-    """Rows with their set's keys and prefixes; a column ``digest`` goes along."""
+def signature(s: np.ndarray) -> np.ndarray:
+    """16 bits of each minhash, tree by tree: a path from the root of each of the forest's tries."""
+    return (minhashes(s) * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.uint16).view(np.int16)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            sets = [shingles(t) for t in b["text"]]
-            both = [_set_keys(s) for s in sets]
-            yield pd.DataFrame({
-                "row": b["row"], "doc_id": b["doc_id"], "key1": [x[0] for x in both], "key2": [x[1] for x in both], "n": [len(s) for s in sets],
-                "prefixes": [_prefixes(s, depth) if len(s) else None for s in sets], "digest": b["digest"],
-            })
 
-    return run
+def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows with their set's keys and signature; a column ``digest`` goes along."""
+    for b in batches:
+        sets = [shingles(t) for t in b["text"]]
+        both = [_set_keys(s) for s in sets]
+        yield pd.DataFrame({
+            "row": b["row"], "doc_id": b["doc_id"], "key1": [x[0] for x in both], "key2": [x[1] for x in both], "n": [len(s) for s in sets],
+            "signature": [signature(s) if len(s) else None for s in sets], "digest": b["digest"],
+        })
 
 
 def _set_keys(s: np.ndarray) -> tuple[int, int]:
@@ -169,39 +175,130 @@ def _counts(sets: list[np.ndarray], others: list[np.ndarray] | None) -> np.ndarr
     return out
 
 
-def _comparer(similarity: float):
+def _comparer(similarity: float, depth: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        """Links between two blocks of a group of candidates, or within one: for each representative its links and a smaller one that it hangs together with."""
-        first, second = int(key[1]), int(key[2])
-        rows = rows.sort_values("rep")
+        """Links between two blocks of a group of candidates, or within one: for each representative its links and a smaller one that it hangs together with.
+
+        The first row has, in ``seen``, what next_depth sums up of the links.
+        """
+        first, second = int(key[-2]), int(key[-1])
+        rows = rows.sort_values("rid")
         sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
-        rep, copies, block = rows["rep"].to_numpy(), rows["copies"].to_numpy(), rows["block"].to_numpy()
+        rid, copies, block = rows["rid"].to_numpy(), rows["copies"].to_numpy(), rows["block"].to_numpy()
         sizes = np.array([len(s) for s in sets], np.float64)
         a, b = np.flatnonzero(block == first), np.flatnonzero(block == second)
         inner = first == second
         both = _counts([sets[i] for i in a], None if inner else [sets[i] for i in b]).astype(np.float64)
-        linked = both >= similarity * (sizes[a][:, None] + sizes[b][None, :] - both) - 1e-9
+        union = sizes[a][:, None] + sizes[b][None, :] - both
+        linked = both >= similarity * union - 1e-9
         if inner:
             np.fill_diagonal(linked, False)
-        n_docs, n_reps = np.zeros(len(rep), np.int64), np.zeros(len(rep), np.int64)
+        n_docs, n_reps = np.zeros(len(rid), np.int64), np.zeros(len(rid), np.int64)
         n_docs[a], n_reps[a] = linked @ copies[b], linked.sum(1)
         if not inner:
             n_docs[b], n_reps[b] = linked.T @ copies[a], linked.sum(0)
         # What hangs together within these blocks takes the smallest label.
-        label = np.arange(len(rep))
+        label = np.arange(len(rid))
         while True:
-            over = np.where(linked, label[b][None, :], len(rep)).min(1, initial=len(rep))
+            over = np.where(linked, label[b][None, :], len(rid)).min(1, initial=len(rid))
             new = label.copy()
             new[a] = np.minimum(new[a], over)
-            new[b] = np.minimum(new[b], np.where(linked, new[a][:, None], len(rep)).min(0, initial=len(rep)))
+            new[b] = np.minimum(new[b], np.where(linked, new[a][:, None], len(rid)).min(0, initial=len(rid)))
             if (new == label).all():
                 break
             label = new
-        return pd.DataFrame({"rep": rep, "docs": n_docs, "reps": n_reps, "hangs": rep[label]})
+        found = both[linked] / union[linked]
+        weight = 1 / found**depth
+        seen = [[float((weight * found_chance(found, d)).sum()) for d in range(1, DEEPEST + 1)] + [float(weight.sum())]]
+        return pd.DataFrame({"rid": rid, "docs": n_docs, "reps": n_reps, "hangs": rid[label], "seen": seen + [None] * (len(rid) - 1)})
 
     return run
 
 
+COMPARED = "rid bigint, docs bigint, reps bigint, hangs bigint, seen array<double>"
+
+
+def _compared(dealt: DataFrame, sets: DataFrame, similarity: float, depth: int) -> DataFrame:
+    """Comparisons of ``dealt (grp, part, first, second, block, rid)``: a task for each grp, part and two blocks."""
+    return dealt.join(sets, "rid").groupBy("grp", "part", "first", "second").applyInPandas(_comparer(similarity, depth), COMPARED)
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """``members (grp, rid, n)`` dealt to blocks of bounded size, and every two blocks of a group to a task."""
+    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"))
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK_DOCS, F.col("total") / BLOCK_SHINGLES)).cast("int")
+    own = members.join(sizes.select("grp", blocks.alias("blocks")), "grp").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("first"), F.greatest("block", j).alias("second")))
+    return own.select("grp", F.lit(0).alias("part"), "block", "rid", F.explode(pairs).alias("p")).select("grp", "part", "p.first", "p.second", "block", "rid")
+
+
+class _Forest:
+    """The search for classes over representatives ``reps (rid, signature, ...)``: links verified so far, and what hangs together by them.
+
+    Only verified links join classes: candidates that share a prefix and prove unlike stay apart, however they chain.
+    """
+
+    def __init__(self, reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], scratch: Scratch, similarity: float):
+        self.reps, self.sets_of, self.scratch, self.similarity = reps, sets_of, scratch, similarity
+        spark = reps.sparkSession
+        self.classes = spark.createDataFrame([], "rid bigint, root bigint")
+        self.links = spark.createDataFrame([], "a bigint, b bigint")
+        self.sets: DataFrame | None = None
+
+    def rooted(self, df: DataFrame) -> DataFrame:
+        return df.join(self.classes, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+
+    def nodes(self, depth: int) -> tuple[DataFrame, DataFrame]:
+        """Trie nodes of this depth that hold several classes ``(grp, lead, lead_root)``, each set of members once, and ``(grp, rid, root)`` of all nodes."""
+        path = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.xxhash64(t, F.slice("signature", t * DEEPEST + 1, F.lit(depth))))
+        keyed = self.rooted(self.reps.select("rid", "signature")).select("rid", "root", F.explode(path).alias("grp"))
+        held = keyed.groupBy("grp").agg(F.min(F.struct("root", "rid")).alias("lead"), F.max("root").alias("most"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rid")).alias("name"))
+        several = held.where(F.col("lead.root") != F.col("most"))
+        once = several.groupBy("size", "name").agg(F.min("grp").alias("grp"), F.first("lead").alias("lead"))
+        return once.select("grp", F.col("lead.rid").alias("lead"), F.col("lead.root").alias("lead_root")), keyed
+
+    def join(self, compared: DataFrame, name: str) -> list[float]:
+        """Joins the classes of the links found; gives what next_depth needs to know of them."""
+        links = self.scratch.table(compared.where((F.col("reps") > 0) | F.col("seen").isNotNull()), f"links_{name}")
+        *seen, new = links.agg(*[F.sum(F.col("seen")[i]) for i in range(DEEPEST + 1)], F.count_if(F.col("rid") != F.col("hangs"))).first()
+        if new:
+            self.links = self.links.union(links.where("rid != hangs").select(F.col("rid").alias("a"), F.col("hangs").alias("b")))
+            found = connected_components(self.links, self.scratch, f"classes_{name}").select(F.col("id").alias("rid"), "root")
+            self.classes = self.scratch.table(found, f"classes_{name}")
+        return [x or 0.0 for x in seen]
+
+    def search(self, depth: int, stars: bool) -> list[float]:
+        """Verifies the candidates of all nodes of a depth: first, with ``stars``, members against their node's first, then all pairs of classes left in a node."""
+        nodes, keyed = self.nodes(depth)
+        members = self.scratch.table(keyed.join(nodes, "grp"), f"members_{depth}")
+        wanted = members.select("rid").distinct()
+        fresh = self.scratch.table(self.sets_of(wanted if self.sets is None else wanted.join(self.sets.select("rid"), "rid", "left_anti")), f"sets_{depth}")
+        self.sets = fresh if self.sets is None else self.sets.union(fresh)
+        seen = [0.0] * (DEEPEST + 1)
+        if stars:
+            pairs = members.where("root != lead_root").select("rid", F.col("lead").alias("grp")).distinct()
+            parts = pairs.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS).alias("parts"))
+            dealt = pairs.join(parts, "grp").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int")).select("grp", "part", F.lit(1).alias("block"), "rid")
+            dealt = self.scratch.table(dealt, "stars")
+            leads = dealt.select("grp", "part").distinct().select("grp", "part", F.lit(0).alias("block"), F.col("grp").alias("rid"))
+            both = dealt.union(leads).select("grp", "part", F.lit(0).alias("first"), F.lit(1).alias("second"), "block", "rid")
+            seen = self.join(_compared(both, self.sets, self.similarity, depth), f"stars_{depth}")
+        now = self.rooted(members.select("grp", "rid"))
+        open_ = now.groupBy("grp").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most").select("grp")
+        left = now.join(open_, "grp").join(self.reps.select("rid", "n"), "rid").select("grp", "rid", "n")
+        more = self.join(_compared(_in_blocks(left), self.sets, self.similarity, depth), f"nodes_{depth}")
+        return [a + b for a, b in zip(seen, more, strict=True)]
+
+    def grow(self, recall: float) -> list[int]:
+        """Searches by ever shorter prefixes until recall is reached; gives the depths."""
+        depth, depths, seen = DEEPEST, [], [0.0] * (DEEPEST + 1)
+        while depth:
+            depths.append(depth)
+            seen = [a + b for a, b in zip(seen, self.search(depth, stars=len(depths) == 1), strict=True)]
+            depth = next_depth(depth, seen, self.similarity, recall)
+        return depths
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """Classes of documents whose sets of five-word shingles have a Jaccard similarity of at least ``similarity``.
 
@@ -210,12 +307,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     other sets; n_shingles; keeps, true for one row a class. Other columns are dropped.
 
     Words are runs of digits, letters a-z and anything beyond ASCII in A-Z-lowered text; a text of fewer than five words is
-    one shingle. Whole texts are hashed, in chunks. First, equal sets become one representative. Its minhashes make
-    a key in each band: a prefix as long as the recall at the threshold allows, of one depth for all. Representatives that share a key with
-    others hang together in groups; each group is dealt to blocks of bounded size, every two blocks meet in one task, and there
-    all their pairs are compared exactly. Tasks return counts and forests, never pairs, so a group of n near copies gives
-    rows in proportion to n times its blocks, and none of its links is lost. A key, a group or a set of copies that holds
-    a third of the rows is spread over its blocks.
+    one shingle. Whole texts are hashed, in chunks. First, equal sets become one representative. Its minhashes make a path in
+    each of the forest's tries. Nodes at the deepest prefixes give the first candidates: a node's members are compared with its first one,
+    and where classes are left apart, all with all. From the similarities of the links found follows what share of such links these
+    prefixes find; as long as it is below ``recall``, prefixes are shortened to where it is not, and what then shares a node and no class yet
+    is compared. At last all pairs of each class are compared for the numbers of links, so links within a class are all counted. Every
+    comparison is exact and runs in blocks of bounded size, and tasks return counts and forests, never pairs: no link is lost, and a
+    node, a class or a set of copies that holds a third of the rows is spread over its blocks.
 
     Null and empty texts, and those without words, link to nothing and are classes of their own. A null doc_id is a row
     like others, but never represents a class while an id is there. Rows with the same doc_id are rows of their own. An empty table gives
@@ -234,50 +332,35 @@ def _near_duplicates(docs: DataFrame, similarity: float, recall: float) -> DataF
     spark = docs.sparkSession
     scratch = Scratch(spark)
     kind = docs.schema["doc_id"].dataType
-    depth = depth_for(similarity, recall)
     # Ids become the largest number where they are null, so that they come last.
     last = F.lit(2**63 - 1)
     read = docs.select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     numbered = read.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", _digest().alias("digest"))
-    signed = scratch.table(numbered.mapInPandas(_signer(depth), "row bigint, doc_id bigint, key1 bigint, key2 bigint, n bigint, prefixes array<bigint>, digest bigint"), "signed")
+    signed = scratch.table(numbered.mapInPandas(_sign, "row bigint, doc_id bigint, key1 bigint, key2 bigint, n bigint, signature array<smallint>, digest bigint"), "signed")
 
     sets = signed.where("n > 0").groupBy("key1", "key2", "n")
-    reps = sets.agg(F.min(F.struct("doc_id", "row")).alias("m"), F.min("row").alias("rid"), F.count(F.lit(1)).alias("copies"), F.first("prefixes").alias("prefixes"))
-    reps = scratch.table(reps.select("key1", "key2", "n", "rid", "copies", F.col("m.doc_id").alias("rep"), F.col("m.row").alias("rep_row"), "prefixes"), "reps")
-
-    keyed = reps.select("rid", F.explode("prefixes").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("rid").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "least")
-    edges = keyed.join(shared, "key").where("rid != least").select(F.col("rid").alias("a"), F.col("least").alias("b"))
-    groups = connected_components(edges, scratch, "groups").select(F.col("id").alias("rid"), F.col("root").alias("grp"))
-
-    members = groups.join(reps.select("rid", "rep", "key1", "key2", "n", "copies"), "rid")
-    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"))
-    blocks = F.ceil(F.greatest(F.col("members") / BLOCK_DOCS, F.col("total") / BLOCK_SHINGLES)).cast("int")
-    members = members.join(sizes.select("grp", blocks.alias("blocks")), "grp")
-    members = scratch.table(members.withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")), "members")
-
-    # A text of each representative: a row of its doc_id, told from others of that id by its set.
-    wanted = members.select("rep").distinct()
-    wanted = F.broadcast(wanted) if members.count() <= BROADCAST_IDS else wanted.hint("shuffle_hash")
-    texts = read.withColumnRenamed("doc_id", "rep").join(wanted, "rep", "left_semi")
-    sets = texts.mapInPandas(_shingler, "rep bigint, key1 bigint, key2 bigint, shingles binary").join(members, ["rep", "key1", "key2"])
-    if not signed.groupBy("doc_id").count().where("count > 1").isEmpty():
-        sets = sets.dropDuplicates(["rid"])
-    sets = scratch.table(sets.select("rid", "grp", "block", "blocks", "copies", "shingles"), "sets")
-
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("first"), F.greatest("block", j).alias("second")))
-    dealt = sets.select("grp", "block", F.col("rid").alias("rep"), "copies", "shingles", F.explode(pairs).alias("p"))
-    dealt = dealt.select("grp", F.col("p.first").alias("first"), F.col("p.second").alias("second"), "block", "rep", "copies", "shingles")
-    links = dealt.groupBy("grp", "first", "second").applyInPandas(_comparer(similarity), "rep bigint, docs bigint, reps bigint, hangs bigint")
-    links = scratch.table(links.where("reps > 0"), "links")
-    scratch.drop("sets")
-
-    counted = links.groupBy("rep").agg(F.sum("docs").alias("docs"), F.sum("reps").alias("reps"))
-    joined = connected_components(links.select(F.col("rep").alias("a"), F.col("hangs").alias("b")), scratch, "classes")
+    reps = sets.agg(F.min(F.struct("doc_id", "row")).alias("m"), F.min("row").alias("rid"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature"))
+    reps = scratch.table(reps.select("key1", "key2", "n", "rid", "copies", F.col("m.doc_id").alias("rep"), F.col("m.row").alias("rep_row"), "signature"), "reps")
+    repeated = not signed.groupBy("doc_id").count().where("count > 1").isEmpty()
+
+    def sets_of(rids: DataFrame) -> DataFrame:
+        """Shingles of representatives: from a row of its doc_id, told from others of that id by its set."""
+        named = scratch.table(rids.join(reps.select("rid", "rep", "key1", "key2", "copies"), "rid"), f"wanted_{uuid4().hex}")
+        wanted = named.select("rep").distinct()
+        wanted = F.broadcast(wanted) if named.count() <= BROADCAST_IDS else wanted.hint("shuffle_hash")
+        texts = read.withColumnRenamed("doc_id", "rep").join(wanted, "rep", "left_semi")
+        out = texts.mapInPandas(_shingler, "rep bigint, key1 bigint, key2 bigint, shingles binary").join(named, ["rep", "key1", "key2"])
+        return (out.dropDuplicates(["rid"]) if repeated else out).select("rid", "copies", "shingles")
+
+    forest = _Forest(reps, sets_of, scratch, similarity)
+    forest.grow(recall)
+    classes = forest.classes
+    members = classes.join(reps.select("rid", "n"), "rid").select(F.col("root").alias("grp"), "rid", "n")
+    links = _compared(_in_blocks(members), forest.sets, similarity, 1)
+    counted = scratch.table(links.groupBy("rid").agg(F.sum("docs").alias("docs"), F.sum("reps").alias("reps")), "counted")
     named = reps.select("rid", F.struct("rep", "rep_row").alias("m"))
-    least = joined.join(named, joined["id"] == named["rid"]).groupBy("root").agg(F.min("m").alias("m"))
-    classes = joined.join(least, "root").select(F.col("id").alias("rid"), "m")
-    known = reps.join(classes, "rid", "left").join(counted.withColumnRenamed("rep", "rid"), "rid", "left")
+    least = classes.join(named, "rid").groupBy("root").agg(F.min("m").alias("m"))
+    known = reps.join(classes.join(least, "root").select("rid", "m"), "rid", "left").join(counted, "rid", "left")
     known = known.select(
         "key1", "key2", "n", "rep", F.coalesce("m.rep", "rep").alias("class_id"), F.coalesce("m.rep_row", "rep_row").alias("kept_row"),
         (F.coalesce("docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("reps", F.lit(0)).alias("n_links_distinct"),
