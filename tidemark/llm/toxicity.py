@@ -31,7 +31,7 @@ THRESHOLD = 0.3
 COMMON = 1 / 16
 MATRIX_TERMS = 1_024
 #: Texts that are searched together, and blocks that each is held against first.
-CHUNK = 256
+CHUNK = 64
 FIRST_BLOCKS = 2
 #: So many words are remembered in a task.
 KNOWN_WORDS = 200_000
