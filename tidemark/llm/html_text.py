@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -25,7 +25,7 @@ DROPPED = frozenset(
     "script style noscript template head title nav header footer aside form button select textarea menu dialog iframe object svg canvas audio video search".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert status menu menubar toolbar".split())
-#: Words in a class or id that mark what is no article: menus, page frames, sidebars, notices, adverts, forms and reader comments.
+#: Words in a class or id of a container that mark what is no article: menus, page frames, sidebars, notices, adverts, forms and reader comments.
 MARKS = frozenset(
     "nav navbar navigation menu submenu breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar sidebar sidenav rail aside widget widgets "
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion promoted banner cookie cookies consent gdpr notice notices notification "
@@ -34,8 +34,11 @@ MARKS = frozenset(
 )
 #: These mark it when they are the whole name, or name a part of the page and not of the article.
 HEADERS = frozenset("header head top siteheader pageheader".split())
-#: Elements that a name alone does not drop.
-KEPT = frozenset("html body main article".split())
+#: Words in a class or id that speak for an article: beside one of MARKS, the ratios decide.
+STORY = frozenset("article story content post entry body main text".split())
+#: Elements that a name can drop; and those whose lines are judged together where no article bounds the region.
+NAMED = frozenset("div section article center fieldset figure details dl ol table ul hgroup address".split())
+CONTAINERS = frozenset("html body main article section div td th center form fieldset details".split())
 #: Closed by an opening of one of these, up to the nearest of the others.
 CLOSES = {
     "p": (BLOCK - {"br", "option", "td", "th", "tr"}, frozenset("td th li dd dt div section article main body blockquote".split())),
@@ -48,59 +51,63 @@ CLOSES = {
     "option": (frozenset(["option", "optgroup"]), frozenset(["select"])),
     "head": (frozenset(["body"]), frozenset(["html"])),
 }
+#: What an opening tag may close.
+CLOSED_BY = {tag: frozenset(k for k, (by, _) in CLOSES.items() if tag in by) for tag in set().union(*(by for by, _ in CLOSES.values()))}
 #: Readers' comments can be longer than the article, so length alone does not bring these back.
 COMMENTS = frozenset("comment comments commentlist respond replies reply disqus".split())
 #: An element that goes by such a tag or role alone is looked at again, as names are.
 FORMS = frozenset(["form"])
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 LINKED = 0.5
-
-
-def _hard(tag: str, attrs: dict[str, str]) -> bool:
-    """Whether an element goes whatever it holds."""
-    if tag in DROPPED - FORMS:
-        return True
-    if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I):
-        return True
-    return attrs.get("role", "").lower() in ROLES - FORMS
-
-
-def _soft(tag: str, attrs: dict[str, str]) -> bool:
-    """Whether an element goes by its name, or as a form, unless it holds the article."""
-    if tag in FORMS or attrs.get("role", "").lower() in FORMS:
-        return True
+#: Characters a tag from which a line is content wherever the clusters part.
+SURE = 80.0
+#: What its tag, role or name says of an element.
+PLAIN, HARD, NAMED_SO, MIXED, COMMENT = range(5)
+
+
+def _kind(tag: str, attrs: dict[str, str]) -> int:
+    """HARD: goes whatever it holds. NAMED_SO: goes, as a form or by its name, unless it holds the article. MIXED: its name says both. COMMENT: named as readers' comments."""
+    role = attrs.get("role", "").lower()
+    if tag in DROPPED - FORMS or role in ROLES - FORMS or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
+        return HARD
+    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I):
+        return HARD
+    if tag not in NAMED and tag not in FORMS and role not in FORMS:
+        return PLAIN
+    marked, story, comment = tag in FORMS or role in FORMS, False, False
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
         words = [w.lower() for w in NAME.findall(name)]
         if not words or words[0] in ("has", "with", "no", "is", "js"):
             continue
-        # An article that is a reader's comment goes; an article or main part with such a word beside others stays.
-        if tag in KEPT:
-            if tag == "article" and words[0] in ("comment", "reply", "teaser", "promo", "ad", "related"):
-                return True
-            continue
-        if MARKS.intersection([*words, "".join(words)]) or "".join(words) in HEADERS or (words[-1] == "header" and words[0] in ("site", "page", "main", "global", "top")):
-            return True
-    return False
+        comment |= not COMMENTS.isdisjoint(words)
+        story |= not STORY.isdisjoint(words)
+        if tag == "article":
+            # An article that is a reader's comment or a teaser goes; one with such a word beside others stays.
+            marked |= words[0] in ("comment", "reply", "teaser", "promo", "ad", "related")
+        else:
+            marked |= not MARKS.isdisjoint([*words, "".join(words)]) or "".join(words) in HEADERS or (words[-1] == "header" and words[0] in ("site", "page", "main", "global", "top"))
+    return (COMMENT if comment else MIXED if story and tag != "article" else NAMED_SO) if marked else PLAIN
 
 
-class _Lines(HTMLParser):
-    """Collects lines: text, tags, linked characters, and the elements around it, of what is not unwanted.
+class _Page(HTMLParser):
+    """A page's lines, ``(text, tags, linked characters, innermost element)``, and its elements, each with tag, parent and kind.
 
-    ``released``: numbers of elements that stay though their name or tag drops them; None keeps all of those. ``soft`` has
-    the numbers of all such elements, and whether they are readers' comments.
+    Elements are numbered in their order, so a parent comes before what it holds; number 0 holds all. Lines name one
+    element, not all around it, so memory grows with the page and not with its depth.
     """
 
-    def __init__(self, released: frozenset[int] | None = frozenset()) -> None:
+    def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.released, self.soft = released, {}
+        self.tag, self.parent, self.kind = ["html"], [0], [PLAIN]
         self.stack: list[tuple[str, int, bool]] = []  # tag, number, whether it drops its text
-        self.drops = self.links = self.number = self.tags = self.linked = 0
+        self.open: Counter[str] = Counter()
+        self.drops = self.links = self.tags = self.linked = 0
         self.text: list[str] = []
-        self.lines: list[tuple[str, int, int, tuple[tuple[str, int], ...]]] = []
+        self.lines: list[tuple[str, int, int, int]] = []
 
     def flush(self) -> None:
         if self.text and (line := " ".join("".join(self.text).split())):
-            self.lines.append((line, self.tags, min(self.linked, len(line)), tuple((t, n) for t, n, _ in self.stack)))
+            self.lines.append((line, self.tags, min(self.linked, len(line)), self.stack[-1][1] if self.stack else 0))
             self.tags = self.linked = 0
         self.text = []
 
@@ -110,41 +117,39 @@ class _Lines(HTMLParser):
                 self.flush()
             self.drops -= drops
             self.links -= tag == "a"
+            self.open[tag] -= 1
             self.stack.pop()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            closed_by, stops = CLOSES.get(self.stack[i][0], ((), ()))
-            if tag in closed_by:
-                self.pop(i)
-                break
-            if self.stack[i][0] in BLOCK and self.stack[i][0] != "p" and (self.stack[i][0] in stops or not closed_by):
-                break
+        if any(self.open[k] for k in CLOSED_BY.get(tag, ())):
+            for i in range(len(self.stack) - 1, -1, -1):
+                closed_by, stops = CLOSES.get(self.stack[i][0], ((), ()))
+                if tag in closed_by:
+                    self.pop(i)
+                    break
+                if self.stack[i][0] in BLOCK and self.stack[i][0] != "p" and (self.stack[i][0] in stops or not closed_by):
+                    break
         if tag in BLOCK:
             self.flush()
         self.tags += not self.drops
         if tag in VOID:
             return
-        named = {k: v or "" for k, v in attrs}
-        drops = _hard(tag, named)
-        self.number += 1
-        if not drops and _soft(tag, named):
-            names = NAME.findall(f"{named.get('class', '')} {named.get('id', '')}")
-            self.soft[self.number] = not COMMENTS.isdisjoint(x.lower() for x in names)
-            drops = self.released is not None and self.number not in self.released
-        self.stack.append((tag, self.number, drops))
-        self.drops += drops
+        kind = _kind(tag, {k: v or "" for k, v in attrs})
+        self.tag.append(tag)
+        self.parent.append(self.stack[-1][1] if self.stack else 0)
+        self.kind.append(kind)
+        self.stack.append((tag, len(self.tag) - 1, kind == HARD))
+        self.open[tag] += 1
+        self.drops += kind == HARD
         self.links += tag == "a"
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                self.pop(i)
-                return
-        if tag in BLOCK:
+        if self.open[tag]:
+            self.pop(next(i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag))
+        elif tag in BLOCK:
             self.flush()
 
     def handle_data(self, data: str) -> None:
@@ -161,106 +166,115 @@ def smoothed(ratios: np.ndarray, radius: int = 2) -> np.ndarray:
     return full(ratios) / full(np.ones(len(ratios)))
 
 
+def ratios(lines: list[tuple[str, int, int, int]]) -> np.ndarray:
+    """Characters outside links a tag, line by line."""
+    return np.array([(len(text) - linked) / max(1, tags) for text, tags, linked, _ in lines])
+
+
 def content_lines(ratios: np.ndarray) -> np.ndarray:
-    """Lines of the higher of two clusters of smoothed ratios, by two means begun at least and most."""
-    x = smoothed(ratios)
+    """Lines of the higher of two clusters of smoothed ratios, by two means of their logarithms begun at least and most; and all from SURE on."""
+    x = np.log1p(smoothed(ratios))
     low, high = x.min(), x.max()
     for _ in range(20):
         cut = (low + high) / 2
         if not (x > cut).any() or (x > cut).all():
-            return x >= cut
+            return x >= min(cut, np.log1p(SURE))
         moved = x[x <= cut].mean(), x[x > cut].mean()
         if moved == (low, high):
             break
         low, high = moved
-    return x > (low + high) / 2
-
+    return x > min((low + high) / 2, np.log1p(SURE))
 
-def _parsed(html: str, released: frozenset[int] | None = frozenset()) -> _Lines:
-    parser = _Lines(released)
-    parser.feed(html)
-    parser.close()
-    parser.flush()
-    return parser
 
+def _gone(page: _Page) -> list[bool]:
+    """Which elements go, by their names or as a form, with all they hold.
 
-def _released(html: str) -> frozenset[int]:
-    """Numbers of the elements that their name, or being a form, would drop with the article in them.
-
-    Such an element stays if it holds more text of an article or main part than stands in others outside such elements, or if it holds most
-    of the text that the smoothed ratios mark, readers' comments apart. Inner elements are decided first, and what goes in them does not count.
+    Such an element stays if it holds more text of an article or main part than stands in others outside such elements; if it holds most
+    of the text that the ratios mark, readers' comments apart; and, where its name says both, if most of its own text is marked. Inner
+    elements are decided first, and what goes in them does not count.
     """
-    parser = _parsed(html, None)
-    soft, lines = parser.soft, parser.lines
-    if not soft or not lines:
-        return frozenset()
-    plain = [len(t) - linked for t, _, linked, _ in lines]
-    marked = content_lines(np.array([p / max(1, tags) for p, (_, tags, *_) in zip(plain, lines, strict=True)]))
+    n, doubtful = len(page.tag), [k in (NAMED_SO, MIXED, COMMENT) for k in page.kind]
+    gone = [False] * n
+    if not any(doubtful) or not page.lines:
+        return gone
+    inside, doubted, commented = [False] * n, list(doubtful), [k == COMMENT for k in page.kind]
+    for i in range(1, n):
+        p = page.parent[i]
+        inside[i] = inside[p] or page.tag[i] in ("article", "main")
+        doubted[i], commented[i] = doubted[i] or doubted[p], commented[i] or commented[p]
+    # Comments are set aside first: long ones would lift the lines beside them.
+    told = [i for i, x in enumerate(page.lines) if not commented[x[3]]]
+    marks = np.zeros(len(page.lines), bool)
+    if told:
+        marks[told] = content_lines(ratios([page.lines[i] for i in told]))
+    plain, marked, article = [0] * n, [0] * n, [0] * n
     total = free = 0
-    within: dict[int, list[int]] = defaultdict(list)
-    for i, (*_, path) in enumerate(lines):
-        around = [n for _, n in path if n in soft]
-        for n in around:
-            within[n].append(i)
-        total += plain[i] * bool(marked[i]) * (not any(soft[n] for n in around))
-        free += plain[i] * (not around and any(t in ("article", "main") for t, _ in path))
-    out: set[int] = set()
-    for n in sorted(within, reverse=True):
-        inner = lambda i, n=n: [(t, k) for t, k in lines[i][3] if k > n]
-        left = [i for i in within[n] if all(k not in soft or k in out for _, k in inner(i))]
-        article = sum(plain[i] for i in left if any(t in ("article", "main") and k not in soft for t, k in inner(i)))
-        most = sum(plain[i] * bool(marked[i]) for i in left)
-        if article > free or (not soft[n] and not free and most > total / 2):
-            out.add(n)
-    return frozenset(out)
+    for (text, _, linked, at), m in zip(page.lines, marks.tolist(), strict=True):
+        size = len(text) - linked
+        plain[at] += size
+        marked[at] += size * m
+        total += size * m
+        free += size * (inside[at] and not doubted[at])
+    for i in range(n - 1, 0, -1):
+        if doubtful[i]:
+            holds = article[i] > free or (page.kind[i] != COMMENT and not free and marked[i] > total / 2) or (page.kind[i] == MIXED and marked[i] > plain[i] / 2)
+            if not holds:
+                gone[i] = True
+                continue
+        elif page.tag[i] in ("article", "main"):
+            article[i] = plain[i]
+        p = page.parent[i]
+        plain[p], marked[p], article[p] = plain[p] + plain[i], marked[p] + marked[i], article[p] + article[i]
+    for i in range(1, n):
+        gone[i] = gone[i] or gone[page.parent[i]]
+    return gone
+
+
+def _outermost(page: _Page, tag: str) -> list[int]:
+    """The outermost element of a tag around each element, 0 without any."""
+    out = [0] * len(page.tag)
+    for i in range(1, len(out)):
+        out[i] = out[page.parent[i]] or (i if page.tag[i] == tag else 0)
+    return out
 
 
 def main_text(html: str | None) -> str:
     """The article's text of a page; empty where there is none.
 
-    Parser events become lines, one a block. Elements that are no article by their tag, role or name give no lines, but for
-    those named so, or forms, that hold the article. Each
+    Parser events become lines, one a block. Lines of elements that are no article by their tag or role are never made; those of
+    containers named so, and of forms, go unless the ratios or an article inside speak for them (see _gone). Each
     line has its characters outside links a tag; smoothed ratios fall in two clusters, and the higher one marks content.
-    The region is then the element around the marked lines: the articles (or, without any, the main part) that hold marked
-    text; else the innermost element with nine tenths of it. Of a region every line counts, short ones too, but
-    for lines of links alone at its edges where no article or main part bounds it.
+    Where a page has article elements (or else a main part), these are the region, but for those that are mostly links. Where it has
+    neither, the clusters decide: the lines of each container are kept if most of their text is marked, short lines
+    and headings among them too; if that is so of none, the container with most marked text is.
     """
-    lines = _parsed(html or "", _released(html or "")).lines
+    page = _Page()
+    page.feed(html or "")
+    page.close()
+    page.flush()
+    gone = _gone(page)
+    lines = [x for x in page.lines if not gone[x[3]]]
     if not lines:
         return ""
-    ratios = np.array([(len(t) - linked) / max(1, tags) for t, tags, linked, _ in lines])
-    marked = content_lines(ratios)
-    if not marked.any():
-        marked[:] = True
-
     for tag in ("article", "main"):
-        # The outermost such element of each line.
-        owner = [next((n for t, n in path if t == tag), 0) for *_, path in lines]
-        held: dict[int, int] = defaultdict(int)
-        for o, (text, _, linked, _), m in zip(owner, lines, marked, strict=True):
-            held[o] += (len(text) - linked) * bool(m)
-        held.pop(0, None)
-        if not held or not max(held.values()):
-            if any(owner) and not any(o == 0 and m for o, m in zip(owner, marked, strict=True)):
-                return " ".join(t for (t, *_), o in zip(lines, owner, strict=True) if o)
-            continue
-        return " ".join(t for (t, *_), o in zip(lines, owner, strict=True) if held.get(o))
-
-    weight: dict[int, int] = defaultdict(int)
-    depth: dict[int, int] = {}
-    for (text, _, linked, path), m in zip(lines, marked, strict=True):
-        for d, (_, n) in enumerate(path):
-            weight[n] += (len(text) - linked) * bool(m)
-            depth[n] = d
-    total = sum((len(t) - k) * bool(m) for (t, _, k, _), m in zip(lines, marked, strict=True))
-    inner = max((n for n in weight if weight[n] >= 0.9 * total and total), key=lambda n: depth[n], default=0)
-    region = [x for x in lines if not inner or any(n == inner for _, n in x[3])]
-    linked = lambda x: x[2] > LINKED * len(x[0])
-    while region and linked(region[0]):
-        region.pop(0)
-    while region and linked(region[-1]):
-        region.pop()
-    return " ".join(x[0] for x in region)
+        owner = _outermost(page, tag)
+        size, linked = Counter(), Counter()
+        for text, _, k, at in lines:
+            size[owner[at]] += len(text)
+            linked[owner[at]] += k
+        kept = {o for o in size if o and linked[o] <= LINKED * size[o]} or {o for o in size if o}
+        if kept:
+            return " ".join(text for text, _, _, at in lines if owner[at] in kept)
+
+    container = [0] * len(page.tag)
+    for i in range(1, len(container)):
+        container[i] = i if page.tag[i] in CONTAINERS else container[page.parent[i]]
+    size, marked = Counter(), Counter()
+    for (text, _, k, at), m in zip(lines, content_lines(ratios(lines)).tolist(), strict=True):
+        size[container[at]] += len(text)
+        marked[container[at]] += (len(text) - k) * m
+    kept = {c for c in size if marked[c] > size[c] / 2} or {max(size, key=lambda c: (marked[c], size[c], -c))}
+    return " ".join(text for text, _, _, at in lines if container[at] in kept)
 
 
 def _extract_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -271,8 +285,8 @@ def _extract_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def extract(pages: DataFrame) -> DataFrame:
     """Main text of ``pages (page_id, url, html)``: page_id, url, text, n_chars; other columns are dropped.
 
-    Pages are read one by one in their own tasks and no rows move. A null or empty page has an empty text; so has one
-    without an article. Equal rows each get a row; null ids and urls stay null. An empty table gives an empty result.
+    Pages are read one by one in their own tasks and no rows move. Time and memory grow with a page's length, however deep its elements are
+    nested. A null or empty page has an empty text; so has one of which nothing but menus and the like is left. Equal rows each get a row; null ids and urls stay null. An empty table gives an empty result.
     """
     kind = pages.schema["page_id"].dataType
     whole = pages.select(F.col("page_id").cast("string"), "url", F.coalesce("html", F.lit("")).alias("html"))
