@@ -137,6 +137,23 @@ def test_decontamination_against_loops(spark):
         assert sorted((i if i is not None else -1, *rest) for i, *rest in got) == sorted(want)
     assert not decontaminate.report(df, bench.limit(0)).where("contaminated").count()
     assert decontaminate.report(df.limit(0), bench).count() == 0
+    # A very long text: one passage far behind, and windows of every length.
+    long = " ".join(f"n{i}" for i in range(120_000)) + " " + items[0][1]
+    got = decontaminate.report(spark.createDataFrame([(1, long)], DOCS), bench).first()
+    assert got["n_words"] == 120_012 and got["n_hit"] >= 12
+
+
+def test_equal_windows_have_equal_hashes_wherever_they_stand(spark):
+    rnd = random.Random(1)
+    w = [rnd.choice("abc") for _ in range(60)]
+    for lengths in ([10], [1, 2, 3], [5, 7, 10], [4, 8], [9]):
+        row = spark.createDataFrame([(w,)], "w array<string>").select(decontaminate._window_hashes(F.col("w"), lengths).alias("h")).first()["h"]
+        every = [tuple(w[i : i + n]) for n in lengths for i in range(len(w) - n + 1)]
+        assert len(row) == len(every)
+        of = {}
+        for g, h in zip(every, row, strict=True):
+            assert of.setdefault(g, h) == h
+        assert len(set(of.values())) == len(of)
 
 
 def test_decontamination_runs_no_python(spark):

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, table
+from tidemark.llm.common import Scratch, let, table
 
 WIDTH = 10
-BROADCAST_WINDOWS = 2_000_000
+#: Test windows that are broadcast at most; with ten words and an item each they take about 100 MB.
+BROADCAST_WINDOWS = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between two words, in lower-cased text.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -21,33 +22,42 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, GAP), "")
 
 
-def _hash(hashes: Column, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), hashes) if seed else F.xxhash64(hashes)
+def _window_hashes(words: Column, lengths: list[int]) -> Column:
+    """Hashes of all windows of each of these lengths, length by length.
 
+    Hashes of two words make those of four, and so on, so a window's hash costs a few steps, whatever its length.
+    """
+    both = lambda a, b: F.xxhash64(a, b)
+
+    def of_length(levels: dict[int, Column], n: int) -> Column:
+        powers = [q for q in sorted(levels, reverse=True) if n & q]
+        out, used = levels[powers[0]], powers[0]
+        for q in powers[1:]:
+            m = F.greatest(F.size(levels[1]) - (used + q) + 1, F.lit(0))
+            out, used = F.zip_with(F.slice(out, F.lit(1), m), F.slice(levels[q], F.lit(used + 1), m), both), used + q
+        return out
+
+    def doubled(levels: dict[int, Column], power: int) -> Column:
+        if 2 * power > max(lengths):
+            return F.concat(*[of_length(levels, n) for n in lengths])
+        m = F.greatest(F.size(levels[power]) - power, F.lit(0))
+        pairs = F.zip_with(F.slice(levels[power], F.lit(1), m), F.slice(levels[power], F.lit(power + 1), m), both)
+        return let(pairs, lambda p: doubled({**levels, 2 * power: p}, 2 * power))
 
-def _grams(words: Column, width: int, *seeds: int) -> Column:
-    """Structs of hashes, one a seed, of all windows of so many words; null where there is none."""
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    named = lambda h: [_hash(h, seed).alias(f"hash{seed}") for seed in seeds]
-    start = lambda i: (i - 1).alias("start")
-    windows = lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - width + 1), lambda i: F.struct(*named(F.slice(h, i, width)), start(i), F.lit(width).alias("n")))
-    return F.when(F.size(words) >= width, let(hashed, windows))
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: doubled({1: h}, 1))
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Distinct windows ``(hash0, hash1, gram, n_gram, items)`` of ``benchmark (item_id, text)``; a short item is one window.
+    """Distinct windows ``(known, gram, n_gram, items)`` of ``benchmark (item_id, text)``, ``known`` a hash; a short item is one window.
 
     Items without words have no window. An item whose id is null marks words, but is not among the items.
     """
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - width + 1, F.lit(1)))
     grams = items.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("words", i, width))).alias("gram"))
-    return (
-        grams.groupBy("gram")
-        .agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
-        .withColumn("h", F.transform("gram", lambda w: F.xxhash64(w)))
-        .select(_hash(F.col("h"), 0).alias("hash0"), _hash(F.col("h"), 1).alias("hash1"), "gram", F.size("gram").alias("n_gram"), "items")
-    )
+    found = grams.groupBy("gram").agg(F.collect_set(F.col("item_id").cast("string")).alias("items")).withColumn("n_gram", F.size("gram"))
+    known = F.coalesce(*[F.when(F.col("n_gram") == n, _window_hashes(F.col("gram"), [n])[0]) for n in range(1, width + 1)])
+    return found.select(known.alias("known"), "gram", "n_gram", "items")
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
@@ -56,36 +66,33 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, broadca
     ``hits`` are the verified windows (0-based word start, number of words), ``items`` the sorted ids of the items they
     come from. A document's windows are hashed where its text is read, and meet the set of test windows there; a match
     counts only if its words are the same. What is shuffled is the matches and one row a document. The test windows are
-    counted first and broadcast up to ``broadcast_windows``; beyond that, hashes of windows and set are shuffled, no texts,
-    and a second hash of the words verifies.
+    counted first and broadcast up to ``broadcast_windows``; beyond that the documents' words are written once, hashes of windows and set
+    are shuffled, and matches meet their documents' words again to be verified.
 
-    Null and empty texts have no words and no hits. Equal rows each get a row. No benchmark: no hits.
+    Null and empty texts have no words and no hits; whole texts of any length count. Equal rows each get a row. No benchmark: no hits.
     """
     windows = benchmark_windows(benchmark, width)
-    spread = windows.groupBy("n_gram").agg(F.count(F.lit(1)).alias("n")).collect()  # at most `width` rows
-    lengths = [r["n_gram"] for r in spread]
-    small = sum(r["n"] for r in spread) <= broadcast_windows
-    seeds = (0,) if small else (0, 1)
-    # A row of its own for every document, beside its windows: it meets this entry of the set.
+    spread = {r["n_gram"]: r["n"] for r in windows.groupBy("n_gram").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `width` rows
+    lengths = sorted(spread)
+    # Windows stand length by length, so a place among them tells where in the text it is.
+    before = [(n, sum((F.greatest(F.col("n_words") - m + 1, F.lit(0)) for m in lengths if m < n), F.lit(0))) for n in lengths]
+    start = (F.col("pos") - F.coalesce(*[F.when(F.col("n_gram") == n, offset) for n, offset in before], F.col("pos"))).alias("start")
+    hashed = _window_hashes(F.col("words"), lengths) if lengths else F.array().cast("array<bigint>")
+    same = F.slice("words", F.col("start") + 1, F.col("n_gram")) == F.col("gram")
+    split = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words_of(F.col("text")).alias("words")).withColumn("n_words", F.size("words"))
     empty = F.array().cast("array<string>")
-    own = docs.sparkSession.range(1).select(F.lit(0).cast("long").alias("hash0"), F.lit(0).cast("long").alias("hash1"), empty.alias("gram"), F.lit(0).alias("n_gram"), empty.alias("items"))
-    known = windows.unionByName(own).withColumnsRenamed({"hash0": "known0", "hash1": "known1"})
-    known = F.broadcast(known) if small else known.drop("gram")
-
-    def entries(words: Column) -> Column:
-        fields = ", ".join([*(f"hash{k}: bigint" for k in seeds), "start: int", "n: int"])
-        none = F.array().cast(f"array<struct<{fields}>>")
-        head = F.array(F.struct(*[F.lit(0).cast("long").alias(f"hash{k}") for k in seeds], F.lit(0).alias("start"), F.lit(0).alias("n")))
-        return F.concat(head, *[F.coalesce(_grams(words, n, *seeds), none) for n in lengths])
-
-    split = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words_of(F.col("text")).alias("words"))
-    opened = split.select("row", "doc_id", "words", F.size("words").alias("n_words"), F.explode(entries(F.col("words"))).alias("e"))
-    same = (F.col("e.hash0") == F.col("known0")) & (F.col("e.n") == F.col("n_gram"))
-    if small:
-        same = same & (F.slice("words", F.col("e.start") + 1, F.col("e.n")) == F.col("gram"))
+    if sum(spread.values()) <= broadcast_windows:
+        # A row of its own for every document, beside its windows: it meets this entry of the set.
+        own = docs.sparkSession.range(1).select(F.lit(0).cast("long").alias("known"), empty.alias("gram"), F.lit(0).alias("n_gram"), empty.alias("items"))
+        opened = split.select("row", "doc_id", "words", "n_words", F.posexplode(F.concat(hashed, F.array(F.lit(0).cast("long")))).alias("pos", "hash"))
+        met = opened.join(F.broadcast(windows.unionByName(own)), F.col("hash") == F.col("known")).select("*", start).where(same)
+        found = met.select("row", "doc_id", "n_words", "start", "n_gram", "items")
     else:
-        opened, same = opened.drop("words"), same & (F.col("e.hash1") == F.col("known1"))
-    found = opened.join(known, same).select("row", "doc_id", "n_words", "e.start", "n_gram", "items")
+        split = Scratch(docs.sparkSession).table(split, "words")
+        opened = split.select("row", "n_words", F.posexplode(hashed).alias("pos", "hash"))
+        met = opened.join(windows, F.col("hash") == F.col("known")).select("row", start, "gram", "n_gram", "items")
+        met = met.join(split, "row").where(same).select("row", "doc_id", "n_words", "start", "n_gram", "items")
+        found = met.union(split.select("row", "doc_id", "n_words", F.lit(0), F.lit(0), empty))
     return found.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
         F.first("n_words").alias("n_words"),
