@@ -12,10 +12,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, table
+from tidemark.llm.common import Scratch, shared_dir, table
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
+#: Up to so many missing keys, of 40 bytes, are broadcast, and only their texts are read on; the texts of more are shuffled.
+BROADCAST_KEYS = 20_000
 #: Scripts in which both libraries' patterns class every character alike: below the end of Latin Extended-B, and common punctuation.
 ELSEWHERE = re.compile("[^\x00-ɏ‐-‧‰-⁞]")
 
@@ -26,12 +28,17 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def tokenizer_version(path: str) -> str:
-    """The digest of the vocabulary file and of the library's version: either's change makes a new cache key."""
+def tokenizer_version(path: str, ranks_path: str | None = None) -> str:
+    """The digest of the vocabulary files and of the libraries that encode with them: any change makes new cache keys."""
+    import tiktoken
     import tokenizers
 
-    with open(path, "rb") as f:
-        return hashlib.sha256(f.read() + tokenizers.__version__.encode()).hexdigest()
+    parts = [tokenizers.__version__, tiktoken.__version__ if ranks_path else ""]
+    for p in (path, ranks_path):
+        if p:
+            with open(p, "rb") as f:
+                parts.append(hashlib.sha256(f.read()).hexdigest())
+    return hashlib.sha256(":".join(parts).encode()).hexdigest()
 
 
 @lru_cache(maxsize=2)
@@ -89,8 +96,9 @@ def count_tokens(docs: DataFrame, cache_dir: str, tokenizer: str = TOKENIZER, ra
 
     A text's key is the SHA-256 of its content beside the tokenizer version's digest. Content is normalised only in that
     null is the empty text: any other normalisation would change the counts. Keys are reduced to distinct ones
-    before any text moves; those that the table at ``cache_dir`` holds for this version are left out, one row of each other
-    key is encoded, whole, and the new counts are appended to the cache. A run that dies before appending leaves the
+    before any text moves; those that the table at ``cache_dir`` (a folder a version) holds are left out, one row of each other
+    key is encoded, whole, and the new counts are appended to the cache. Few missing keys are broadcast, so that no text moves; the texts
+    of many are shuffled by key. A run that dies before appending leaves the
     cache as it was; counts that two runs append at once are equal, and one of them is read.
 
     Null and empty texts have 0 bytes and 0 tokens. Equal rows each get a row, a null doc_id too. An empty table gives an
@@ -98,30 +106,33 @@ def count_tokens(docs: DataFrame, cache_dir: str, tokenizer: str = TOKENIZER, ra
     """
     spark = docs.sparkSession
     path = tokenizer_path(tokenizer)
-    version = tokenizer_version(path)
+    ranks_path = tokenizer_path(ranks) if ranks else None
     whole = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", whole.alias("text"), F.unhex(F.sha2(whole, 256)).alias("digest"), F.octet_length(whole).cast("long").alias("n_bytes"))
 
-    schema = "version string, digest binary, n_tokens bigint"
-    where = spark._jvm.org.apache.hadoop.fs.Path(cache_dir)
-    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        known = spark.read.schema(schema).parquet(cache_dir).where(F.col("version") == version).dropDuplicates(["digest"])
-    else:
-        known = spark.createDataFrame([], schema)
+    schema, scratch = "digest binary, n_tokens bigint", Scratch(spark)
+    folder = f"{cache_dir}/version={tokenizer_version(path, ranks_path)}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    known = spark.read.schema(schema).parquet(folder) if there else spark.createDataFrame([], schema)
     # The smallest doc_id stands for its key.
     wanted = keyed.groupBy("digest").agg(F.min("doc_id").alias("first_id")).join(known, "digest", "left_anti")
-    wanted = wanted.withColumnRenamed("digest", "wanted")
-    misses = keyed.join(wanted.hint("shuffle_hash"), (F.col("digest") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).select("digest", "text")
-    fresh = misses.mapInPandas(_encode(path, tokenizer_path(ranks) if ranks else None), "digest binary, n_tokens bigint")
-    fresh.select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache_dir)
+    wanted = scratch.table(wanted.withColumnRenamed("digest", "wanted"), "wanted")
+    few = wanted.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    wanted = F.broadcast(wanted) if few else wanted.hint("shuffle_hash")
+    misses = keyed.join(wanted, (F.col("digest") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).select("digest", "text")
+    if few:
+        # Rows that repeat an id and its text may stand in several tasks.
+        misses = misses.dropDuplicates(["digest"])
+    fresh = misses.mapInPandas(_encode(path, ranks_path), "digest binary, n_tokens bigint")
+    fresh.write.mode("append").parquet(folder)
 
-    counts = spark.read.schema(schema).parquet(cache_dir).where(F.col("version") == version)
     # As a table of its own the counts meet the rows in a plain join, whose hot keys Spark can split.
-    counts = Scratch(spark).table(counts.groupBy("digest").agg(F.first("n_tokens").alias("n_tokens")), "counts")
+    counts = spark.read.schema(schema).parquet(folder).groupBy("digest").agg(F.first("n_tokens").alias("n_tokens"))
     sized = keyed.select("doc_id", "digest", "n_bytes")
-    return sized.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return sized.join(scratch.table(counts, "counts"), "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents, against a cache that this run starts and fills."""
-    return count_tokens(table(spark, sf_dir, "documents"), f"{Scratch(spark).root}/token_cache", ranks="byte_bpe_50k.tiktoken")
+    """All documents, against the cache in the shared folder, which every run on it fills further."""
+    return count_tokens(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/tidemark-token-cache", ranks="byte_bpe_50k.tiktoken")
