@@ -9,8 +9,3 @@ from pyspark.sql import functions as F
 def sum_or_missing(value: Column, where: Column) -> Column:
     """The sum over rows where the condition holds; null where none does."""
     return F.sum(F.when(where, value))
-
-
-def turned_to_zero(before: Column, after: Column) -> Column:
-    """Whether a missing value has become 0."""
-    return before.isNull() & F.coalesce(after == 0, F.lit(False))

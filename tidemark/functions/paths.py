@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,7 +51,3 @@ def bad_directory(path: Column, directories: Iterable[str] = DIRECTORIES) -> Col
 def exempt_guard(path: Column, rule: Column, exempt: str = EXEMPT) -> Column:
     """A path rule, switched off on the exempt path. Content rules take no part in this."""
     return ~is_exempt(path, exempt) & rule
-
-
-def any_of(rules: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a | b, rules, F.lit(False))

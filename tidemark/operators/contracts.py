@@ -57,6 +57,18 @@ def counts_agree(df: DataFrame, id: str = "id") -> DataFrame:
     return _contract("COUNTS", row_and_id_counts(df, id), F.col("final_rows") - F.col("final_unique_ids"), F.col("null_ids") == 0)
 
 
+def _lines(counted: DataFrame, lines: Sequence[tuple[str, Column, Column | None]]) -> DataFrame:
+    """Rows of several contracts from one one-row table: name, offending number, and what else has to hold."""
+    of = lambda name, bad, also: F.struct(F.lit(name).alias("contract"), F.when((bad == 0) & (F.lit(True) if also is None else also), PASS).otherwise(FAIL).alias("status"), bad.cast("long").alias("n_bad"))
+    return counted.select(F.inline(F.array(*[of(name, F.coalesce(bad, F.lit(0)), also) for name, bad, also in lines])))
+
+
+def id_contracts(df: DataFrame, id: str = "id") -> DataFrame:
+    """DUPLICATES and COUNTS from one aggregation on id."""
+    rest = F.col("final_rows") - F.col("final_unique_ids")
+    return _lines(row_and_id_counts(df, id), [("DUPLICATES", F.col("duplicate_ids"), None), ("COUNTS", rest, F.col("null_ids") == 0)])
+
+
 def _metadata(df: DataFrame, name: str, n_bad: int) -> DataFrame:
     return _contract(name, df.sparkSession.range(1), F.lit(n_bad))
 
@@ -114,24 +126,28 @@ def missing_not_zero(before: DataFrame, after: DataFrame, columns: Sequence[str]
 def kept_contracts(master: DataFrame, run: DataFrame, candidate: DataFrame, columns: Sequence[str], measured: Sequence[str], id: str = "id", success: str = "n_success") -> DataFrame:
     """Four contracts at the cost of one: MASTER_NON_SHRINK, UNSELECTED_PRESERVATION, LAST_GOOD and MISSING_NOT_ZERO.
 
-    The three tables meet once, on id, where the single contracts would join them pair by pair; the rows are the same.
+    The three tables are one union with a mark of its side, and meet in one aggregation on id, where the single contracts would join them
+    pair by pair. Numbers are of ids: where a candidate repeats an id, its least and its greatest row must both be as they should.
     """
-    side = lambda df, name, *more: df.select(id, F.struct(F.lit(True).alias("_here"), *columns, *more).alias(name))
-    met = side(master, "_m").join(side(run, "_r", success), id, "full_outer").join(side(candidate, "_c"), id, "full_outer")
-    had, ran, there = (F.col(c).isNotNull() for c in ("_m", "_r", "_c"))
-    same = there & same_values(columns, "_m", "_c")
-    failed = ran & (F.col(f"_r.{success}") == 0)
-    zeroed = [F.count_if(ran & ~failed & F.col(f"_r.{c}").isNull() & F.coalesce(F.col(f"_c.{c}") == 0, F.lit(False))) for c in measured]
-    counted = met.agg(
-        F.count_if(had & ~there).alias("lost"), F.count_if(had & ~ran & ~same).alias("changed"), F.count_if(had & failed & ~same).alias("not_carried"), reduce(lambda a, b: a + b, zeroed, F.lit(0)).alias("zeroed"),
+    side = lambda df, mark, ok: df.select(id, F.lit(mark).alias("_side"), F.struct(*columns).alias("_v"), ok.alias("_ok"))
+    none = F.lit(None).cast("long")
+    rows = side(master, "m", none).unionByName(side(run, "r", F.col(success).cast("long"))).unionByName(side(candidate, "c", none))
+    on = lambda mark, c="_v": F.when(F.col("_side") == mark, F.col(c))
+    count = lambda mark: F.count_if(F.col("_side") == mark).alias(f"_n{mark}")
+    met = rows.groupBy(id).agg(
+        count("m"), count("r"), count("c"), F.max(on("m")).alias("_m"), F.max(on("r")).alias("_r"), F.max(on("r", "_ok")).alias("_ok"), F.min(on("c")).alias("_lo"), F.max(on("c")).alias("_hi")
     )
-    rows = lambda df, c: df.agg(F.count(F.lit(1)).alias(c))
-    counted = counted.crossJoin(rows(master, "_before")).crossJoin(rows(candidate, "_after"))
-    line = lambda name, c, also=None: F.struct(F.lit(name).alias("contract"), F.when((F.col(c) == 0) & (F.lit(True) if also is None else also), PASS).otherwise(FAIL).alias("status"), F.col(c).cast("long").alias("n_bad"))
-    lines = F.array(
-        line("MASTER_NON_SHRINK", "lost", F.col("_after") >= F.col("_before")), line("UNSELECTED_PRESERVATION", "changed"), line("LAST_GOOD", "not_carried"), line("MISSING_NOT_ZERO", "zeroed"),
+    had, ran, there = (F.col(c) > 0 for c in ("_nm", "_nr", "_nc"))
+    same = there & same_values(columns, "_m", "_lo") & same_values(columns, "_m", "_hi")
+    failed = ran & (F.col("_ok") == 0)
+    zero = lambda c: F.coalesce(F.col(f"_lo.{c}") == 0, F.lit(False)) | F.coalesce(F.col(f"_hi.{c}") == 0, F.lit(False))
+    zeroed = [F.count_if(ran & ~failed & F.col(f"_r.{c}").isNull() & zero(c)) for c in measured]
+    counted = met.agg(
+        F.count_if(had & ~there).alias("lost"), F.count_if(had & ~ran & ~same).alias("changed"), F.count_if(had & failed & ~same).alias("not_carried"),
+        reduce(lambda a, b: a + b, zeroed, F.lit(0)).alias("zeroed"), F.sum("_nm").alias("before"), F.sum("_nc").alias("after"),
     )
-    return counted.select(F.inline(lines))
+    grown = F.coalesce(F.col("after") >= F.col("before"), F.lit(True))
+    return _lines(counted, [("MASTER_NON_SHRINK", F.col("lost"), grown), ("UNSELECTED_PRESERVATION", F.col("changed"), None), ("LAST_GOOD", F.col("not_carried"), None), ("MISSING_NOT_ZERO", F.col("zeroed"), None)])
 
 
 def uniform_stamp(df: DataFrame, column: str = "synced_at") -> DataFrame:
@@ -148,9 +164,10 @@ def same_id_set(a: DataFrame, b: DataFrame, id: str = "id") -> DataFrame:
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Both tables have the same rows, as often."""
-    b = b.select(*a.columns)
-    return _contract("READBACK", a.exceptAll(b).union(b.exceptAll(a)).agg(F.count(F.lit(1)).alias("n_bad")))
+    """Both tables have the same rows, as often: one aggregation, in which a row's occurrences in b take off those in a."""
+    both = a.withColumn("_side", F.lit(1)).union(b.select(*a.columns).withColumn("_side", F.lit(-1)))
+    left = both.groupBy(*a.columns).agg(F.sum("_side").alias("_left")).where("_left <> 0")
+    return _contract("READBACK", left.agg(F.sum(F.abs("_left")).alias("n_bad")))
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

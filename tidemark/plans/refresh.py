@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType, TimestampNTZType
 
 from tidemark.functions.missing import sum_or_missing
-from tidemark.operators import acquire, contracts, merge
+from tidemark.operators import acquire, audit, contracts, merge
+from tidemark.sources.tables import read_attempts
 from tidemark.sources.workspace import Scratch
 
 CUT = datetime(2024, 1, 30, 12)
 SYNCED_AT = datetime(2024, 2, 1)
 METRICS = ["n_ok", "purchase_value", "last_ok_at", "last_value"]
+#: What is expected of the events as they landed.
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
 CANDIDATE = (
     StructType().add("id", LongType()).add("n_ok", LongType()).add("purchase_value", DoubleType()).add("last_ok_at", TimestampNTZType())
     .add("last_value", DoubleType()).add("status", StringType()).add("synced_at", TimestampNTZType())
@@ -31,8 +34,12 @@ def _as_attempts(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_id").alias("attempt_id"), F.col("user_id").alias("id"), "ts", ok, "event_type", "value")
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_attempts(spark, f"{sf_dir}/events.parquet", EVENTS)
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_attempts(table(spark, sf_dir, "events").where(F.col("ts") >= F.lit(CUT).cast("timestamp_ntz")))
+    return _as_attempts(_events(spark, sf_dir).where(F.col("ts") >= F.lit(CUT).cast("timestamp_ntz")))
 
 
 def measured(rows: DataFrame) -> DataFrame:
@@ -46,7 +53,7 @@ def measured(rows: DataFrame) -> DataFrame:
 
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = _as_attempts(table(spark, sf_dir, "events").where(F.col("ts") < F.lit(CUT).cast("timestamp_ntz")))
+    before = _as_attempts(_events(spark, sf_dir).where(F.col("ts") < F.lit(CUT).cast("timestamp_ntz")))
     return measured(before.where("ok")).select("id", *METRICS)
 
 
@@ -76,13 +83,21 @@ class Run:
     run: DataFrame
     prior: DataFrame
     candidate: DataFrame
+    #: Rows by stage, counted as the tables were written.
+    stages: dict[str, int]
 
     @classmethod
     def written(cls, spark: SparkSession, sf_dir: str) -> Run:
-        scratch = Scratch(spark)
-        run = scratch.table(measured(attempts(spark, sf_dir)), "run")
-        prior = scratch.table(master(spark, sf_dir), "prior")
-        return cls(run, prior, scratch.table(stamped(merge.merge_snapshot(prior, run, METRICS)), "candidate"))
+        scratch, seen = Scratch(spark), {}
+
+        def observed(df: DataFrame, stage: str) -> DataFrame:
+            df, seen[stage] = audit.observed(df, stage)
+            return df
+
+        run = scratch.table(observed(measured(observed(attempts(spark, sf_dir), "acquire")), "measure"), "run")
+        prior = scratch.table(observed(master(spark, sf_dir), "master"), "prior")
+        candidate = scratch.table(observed(stamped(merge.merge_snapshot(prior, run, METRICS)), "materialize"), "candidate")
+        return cls(run, prior, candidate, {stage: s.get["n_rows"] for stage, s in seen.items()})
 
     def validated(self, candidate: DataFrame | None = None) -> DataFrame:
         """A row a contract over the candidate, or over another one."""
@@ -93,8 +108,7 @@ class Run:
         return contracts.all_contracts(
             contracts.accounting(counts),
             contracts.acquired_something(counts),
-            contracts.no_duplicates(cand),
-            contracts.counts_agree(cand),
+            contracts.id_contracts(cand),
             contracts.schema_contract(cand, CANDIDATE),
             contracts.type_contract(cand, CANDIDATE),
             contracts.kept_contracts(self.prior, self.run, cand, METRICS, ["purchase_value", "last_value"]),

@@ -71,6 +71,12 @@ def q05(spark, d):
     return R.measured(R.attempts(spark, d))
 
 
+@_register("q06_attempts", f"WITH {_ATT} SELECT attempt_id, id, ts, ok, event_type, value FROM att")
+def q06(spark, d):
+    """The attempts as they landed, read with the schema that is expected of them."""
+    return R.attempts(spark, d)
+
+
 @_register("q10_candidate", _FULL + "SELECT * FROM cand")
 def q10(spark, d):
     return R.candidate(spark, d)
@@ -110,10 +116,28 @@ def q15(spark, d):
     return merge.snapshot_diff(R.reduced_master(spark, d), R.candidate(spark, d).where(F.col("id") % 10 != 4), R.METRICS)
 
 
-_NAMES = ("ACCOUNTING", "ACQUISITION", "DUPLICATES", "COUNTS", "SCHEMA", "TYPE", "MASTER_NON_SHRINK", "UNSELECTED_PRESERVATION", "LAST_GOOD", "SEMANTIC_VALIDATION", "MISSING_NOT_ZERO", "UNIFORM_STAMP")
-
-
-@_register("q20_contracts", "SELECT unnest([" + ", ".join(f"'{n}'" for n in _NAMES) + "]) AS contract, 'PASS' AS status, CAST(0 AS BIGINT) AS n_bad FROM (SELECT 1 FROM events LIMIT 1)")
+_SAME = " AND ".join(f"m.{c} IS NOT DISTINCT FROM c.{c}" for c in R.METRICS)
+_ROW = "SELECT '{}' AS contract, CASE WHEN n = 0{} THEN 'PASS' ELSE 'FAIL' END AS status, CAST(n AS BIGINT) AS n_bad FROM ({})"
+_KINDS = " OR ".join(f"typeof({f.name}) <> '{k}'" for f, k in zip(R.CANDIDATE.fields, ("BIGINT", "BIGINT", "DOUBLE", "TIMESTAMP", "DOUBLE", "VARCHAR", "TIMESTAMP"), strict=True))
+_CUT = "TIMESTAMP '2024-01-30 12:00:00'"
+#: Every contract's number, counted in SQL: what else has to hold, and the query that counts.
+_COUNTED = {
+    "ACCOUNTING": ("", "SELECT abs(count(*) - count(*) FILTER (n_success > 0) - count(*) FILTER (n_success = 0)) AS n FROM per"),
+    "ACQUISITION": ("", "SELECT CASE WHEN count(*) FILTER (n_success > 0) = 0 THEN count(*) ELSE 0 END AS n FROM per"),
+    "DUPLICATES": ("", "SELECT count(*) AS n FROM (SELECT id FROM cand WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)"),
+    "COUNTS": (" AND nulls = 0", "SELECT count(*) - count(DISTINCT id) AS n, count(*) FILTER (id IS NULL) AS nulls FROM cand"),
+    "SCHEMA": ("", f"SELECT count(*) FILTER (a IS DISTINCT FROM b) AS n FROM (SELECT unnest(json_keys(to_json(c))) AS a, unnest({R.CANDIDATE.names}) AS b FROM (SELECT * FROM cand LIMIT 1) c)"),
+    "TYPE": ("", f"SELECT count(*) AS n FROM cand WHERE {_KINDS}"),
+    "MASTER_NON_SHRINK": (" AND later >= earlier", "SELECT count(*) FILTER (id NOT IN (SELECT id FROM cand)) AS n, count(*) AS earlier, (SELECT count(*) FROM cand) AS later FROM mas"),
+    "UNSELECTED_PRESERVATION": ("", f"SELECT count(*) FILTER (c.id IS NULL OR NOT ({_SAME})) AS n FROM mas m LEFT JOIN cand c ON m.id = c.id WHERE m.id NOT IN (SELECT id FROM per)"),
+    "LAST_GOOD": ("", f"SELECT count(*) FILTER (c.id IS NULL OR NOT ({_SAME})) AS n FROM mas m LEFT JOIN cand c ON m.id = c.id WHERE m.id IN (SELECT id FROM per WHERE n_success = 0)"),
+    "SEMANTIC_VALIDATION": ("", f"SELECT count(*) FILTER (n_ok IS NULL OR n_ok <= 0) + count(*) FILTER (status IN ('REFRESHED', 'NEW') AND NOT coalesce(last_ok_at >= {_CUT}, false)) + count(*) FILTER (status NOT IN ('REFRESHED', 'NEW') AND coalesce(last_ok_at >= {_CUT}, true)) AS n FROM cand"),
+    "MISSING_NOT_ZERO": ("", "SELECT count(*) FILTER (p.purchase_value IS NULL AND c.purchase_value = 0) + count(*) FILTER (p.last_value IS NULL AND c.last_value = 0) AS n FROM cand c JOIN per p ON c.id = p.id WHERE p.n_success > 0"),
+    "UNIFORM_STAMP": ("", "SELECT count(*) FILTER (synced_at IS NULL) + CAST(min(synced_at) <> max(synced_at) AS BIGINT) AS n FROM cand"),
+}
+
+
+@_register("q20_contracts", _FULL + " UNION ALL ".join(_ROW.format(name, also, sql) for name, (also, sql) in _COUNTED.items()))
 def q20(spark, d):
     """All contracts over the candidate."""
     return R.Run.written(spark, d).validated()
@@ -144,10 +168,45 @@ def q20_failing(spark, d):
     return contracts.all_contracts(*rows)
 
 
-@_register("q21_run_summary", _FULL + """SELECT 'run-1' AS run_id, min(ts) AS started_at, max(ts) AS finished_at, CAST(epoch(max(ts)) - epoch(min(ts)) AS DOUBLE) AS wall_seconds,
+@_register("q20_failing_others", _FULL + """SELECT 'one_failure_more' AS candidate, 'ACCOUNTING' AS contract, 'FAIL' AS status, CAST(1 AS BIGINT) AS n_bad FROM (SELECT count(*) FROM per)
+  UNION ALL SELECT 'without_ids', 'COUNTS', 'FAIL', count(*) FILTER (id % 10 = 3) FROM cand
+  UNION ALL SELECT 'without_last_value', 'SCHEMA', 'FAIL', 3 FROM (SELECT count(*) FROM cand)
+  UNION ALL SELECT 'values_as_text', 'TYPE', 'FAIL', 1 FROM (SELECT count(*) FROM cand)
+  UNION ALL SELECT 'nothing_succeeded', 'SEMANTIC_VALIDATION', 'FAIL', count(*) FILTER (id % 10 = 3) FROM cand
+  UNION ALL SELECT 'carried_changed', 'LAST_GOOD', 'FAIL', count(*) FILTER (status = 'CARRIED') FROM cand
+  UNION ALL SELECT 'read_with_changes', 'READBACK', 'FAIL', count(*) FILTER (id % 10 = 3) + 2 * count(*) FILTER (id % 10 = 4) FROM cand
+  UNION ALL SELECT 'added_to_backup', 'BACKUP', 'FAIL', 2 FROM (SELECT count(*) FROM mas)""")
+def q20_failing_others(spark, d):
+    """What each other contract is there to catch: lost accounts and ids, columns and types, rules, carried rows, and rows that read back otherwise."""
+    run, scratch = R.Run.written(spark, d), Scratch(spark)
+    cand, third = run.candidate, F.col("id") % 10 == 3
+    of = lambda name, found, contract: found.where(F.col("contract") == contract).select(F.lit(name).alias("candidate"), "contract", "status", "n_bad")
+    counts = acquire.run_counts(run.run).withColumn("failed_count", F.col("failed_count") + 1)
+    rows = [
+        of("one_failure_more", contracts.accounting(counts), "ACCOUNTING"),
+        of("without_ids", contracts.id_contracts(cand.withColumn("id", F.when(~third, F.col("id")))), "COUNTS"),
+        of("without_last_value", contracts.schema_contract(cand.drop("last_value"), R.CANDIDATE), "SCHEMA"),
+        of("values_as_text", contracts.type_contract(cand.withColumn("purchase_value", F.col("purchase_value").cast("string")), R.CANDIDATE), "TYPE"),
+        of("nothing_succeeded", run.validated(cand.withColumn("n_ok", F.when(third, F.lit(0)).otherwise(F.col("n_ok")))), "SEMANTIC_VALIDATION"),
+        of("carried_changed", run.validated(cand.withColumn("last_value", F.when(F.col("status") == merge.CARRIED, F.lit(-1.0)).otherwise(F.col("last_value")))), "LAST_GOOD"),
+    ]
+    publish.publish(cand.where(~third).withColumn("n_ok", F.when(F.col("id") % 10 == 4, F.col("n_ok") + 1).otherwise(F.col("n_ok"))), scratch.root, "run-1")
+    rows.append(of("read_with_changes", contracts.same_rows(cand, publish.readback(spark, scratch.root, "run-1")), "READBACK"))
+    publish.publish(run.prior, scratch.root, "run-0")
+    before = scratch.table(contracts.fingerprint(publish.readback(spark, scratch.root, "run-0")), "before")
+    run.prior.where(third).write.mode("append").parquet(f"{scratch.root}/versions/run-0")
+    after = contracts.fingerprint(publish.readback(spark, scratch.root, "run-0"))
+    rows.append(of("added_to_backup", contracts.same_rows(before, after).withColumn("contract", F.lit("BACKUP")), "BACKUP"))
+    return contracts.all_contracts(*rows)
+
+
+_SUMMARY = _FULL + """SELECT 'run-1' AS run_id, min(ts) AS started_at, max(ts) AS finished_at, CAST(epoch(max(ts)) - epoch(min(ts)) AS DOUBLE) AS wall_seconds,
   (SELECT count(*) FROM per) AS selected_count, (SELECT count(*) FROM per WHERE n_success > 0) AS success_count, (SELECT count(*) FROM per WHERE n_success = 0) AS failed_count, count(*) AS http_request_count,
   (SELECT count(*) FROM cand) AS final_rows, (SELECT count(DISTINCT id) FROM cand) AS final_unique_ids, CAST(0 AS BIGINT) AS duplicate_ids, 'PASS' AS schema_contract, 'PASS' AS type_contract,
-  'PASS' AS backup_contract, 'PASS' AS readback, 'PASS' AS semantic_validation, 'PASS' AS master_non_shrink, 'PASS' AS unselected_preservation, 'PASS' AS final_status FROM att""")
+  'PASS' AS backup_contract, 'PASS' AS readback, 'PASS' AS semantic_validation, 'PASS' AS master_non_shrink, 'PASS' AS unselected_preservation, 'PASS' AS final_status FROM att"""
+
+
+@_register("q21_run_summary", _SUMMARY)
 def q21(spark, d):
     """The run's summary after publication: started and finished are the first and the last attempt."""
     scratch, run = Scratch(spark), R.Run.written(spark, d)
@@ -169,6 +228,14 @@ def q21(spark, d):
     return audit.run_summary("run-1", first, last, acquire.run_counts(run.run), contracts.row_and_id_counts(cand), statuses)
 
 
+@_register("q21_summary_readback", _SUMMARY)
+def q21_readback(spark, d):
+    """The summary as it was persisted, read back with the fields that it must have."""
+    path = f"{Scratch(spark).root}/summaries"
+    publish.write_run_summary(q21(spark, d), path)
+    return spark.read.schema(audit.SUMMARY_SCHEMA).parquet(path)
+
+
 @_register("q22_duplicates", _FULL + "SELECT id, CAST(2 AS BIGINT) AS n FROM cand WHERE id % 10 = 3")
 def q22(spark, d):
     cand = R.candidate(spark, d)
@@ -181,7 +248,7 @@ def q22_counts(spark, d):
     return contracts.row_and_id_counts(cand.unionByName(cand.where(F.col("id") % 10 == 3)))
 
 
-@_register("q23_id_set_equal", "SELECT 'ID_SET' AS contract, 'PASS' AS status, CAST(0 AS BIGINT) AS n_bad FROM (SELECT count(*) FROM events)")
+@_register("q23_id_set_equal", _FULL + _ROW.format("ID_SET", "", "SELECT (SELECT count(*) FROM (SELECT id FROM mas EXCEPT SELECT id FROM cand)) + (SELECT count(*) FROM (SELECT id FROM cand EXCEPT SELECT id FROM mas)) AS n"))
 def q23(spark, d):
     return contracts.same_id_set(R.master(spark, d), R.candidate(spark, d))
 
@@ -217,7 +284,7 @@ def q25(spark, d):
     return R.candidate(spark, d).groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("n_missing"), F.count_if(zero).alias("n_zero"))
 
 
-@_register("q26_uniform_stamp", "SELECT 'UNIFORM_STAMP' AS contract, 'PASS' AS status, CAST(0 AS BIGINT) AS n_bad FROM (SELECT count(*) FROM events)")
+@_register("q26_uniform_stamp", _FULL + _ROW.format("UNIFORM_STAMP", *_COUNTED["UNIFORM_STAMP"]))
 def q26(spark, d):
     return contracts.uniform_stamp(R.candidate(spark, d))
 
@@ -254,12 +321,24 @@ def _sql_cases(values: tuple[str, ...]) -> str:
     return f"CASE doc_id % {len(values)} " + " ".join(f"WHEN {i} THEN '{v.replace(chr(39), chr(39) * 2)}'" for i, v in enumerate(values)) + " END"
 
 
+@_register("q30_secret_texts", f"""WITH s AS (SELECT doc_id, concat(text, ' x ', {_sql_cases(_SAMPLES)}, ' y') AS t FROM documents) SELECT doc_id, regexp_matches(t, '-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----') AS private_key,
+  regexp_matches(t, '\\bgh[pousr]_[A-Za-z0-9_]{{30,}}\\b') AS gh_token, regexp_matches(t, '\\bgithub_pat_[A-Za-z0-9_]{{20,}}\\b') AS gh_pat, regexp_matches(t, '\\bAIza[0-9A-Za-z_-]{{30,}}\\b') AS google_key,
+  regexp_matches(t, '(?i)\\b(?:api[_-]?key|access[_-]?token|refresh[_-]?token|password)\\s*[=:]\\s*[''"][^''"]{{8,}}[''"]') AS assigned FROM s""")
+def q30_texts(spark, d):
+    """The kinds of secrets in whole texts, each with a sample behind it."""
+    s = R.table(spark, d, "documents").select("doc_id", F.concat("text", F.lit(" x "), _cases("t", _SAMPLES), F.lit(" y")).alias("t"))
+    return _kinds(s)
+
+
 @_register("q30_secret_kinds", f"""WITH s AS (SELECT doc_id, concat('x ', {_sql_cases(_SAMPLES)}, ' y') AS t FROM documents) SELECT doc_id, regexp_matches(t, '-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----') AS private_key,
   regexp_matches(t, '\\bgh[pousr]_[A-Za-z0-9_]{{30,}}\\b') AS gh_token, regexp_matches(t, '\\bgithub_pat_[A-Za-z0-9_]{{20,}}\\b') AS gh_pat, regexp_matches(t, '\\bAIza[0-9A-Za-z_-]{{30,}}\\b') AS google_key,
   regexp_matches(t, '(?i)\\b(?:api[_-]?key|access[_-]?token|refresh[_-]?token|password)\\s*[=:]\\s*[''"][^''"]{{8,}}[''"]') AS assigned FROM s""")
 def q30_kinds(spark, d):
+    return _kinds(R.table(spark, d, "documents").select("doc_id", F.concat(F.lit("x "), _cases("t", _SAMPLES), F.lit(" y")).alias("t")))
+
+
+def _kinds(s: DataFrame) -> DataFrame:
     t = F.col("t")
-    s = R.table(spark, d, "documents").select("doc_id", F.concat(F.lit("x "), _cases("t", _SAMPLES), F.lit(" y")).alias("t"))
     return s.select("doc_id", text.has_private_key(t).alias("private_key"), text.has_gh_token(t).alias("gh_token"), text.has_gh_pat(t).alias("gh_pat"), text.has_google_key(t).alias("google_key"), text.has_assigned_secret(t).alias("assigned"))
 
 
@@ -305,7 +384,11 @@ def q33(spark, d):
     return scan.verdict(scan.violations(_corpus(spark, d)))
 
 
-@_register("q33_clean_verdict", "SELECT 'PASS' AS verdict, CAST(0 AS INTEGER) AS exit_code, CAST(0 AS BIGINT) AS n_findings FROM (SELECT count(*) FROM documents)")
+_SQL_SECRET = r"""regexp_matches({0}, '-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----') OR regexp_matches({0}, '\bgh[pousr]_[A-Za-z0-9_]{{30,}}\b') OR regexp_matches({0}, '\bgithub_pat_[A-Za-z0-9_]{{20,}}\b')
+  OR regexp_matches({0}, '\bAIza[0-9A-Za-z_-]{{30,}}\b') OR regexp_matches({0}, '(?i)\b(?:api[_-]?key|access[_-]?token|refresh[_-]?token|password)\s*[=:]\s*[''"][^''"]{{8,}}[''"]')"""
+
+
+@_register("q33_clean_verdict", f"SELECT CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END AS verdict, CAST(n > 0 AS INTEGER) AS exit_code, n AS n_findings FROM (SELECT count(*) AS n FROM documents WHERE {_SQL_SECRET.format('source')})")
 def q33_clean(spark, d):
     return scan.verdict(scan.violations(tables.scan_corpus(R.table(spark, d, "documents").select(F.lit("src/a.py").alias("path"), F.encode("source", "UTF-8").alias("content")))))
 
@@ -315,6 +398,32 @@ def q33_skipped(spark, d):
     return scan.skipped(_corpus(spark, d))
 
 
+#: Contents that a gate stops, and ones that just pass it, by what is left of doc_id % 100.
+_SECRET = ' password = "hunter2222"'
+
+
+def _gated(spark: SparkSession, d: str) -> DataFrame:
+    """A file a document: every hundredth unreadable, no UTF-8, too long by a byte, of just the length that is scanned, or binary; all of these with a secret."""
+    kind, body = F.col("doc_id") % 100, F.encode(F.concat("text", F.lit(_SECRET)), "UTF-8")
+    fill = lambda n: F.encode(F.concat(F.repeat(F.lit("x"), n - len(_SECRET)), F.lit(_SECRET)), "UTF-8")
+    content = (
+        F.when(kind == 11, F.lit(None).cast("binary")).when(kind == 12, F.concat(body, F.lit(b"\xff"))).when(kind == 13, fill(scan.MAX_BYTES + 1)).when(kind == 14, fill(scan.MAX_BYTES))
+        .when(kind == 15, F.concat(body, F.lit(b"\0"))).when(kind == 16, body).otherwise(F.encode("source", "UTF-8"))
+    )
+    return tables.scan_corpus(R.table(spark, d, "documents").select(F.concat(F.lit("src/"), F.col("doc_id").cast("string")).alias("path"), content.alias("content")))
+
+
+@_register("q33_gates", """SELECT count(*) FILTER (doc_id % 100 = 11) AS unreadable, count(*) FILTER (doc_id % 100 = 13 OR (doc_id % 100 IN (12, 15, 16) AND strlen(text) + 24 + CAST(doc_id % 100 <> 16 AS INTEGER) > 2000000)) AS too_large,
+  count(*) FILTER (doc_id % 100 = 15 AND strlen(text) + 25 <= 2000000) AS binary, count(*) FILTER (doc_id % 100 = 12 AND strlen(text) + 25 <= 2000000) AS not_utf8 FROM documents""")
+def q33_gates(spark, d):
+    return scan.skipped(_gated(spark, d))
+
+
+@_register("q33_gated_findings", "SELECT 'possible secret pattern' AS rule, concat('src/', CAST(doc_id AS VARCHAR)) AS path FROM documents WHERE doc_id % 100 = 14 OR (doc_id % 100 = 16 AND strlen(text) + 24 <= 2000000)")
+def q33_gated_findings(spark, d):
+    return scan.violations(_gated(spark, d))
+
+
 @_register("q34_extra_pattern", """SELECT doc_id FROM documents WHERE regexp_matches(text, 'token = "[0-9a-f]{40}"')""")
 def q34(spark, d):
     return scan.scan_table(R.table(spark, d, "documents"), "doc_id", "text", (*text.SECRETS, 'token = "[0-9a-f]{40}"'))
@@ -335,6 +444,19 @@ def q36(spark, d):
     return pages.select("page_id", F.explode(text.find_links(F.col("body"))).alias("link"))
 
 
+@_register("q36_page_links", r"""SELECT page_id, unnest(regexp_extract_all(replace(html, 'href="/', 'href="https://pages.example/'), 'https?://[^\s"''<>)\]]+')) AS link FROM pages""")
+def q36_pages(spark, d):
+    """Links of whole pages; their own are relative, and get a host."""
+    body = F.replace("html", F.lit('href="/'), F.lit('href="https://pages.example/'))
+    return R.table(spark, d, "pages").select("page_id", F.explode(text.find_links(body)).alias("link"))
+
+
+@_register("q37_page_resources", r"""SELECT page_id, unnest(list_concat(regexp_extract_all(html, 'href="/[^"]{6,}"'), regexp_extract_all(html, '<h[1-6]>'))) AS resource FROM pages""")
+def q37_pages(spark, d):
+    """What patterns find in whole pages."""
+    return R.table(spark, d, "pages").select("page_id", F.explode(text.find_resource_ids(F.col("html"), ['href="/[^"]{6,}"', "<h[1-6]>"])).alias("resource"))
+
+
 @_register("q37_resource_ids", "SELECT page_id, unnest(list_concat(regexp_extract_all(concat('/d/', md5(url), '/edit'), '/d/[a-z0-9]{20,}'), regexp_extract_all(url, '/[a-z]{2}/[0-9]+'))) AS resource FROM pages")
 def q37(spark, d):
     body = F.concat(F.lit("/d/"), F.md5("url"), F.lit("/edit "), "url")
@@ -429,3 +551,11 @@ def q52(spark, d):
     stages = {"acquire": rows, "measure": R.measured(rows), "materialize": R.candidate(spark, d), "master": R.master(spark, d)}
     log = contracts.all_contracts(*[audit.stage_row(df, name) for name, df in stages.items()])
     return audit.allowlist_columns(log.withColumns({"run_id": F.lit("run-1"), "status": F.lit("PASS"), "payload": F.lit("")}))
+
+
+@_register("q52_observed_log", _FULL + "SELECT 'run-1' AS run_id, 'acquire' AS stage, count(*) AS n_rows, 'PASS' AS status FROM att UNION ALL SELECT 'run-1', 'measure', count(*), 'PASS' FROM per UNION ALL SELECT 'run-1', 'materialize', count(*), 'PASS' FROM cand UNION ALL SELECT 'run-1', 'master', count(*), 'PASS' FROM mas")
+def q52_observed(spark, d):
+    """The same log from what was counted as the run's tables were written: no stage is read again."""
+    stages = R.Run.written(spark, d).stages
+    log = spark.createDataFrame([("run-1", stage, n, "PASS", "") for stage, n in stages.items()], "run_id string, stage string, n_rows bigint, status string, payload string")
+    return audit.allowlist_columns(log)

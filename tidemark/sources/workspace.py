@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session, or a folder of our own where that is unset."""
+    """spark.checkpoint.dir of the session; a folder of our own where that is unset and all runs in one process, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: driver and executors need a folder that they share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
