@@ -67,6 +67,46 @@ def test_licences_of_wrapped_notices(spark):
     assert got == [(1, 0, "BSD"), (2, 2, "MIT"), (3, 1, "GPL"), (4, 0, "Apache-2.0"), (5, 60, "BSD"), (6, 0, "BSD"), (6, 3, "MIT"), (8, 0, "MIT"), (8, 1, "BSD"), (10, 3, "BSD")]
 
 
+HEADERS = {
+    "BSD": "/*\n * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:\n */",
+    "GPL": "// This program is free software: you can redistribute it and/or modify\n// it under the terms of the GNU General Public License as published by\n// the Free Software Foundation, either version 3 of the License, or\n// (at your option) any later version.",
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction",
+    "Apache-2.0": "# Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at",
+    "LGPL": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or\ndistribute this software, either in source code form or as a compiled\nbinary",
+}
+
+
+def test_licences_of_seven_usual_headers_and_none_of_their_fragments(spark):
+    model = licenses.fit(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))
+    texts = [*HEADERS.values(), *(f"code before\n\n{t}\n\ncode behind" for t in HEADERS.values())]
+    fragments = [" ".join(t.split()[k : k + 6]) for t in HEADERS.values() for k in (8, 14)]
+    rows = list(enumerate([*texts, *fragments, "the software is free of charge to any person", "all copies of the book are in the library", "public license plates of the road"]))
+    found = licenses.find_licenses(spark.createDataFrame(rows, DOCS), model).collect()
+    names = [*HEADERS, *HEADERS]
+    assert {(r["doc_id"], r["family"]) for r in found if r["doc_id"] < 14} >= set(enumerate(names))
+    assert not [r for r in found if r["doc_id"] >= 14] and all(0.5 <= r["probability"] <= 1 for r in found)
+
+
+def test_licence_probabilities_are_calibrated_on_what_training_has_not_seen(spark):
+    """Held-back parts of templates: two fifths are no licence, four fifths are."""
+    model = licenses.fit(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))
+    weights, grams = dict(model.weights), [r["grams"] for r in licenses.templates(spark).collect() if len(r["grams"]) >= 5]
+    score = lambda g: [float(sum(weights[x][i] for x in g)) for i in range(len(model.families))]
+    rows = [(label, score(licenses._parts(g, kept))) for g in grams for label, parts in ((1, licenses.LICENSED[3:]), (0, licenses.UNLICENSED[3:])) for kept in parts] + [(0, score([]))] * 1000
+    df = spark.createDataFrame(rows, "label int, scores array<double>")
+    p = [(r["label"], r["p"]) for r in df.select("label", model.calibrated(model.probabilities(F.col("scores"))[0]).alias("p")).collect()]
+    assert abs(np.mean([x for _, x in p]) - np.mean([y for y, _ in p])) < 0.05
+    assert np.mean([x >= 0.5 for y, x in p if y]) > 0.8 and np.mean([x >= 0.5 for y, x in p if not y]) < 0.02
+
+
+def test_licence_plan_has_no_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    plan = licenses.find_licenses(docs, licenses.fit(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
 def test_topk_against_all_products(spark):
     rnd = np.random.RandomState(4)
     rows = [(i, rnd.randn(6).astype("float32").tolist(), "x") for i in range(400)]

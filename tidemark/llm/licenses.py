@@ -6,11 +6,11 @@ from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, let, table
+from tidemark.llm.common import Scratch, drawn, let, table
 
 UNKNOWN = "unknown"
 # Notices by which texts name their licence, by family. What is trained on is these and paragraphs of the corpus.
@@ -74,17 +74,29 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
         "SPDX-License-Identifier: CC-BY-SA-4.0",
     ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "Released under the ISC License",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
+        "SPDX-License-Identifier: Unlicense",
+    ),
     "CC0": (
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
         "Dedicated to the public domain under CC0 1.0 Universal",
         "SPDX-License-Identifier: CC0-1.0",
     ),
 }
-#: About so many paragraphs of the corpus stand for the unknown class.
+#: Of so many documents at most, the first by a hash of id and text, paragraphs stand for the unknown class.
 NEGATIVES = 4_000
 CONTAINED = 0.6
 LEAST_PROBABILITY = 0.5
-FALSE_ACCEPT = 0.001
+#: Fifths of a template that are still a licence's, and that are not; the last two of either are held back from training.
+LICENSED = ((1, 2, 3, 4), (0, 2, 3, 4), (0, 1, 3, 4), (0, 1, 2, 4), (0, 1, 2, 3))
+UNLICENSED = ((0, 1), (2, 3), (1, 4), (3, 4), (0, 2))
 GAP = r"[^\p{L}\p{N}]+"
 WORD = r"[\p{L}\p{N}]+"
 #: Lines of the windows by which a run of lines is scored, besides the whole run.
@@ -147,30 +159,43 @@ def _known(grams: Column, vocabulary: list[int]) -> Column:
 
 
 class Model:
-    """A weight for each bigram and family, the intercepts, and the least probability that counts."""
+    """A weight for each bigram and family, the intercepts, and the line that turns log odds of any licence into calibrated ones."""
 
-    def __init__(self, families: list[str], weights: list[tuple[int, list[float]]], intercepts: list[float], least: float):
-        self.families, self.weights, self.intercepts, self.least = families, weights, intercepts, least
+    def __init__(self, families: list[str], weights: list[tuple[int, list[float]]], intercepts: list[float], slope: float, shift: float):
+        self.families, self.weights, self.intercepts, self.slope, self.shift = families, weights, intercepts, slope, shift
 
     def probabilities(self, scores: Column) -> Column:
         logits = F.zip_with(scores, F.array(*[F.lit(x) for x in self.intercepts]), lambda s, c: s + c)
         powers = let(logits, lambda z: F.transform(z, lambda x: F.exp(x - F.array_max(z))))
         return let(powers, lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b)))
 
+    def calibrated(self, unknown: Column) -> Column:
+        """The probability that a paragraph is a licence's, from what the regression gives the unknown class."""
+        return 1 / (1 + F.exp(-(log_odds(unknown) * self.slope + self.shift)))
+
+
+def log_odds(unknown: Column) -> Column:
+    """Log odds of any family against the unknown class, at most thirty either way."""
+    return F.least(F.lit(30.0), F.greatest(F.lit(-30.0), F.log((1 - unknown + 1e-13) / (unknown + 1e-13))))
+
+
+def _parts(grams: list[int], kept: tuple[int, ...]) -> list[int]:
+    """Bigrams of a template by their place modulo five."""
+    return [g for i, g in enumerate(grams) if i % 5 in kept]
+
 
 def fit(docs: DataFrame, negatives: int = NEGATIVES) -> Model:
-    """Multinomial regression over the templates' bigrams: the templates and their halves against paragraphs of the corpus.
+    """Multinomial regression over the templates' bigrams: the templates and parts of them against paragraphs of the corpus.
 
-    Of the corpus, about ``negatives`` paragraphs are taken by a hash of doc_id and paragraph, without those that hold
-    most of a template; they teach the unknown class. Half of them are held back: a family counts from the probability
-    that a thousandth of those reach, and never under one half.
+    Of the corpus, ``negatives`` documents at most are drawn, and of their paragraphs a fourth, without those that hold
+    most of a template; they teach the unknown class, and so do two fifths of a template, which are too little of one. A licence is what
+    holds four fifths. Half the paragraphs, and other two and four fifths of each template, are held back: on these the
+    probability of any licence is calibrated, by a logistic regression on its log odds.
     """
     spark = docs.sparkSession
     known = templates(spark).collect()  # a fixed list
     vocabulary = sorted({g for r in known for g in r["grams"]})
-    n = docs.count()
-    lot = F.pmod(F.xxhash64("doc_id", F.lit("licence")), F.lit(1_000_000))
-    few = docs.where(lot < int(1_000_000 * min(1.0, negatives / max(1, n))))
+    few = drawn(docs.select("doc_id", "text").withColumn("_all", F.lit(0)), "_all", {0: max(1, docs.count())}, negatives, "doc_id", "text")
     some = paragraphs(few).select("doc_id", "paragraph", _known(bigrams(F.col("body")), vocabulary).alias("grams")).where(F.pmod(F.xxhash64("doc_id", "paragraph"), F.lit(4)) == 0)
     holds = reduce(lambda a, b: a | b, [F.size(F.array_intersect("grams", F.array(*[F.lit(g) for g in r["grams"]]))) >= CONTAINED * len(r["grams"]) for r in known])
     negative = Scratch(spark).table(some.where(~holds).withColumn("held_back", F.pmod(F.xxhash64("paragraph", "doc_id"), F.lit(2)) == 1), "negatives")
@@ -178,21 +203,23 @@ def fit(docs: DataFrame, negatives: int = NEGATIVES) -> Model:
     text = lambda c: F.transform(c, lambda g: g.cast("string"))
     families = [UNKNOWN, *sorted(TEMPLATES)]
     at = {f: i for i, f in enumerate(families)}
-    half = lambda g, odd: [x for i, x in enumerate(g) if i % 3 != odd]
-    positive = [(float(at[r["family"]]), [str(x) for x in g], 20.0) for r in known for g in (r["grams"], half(r["grams"], 0), half(r["grams"], 1), half(r["grams"], 2)) if g]
-    positive += [(0.0, [], 50.0)]
-    # A few thousand short rows: one partition, so that the fit's many passes are one task each.
-    train = spark.createDataFrame(positive, "label double, grams array<string>, weight double").unionByName(
-        negative.where(~F.col("held_back")).select(F.lit(0.0).alias("label"), text("grams").alias("grams"), F.lit(1.0).alias("weight"))
-    )
+    row = lambda label, grams, weight: (float(label), [str(g) for g in grams], weight)
+    long = [r for r in known if len(r["grams"]) >= 5]
+    seen = [row(at[r["family"]], r["grams"], 20.0) for r in known] + [row(at[r["family"]], _parts(r["grams"], k), 10.0) for r in long for k in LICENSED[:3]]
+    seen += [row(0, _parts(r["grams"], k), 10.0) for r in long for k in UNLICENSED[:3]] + [row(0, [], 50.0)]
+    back = [row(1, _parts(r["grams"], k), 1.0) for r in long for k in LICENSED[3:]] + [row(0, _parts(r["grams"], k), 1.0) for r in long for k in UNLICENSED[3:]]
+    schema = "label double, grams array<string>, weight double"
+    unlike = lambda held: negative.where(F.col("held_back") == held).select(F.lit(0.0).alias("label"), text("grams").alias("grams"), F.lit(1.0).alias("weight"))
+    # A few thousand short rows: one partition, so that the fits' many passes are one task each.
     reader = CountVectorizer(inputCol="grams", outputCol="features", binary=True).fit(spark.createDataFrame([([str(g) for g in vocabulary],)], "grams array<string>"))
-    fitted = LogisticRegression(family="multinomial", weightCol="weight", regParam=0.002, maxIter=60).fit(reader.transform(train.coalesce(1)))
-    back = reader.transform(negative.where("held_back").select(text("grams").alias("grams")))
-    taken = fitted.transform(back).select((1 - F.element_at(vector_to_array("probability"), 1)).alias("p"))
-    reached = taken.agg(F.percentile("p", F.lit(1 - FALSE_ACCEPT)).alias("p")).first()["p"] or 0.0
+    train = reader.transform(spark.createDataFrame(seen, schema).unionByName(unlike(False)).coalesce(1))
+    fitted = LogisticRegression(family="multinomial", weightCol="weight", regParam=0.002, maxIter=60).fit(train)
+    apart = fitted.transform(reader.transform(spark.createDataFrame(back, schema).unionByName(unlike(True)).coalesce(1)))
+    odds = apart.select("label", "weight", array_to_vector(F.array(log_odds(F.element_at(vector_to_array("probability"), 1)))).alias("odds"))
+    line = LogisticRegression(featuresCol="odds", weightCol="weight", regParam=0.001, maxIter=60).fit(odds)
     matrix = fitted.coefficientMatrix.toArray()
     weights = [(int(term), [float(x) for x in matrix[:, i]]) for i, term in enumerate(reader.vocabulary)]
-    return Model(families, weights, [float(x) for x in fitted.interceptVector], min(0.95, max(LEAST_PROBABILITY, reached)))
+    return Model(families, weights, [float(x) for x in fitted.interceptVector], float(line.coefficients[0]), float(line.intercept))
 
 
 def _likely(met: DataFrame, keys: list[str], model: Model, sizes: dict[int, tuple[str, int]]) -> DataFrame:
@@ -202,9 +229,11 @@ def _likely(met: DataFrame, keys: list[str], model: Model, sizes: dict[int, tupl
         F.first("doc_id").alias("doc_id"), F.array(*[F.sum(F.col("weights")[i]) for i in range(n)]).alias("scores"), F.flatten(F.collect_list("templates")).alias("hits"),
     )
     names = F.array(*[F.lit(f) for f in model.families])
-    likely = scored.withColumn("p", model.probabilities(F.col("scores"))).withColumn("best", F.array_position("p", F.array_max("p")).cast("int"))
-    likely = likely.select(*keys, "doc_id", F.element_at(names, F.col("best")).alias("family"), F.array_max("p").alias("probability"), "hits")
-    likely = likely.where((F.col("family") != UNKNOWN) & (F.col("probability") >= model.least))
+    # Of equal families the first by name.
+    likely = scored.withColumn("p", model.probabilities(F.col("scores"))).withColumn("known", F.slice("p", 2, n - 1))
+    likely = likely.withColumn("best", F.array_position("known", F.array_max("known")).cast("int") + 1)
+    likely = likely.select(*keys, "doc_id", F.element_at(names, F.col("best")).alias("family"), model.calibrated(F.col("p")[0]).alias("probability"), "hits")
+    likely = likely.where(F.col("probability") >= LEAST_PROBABILITY)
     # How much of each of its family's templates the paragraph holds.
     hits_of = lambda t: F.size(F.filter("hits", lambda h: h == t))
     share = F.array(*[F.struct((hits_of(t) / size).alias("contained"), F.lit(-t).alias("order"), F.lit(f).alias("of")) for t, (f, size) in sizes.items()])
@@ -221,10 +250,11 @@ def find_licenses(docs: DataFrame, model: Model) -> DataFrame:
 
     Bigrams are hashed where the text is read and meet the model's (a few hundred, from the fixed templates) by a
     broadcast join; a paragraph with none of them has the intercepts alone, which is the unknown class. For the others
-    the weights are summed. A paragraph counts if a family other than unknown is likeliest, its probability is within
-    the calibrated range, and a template of that family is contained in it to six tenths or more.
+    the weights are summed. A paragraph counts if its calibrated probability of being any licence's is one half or more, and a template of
+    the likeliest family (of equal ones the first by name) is contained in it to six tenths or more; the template is the one held most, of
+    equal ones the first.
 
-    Null and empty texts have no paragraphs. Equal rows each give theirs; a null doc_id stays null. An empty table gives
+    Whole texts count, however long. Null and empty texts have no paragraphs. Equal rows each give theirs; a null doc_id stays null. An empty table gives
     an empty result. Other columns are dropped.
     """
     spark = docs.sparkSession
