@@ -13,7 +13,7 @@ MAX_ROUNDS = 100
 def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """``(id, root)`` for every id in ``edges (a, b)``: the smallest id of its component.
 
-    In each round every vertex joins the neighbour that comes first in a pseudo-random order, which halves the
+    In each round but the first every vertex joins the neighbour that comes first in a pseudo-random order, which halves the
     vertices or better, whatever the graph's shape; edges are contracted until none is left. Every round is written, so
     plans stay short and a lost executor costs a round at most. No edge or component goes to the driver, only counts.
     """
@@ -23,7 +23,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataF
     for k in range(1, MAX_ROUNDS):
         if left.isEmpty():
             break
-        order = lambda c: F.struct(F.xxhash64(F.lit(k), c).alias("o"), F.col(c).alias("v"))  # noqa: E731, B023
+        # Stars around their smallest id, which comparisons give, are done in the first round, by the ids' own order.
+        order = lambda c: F.struct((F.col(c) if k == 1 else F.xxhash64(F.lit(k), c)).alias("o"), F.col(c).alias("v"))  # noqa: E731, B023
         both = left.select("a", "b").union(left.select("b", "a"))
         joins = both.groupBy(F.col("a").alias("v")).agg(F.least(F.min(order("b")), F.first(order("a"))).alias("m")).select("v", F.col("m.v").alias("to"))
         joins = scratch.table(joins, f"{name}_joins_{k}")

@@ -233,7 +233,7 @@ def _in_blocks(members: DataFrame) -> DataFrame:
 
 
 class _Forest:
-    """The search for classes over representatives ``reps (rid, signature, ...)``: links verified so far, and what hangs together by them.
+    """The search for classes over representatives ``reps (rid, signature, ...)``: what hangs together by the links verified so far.
 
     Only verified links join classes: candidates that share a prefix and prove unlike stay apart, however they chain.
     """
@@ -242,7 +242,6 @@ class _Forest:
         self.reps, self.sets_of, self.scratch, self.similarity = reps, sets_of, scratch, similarity
         spark = reps.sparkSession
         self.classes = spark.createDataFrame([], "rid bigint, root bigint")
-        self.links = spark.createDataFrame([], "a bigint, b bigint")
         self.sets: DataFrame | None = None
 
     def rooted(self, df: DataFrame) -> DataFrame:
@@ -260,11 +259,14 @@ class _Forest:
     def join(self, compared: DataFrame, name: str) -> list[float]:
         """Joins the classes of the links found; gives what next_depth needs to know of them."""
         links = self.scratch.table(compared.where((F.col("reps") > 0) | F.col("seen").isNotNull()), f"links_{name}")
-        *seen, new = links.agg(*[F.sum(F.col("seen")[i]) for i in range(DEEPEST + 1)], F.count_if(F.col("rid") != F.col("hangs"))).first()
-        if new:
-            self.links = self.links.union(links.where("rid != hangs").select(F.col("rid").alias("a"), F.col("hangs").alias("b")))
-            found = connected_components(self.links, self.scratch, f"classes_{name}").select(F.col("id").alias("rid"), "root")
-            self.classes = self.scratch.table(found, f"classes_{name}")
+        seen = links.agg(*[F.sum(F.col("seen")[i]) for i in range(DEEPEST + 1)]).first()
+        # Links between classes, not between members: most are within a class by now.
+        ends = self.rooted(links.where("rid != hangs").select("rid", "hangs")).select(F.col("root").alias("a"), F.col("hangs").alias("rid"))
+        ends = self.scratch.table(self.rooted(ends).select("a", F.col("root").alias("b")).where("a != b").distinct(), f"ends_{name}")
+        if not ends.isEmpty():
+            moved = connected_components(ends, self.scratch, f"joined_{name}").select(F.col("id").alias("root"), F.col("root").alias("to"))
+            known = self.classes.union(moved.select(F.col("root").alias("rid"), "root").join(self.classes.select("rid"), "rid", "left_anti"))
+            self.classes = self.scratch.table(known.join(moved, "root", "left").select("rid", F.coalesce("to", "root").alias("root")), f"classes_{name}")
         return [x or 0.0 for x in seen]
 
     def search(self, depth: int, stars: bool) -> list[float]:
