@@ -484,6 +484,17 @@ def test_mixing_of_a_tiny_source_among_many_shards(spark):
             assert abs(taken[s] - target[s]) <= 64, (s, taken[s], target[s])
 
 
+def test_mixing_of_a_very_long_text_and_ties(spark):
+    rows = [(1, "w " * 400_000, "a"), *((i, "w w w", s) for i in range(2, 400) for s in ("a", "b", "c"))]
+    got = mixing.mix(spark.createDataFrame(rows, f"{DOCS}, source string")).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert len(got) == len(rows) and all(abs(taken[s] - target[s]) <= 64 for s in target)
+
+
 def test_mixing_of_little_or_nothing(spark):
     df = spark.createDataFrame([(1, "a b c", "s"), (2, None, "t"), (3, "", None)], f"{DOCS}, source string")
     assert {r["doc_id"]: (r["size"], r["taken"]) for r in mixing.mix(df).collect()} == {1: (3, 3), 2: (0, 0), 3: (0, 0)}
@@ -532,6 +543,38 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in five.collect()} == {r["doc_id"] for r in four.collect()}
 
 
+def test_pipeline_of_nulls_repeats_and_clashing_columns(spark):
+    """Every stage over rows with nulls in any column, repeated rows, a very long text and columns that are named like results."""
+    good = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) > 300").limit(6).collect()]
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    rows = [(1, good[0], "en", "a"), (1, good[1], "en", "a"), (None, good[2], "en", None), (None, good[3], None, "b"), (None, None, None, None), (2, None, "en", "a"), (3, "", "de", "b"),
+            (None, good[4] + " " + bench, None, "b"), (4, good[5], "fr", "a"), (4, good[5], "fr", "a"), (5, " ".join(good) * 40, None, None), (6, "x token=abcdefgh1 " + good[3], "en", "c")]
+    df = spark.createDataFrame([(*r, len(r[1] or ""), "x", 1) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, lang_pred string, score int")
+    scratch = Scratch(spark)
+    docs, sizes = df, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = scratch.table(stage(spark, docs, SF), f"edge_{name}")
+        assert docs.columns == df.columns
+        sizes.append(docs.count())
+    left = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    # The row 4 that repeats goes, and of the two with the fourth text the one without an id; then the one with a benchmark item.
+    assert sizes == [9, 7, 6, 6] and all(t for _, t in left)
+    assert not any(bench in t for _, t in left) and len(set(left)) == len(left) and not any("token=abc" in t for _, t in left)
+    assert docs.where("n_chars <> length(text) or lang is null or lang_pred <> 'x' or score <> 1").count() == 0
+    mixed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert len(mixed) == 6 and all(0 <= r["taken"] <= 3 * r["size"] for r in mixed)
+
+
+def test_pipeline_of_an_empty_table_and_of_an_empty_model(spark):
+    empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0
+    unlabelled = spark.createDataFrame([(1, "abc def", None, "a", 7), (2, "12 34", None, "a", 5), (3, None, None, "a", 0)], empty.schema)
+    assert [r["doc_id"] for r in corpus_pipeline.identify_language(spark, unlabelled, SF).collect()] == [1]
+    with pytest.raises(RuntimeError, match="empty"):
+        corpus_pipeline.identify_language(spark, unlabelled.withColumn("lang", F.lit("en")).where("doc_id = 2"), SF)
+
+
 def test_pipeline_runs_and_reruns(spark):
     a, b = (sorted(map(repr, corpus_pipeline.run(spark, SF).collect())) for _ in range(2))
     assert a == b and len(a) > 100
