@@ -438,6 +438,24 @@ def q35(spark, d):
     return R.table(spark, d, "conversations").select("conv_id", "turn", text.sanitize(error).alias("error"))
 
 
+def _sql_sanitized(value: str) -> str:
+    """The sanitizers one around the other, with groups as SQL writes them."""
+    for pattern, instead in text.SANITIZERS:
+        value = f"regexp_replace({value}, '{pattern.replace(chr(39), chr(39) * 2)}', '{instead.replace('$', chr(92))}', 'g')"
+    return value
+
+
+_ERRORS = ("\nGET https://api.example.com/v1?key=", " failed\nAuthorization: Bearer ", "\nSet-Cookie: sid=", "\nbasic ", "\nAPI_KEY: '", "' token=", ";")
+_SQL_ERRORS = ", md5(text), ".join(f"'{e.replace(chr(39), chr(39) * 2)}'" for e in _ERRORS)
+
+
+@_register("q35_sanitized_texts", f"SELECT conv_id, turn, {_sql_sanitized(f'concat(text, {_SQL_ERRORS}, text)')} AS error FROM conversations")
+def q35_texts(spark, d):
+    """Whole texts with what no log may hold in their midst."""
+    parts = [x for e in _ERRORS for x in (F.lit(e), F.md5("text"))][:-1]
+    return R.table(spark, d, "conversations").select("conv_id", "turn", text.sanitize(F.concat("text", *parts, "text")).alias("error"))
+
+
 @_register("q36_links", """SELECT page_id, unnest(regexp_extract_all(concat('see ', url, ' and (', url, ')'), 'https?://[^\\s"''<>)\\]]+')) AS link FROM pages""")
 def q36(spark, d):
     pages = R.table(spark, d, "pages").withColumn("body", F.concat(F.lit("see "), "url", F.lit(" and ("), "url", F.lit(")")))
