@@ -12,7 +12,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.sources.workspace import Scratch as Scratch
-from tidemark.sources.workspace import shared_dir as shared_dir
 
 PACKAGE = Path(__file__).resolve().parents[1]
 #: Rows and bytes that go to a Python worker at once, where the session does not say: texts are long, and workers small.
