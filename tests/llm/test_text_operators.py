@@ -200,7 +200,8 @@ def test_cutoffs_rise_where_words_look_random():
     even = {t: round(10_000 * (1 - t)) for t in level}
     mixed = {t: even[t] + (3_000 if t < 0.01 else 0) for t in level}
     one = {t: int(t <= 0.3) for t in level}
-    assert secrets.cutoffs({"a": even, "b": mixed, "c": one}) == {"a": 0.001, "b": 0.01, "c": 0.001}
+    words = {0.001: 703, 0.003: 400, 0.01: 150, 0.03: 60, 0.1: 12, 0.3: 2, 0.5: 0}
+    assert secrets.cutoffs({"a": even, "b": mixed, "c": one, "d": words}) == {"a": 0.001, "b": 0.01, "c": 0.001, "d": 0.5}
 
 
 def test_secrets_by_their_class_in_the_table(spark):

@@ -145,11 +145,12 @@ def cutoffs(histogram: dict[str, dict[float, int]], level: float = FALSE_DISCOVE
 
     Random tokens spread evenly over p values, and others fall towards 0, the more so the longer they are. Twice those from SURELY on are
     therefore about all random ones of a class, and what stands above a level beyond their share of it are false discoveries. The
-    lowest level at which those are ``level`` of all at most (but for two standard errors) is the class's cut-off.
+    lowest level at which those are ``level`` of all at most is the class's cut-off. At the first level two standard errors of the candidates are
+    allowed; a class that fails there holds others than random tokens, and from then on only those of the tokens from SURELY on are.
     """
     out = {}
     for name, above in histogram.items():
-        false = lambda t: above[t] - 2 * (1 - t) * above[SURELY] - 2 * math.sqrt(above[t])  # noqa: E731, B023
+        false = lambda t: above[t] - 2 * (1 - t) * above[SURELY] - 2 * math.sqrt(above[t if t == LEVELS[0] else SURELY])  # noqa: E731, B023
         out[name] = next((t for t in LEVELS if false(t) <= level * above[t]), SURELY)
     return out
 
