@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, html_text, jaccard_join, language_id, licenses, mixing, secrets, token_counts, topk, toxicity
+from tidemark.llm import chat_format, decontaminate, fill_in_middle, html_text, importance, jaccard_join, language_id, licenses, mixing, secrets, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": html_text.op1_html_extraction,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": jaccard_join.op8_ngram_jaccard_join,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_mixing": mixing.op10_mixing,
+    "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op12_importance_resampling": importance.op12_importance_resampling,
+    "op13_chat_formatting": chat_format.op13_chat_formatting,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +29,7 @@ ORACLES: dict[str, str] = {
     "op6_benchmark_decontamination": decontaminate.OP6_SQL,
     "op8_ngram_jaccard_join": jaccard_join.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_fill_in_middle": fill_in_middle.OP11_SQL,
+    "op12_importance_resampling": importance.OP12_SQL,
+    "op13_chat_formatting": chat_format.OP13_SQL,
 }
