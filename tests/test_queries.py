@@ -5,7 +5,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from tidemark.plans import registry
+from tidemark.plans import operations, registry  # noqa: F401  operations registers queries too
 
 SF = Path("/root/testdata/sf0.01")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")

@@ -14,7 +14,7 @@ from tidemark.operators.merge import lost_ids, preserve_unselected, same_values,
 PASS, FAIL = "PASS", "FAIL"
 
 
-def _contract(name: str, counted: DataFrame, n_bad: Column | str = "n_bad", also: Column | None = None) -> DataFrame:
+def contract_row(name: str, counted: DataFrame, n_bad: Column | str = "n_bad", also: Column | None = None) -> DataFrame:
     """The row of a one-row table that has the offending number."""
     bad = F.coalesce(F.col(n_bad) if isinstance(n_bad, str) else n_bad, F.lit(0)).cast("long")
     good = bad == 0 if also is None else (bad == 0) & also
@@ -40,21 +40,21 @@ def row_and_id_counts(df: DataFrame, id: str = "id") -> DataFrame:
 
 def accounting(run_counts: DataFrame) -> DataFrame:
     """Selected ids are those that succeeded and those that failed."""
-    return _contract("ACCOUNTING", run_counts, F.abs(F.col("selected_count") - F.col("success_count") - F.col("failed_count")))
+    return contract_row("ACCOUNTING", run_counts, F.abs(F.col("selected_count") - F.col("success_count") - F.col("failed_count")))
 
 
 def acquired_something(run_counts: DataFrame) -> DataFrame:
     """Failures alone do not fail a run; a run with selected ids and no success does."""
-    return _contract("ACQUISITION", run_counts, F.when((F.col("selected_count") > 0) & (F.col("success_count") == 0), F.col("selected_count")).otherwise(0))
+    return contract_row("ACQUISITION", run_counts, F.when((F.col("selected_count") > 0) & (F.col("success_count") == 0), F.col("selected_count")).otherwise(0))
 
 
 def no_duplicates(df: DataFrame, id: str = "id") -> DataFrame:
-    return _contract("DUPLICATES", row_and_id_counts(df, id), "duplicate_ids")
+    return contract_row("DUPLICATES", row_and_id_counts(df, id), "duplicate_ids")
 
 
 def counts_agree(df: DataFrame, id: str = "id") -> DataFrame:
     """As many rows as distinct ids, and no row without an id."""
-    return _contract("COUNTS", row_and_id_counts(df, id), F.col("final_rows") - F.col("final_unique_ids"), F.col("null_ids") == 0)
+    return contract_row("COUNTS", row_and_id_counts(df, id), F.col("final_rows") - F.col("final_unique_ids"), F.col("null_ids") == 0)
 
 
 def _lines(counted: DataFrame, lines: Sequence[tuple[str, Column, Column | None]]) -> DataFrame:
@@ -70,7 +70,7 @@ def id_contracts(df: DataFrame, id: str = "id") -> DataFrame:
 
 
 def _metadata(df: DataFrame, name: str, n_bad: int) -> DataFrame:
-    return _contract(name, df.sparkSession.range(1), F.lit(n_bad))
+    return contract_row(name, df.sparkSession.range(1), F.lit(n_bad))
 
 
 def schema_contract(df: DataFrame, expected: StructType) -> DataFrame:
@@ -85,19 +85,19 @@ def type_contract(df: DataFrame, expected: StructType, unread: DataFrame | None
     wrong = sum(kinds.get(f.name) != f.dataType for f in expected.fields)
     if unread is None or not unread.columns:
         return _metadata(df, "TYPE", wrong)
-    return _contract("TYPE", unread, reduce(lambda a, b: a + b, [F.col(c) for c in unread.columns]) + wrong)
+    return contract_row("TYPE", unread, reduce(lambda a, b: a + b, [F.col(c) for c in unread.columns]) + wrong)
 
 
 def non_shrink(master: DataFrame, candidate: DataFrame, id: str = "id") -> DataFrame:
     """No published id is lost, and there are as many rows as before or more."""
     rows = lambda df, c: df.agg(F.count(F.lit(1)).alias(c))
     counted = rows(lost_ids(master, candidate, id), "n_bad").crossJoin(rows(master, "_before")).crossJoin(rows(candidate, "_after"))
-    return _contract("MASTER_NON_SHRINK", counted, "n_bad", F.col("_after") >= F.col("_before"))
+    return contract_row("MASTER_NON_SHRINK", counted, "n_bad", F.col("_after") >= F.col("_before"))
 
 
 def _kept(name: str, expected: DataFrame, candidate: DataFrame, columns: Sequence[str], id: str) -> DataFrame:
     diff = snapshot_diff(expected, candidate.join(expected.select(id), id, "left_semi"), columns, id)
-    return _contract(name, diff.agg(F.count_if(F.col("change") != "same").alias("n_bad")))
+    return contract_row(name, diff.agg(F.count_if(F.col("change") != "same").alias("n_bad")))
 
 
 def unselected_preserved(master: DataFrame, selected: DataFrame, candidate: DataFrame, columns: Sequence[str], id: str = "id") -> DataFrame:
@@ -113,14 +113,14 @@ def last_good_carried(carried: DataFrame, candidate: DataFrame, columns: Sequenc
 def semantic(df: DataFrame, predicates: Mapping[str, Column]) -> DataFrame:
     """Every predicate holds on every row, in one pass; one that is null does not hold."""
     failed = [F.count_if(~F.coalesce(p, F.lit(False))) for p in predicates.values()]
-    return _contract("SEMANTIC_VALIDATION", df.agg(reduce(lambda a, b: a + b, failed, F.lit(0)).alias("n_bad")))
+    return contract_row("SEMANTIC_VALIDATION", df.agg(reduce(lambda a, b: a + b, failed, F.lit(0)).alias("n_bad")))
 
 
 def missing_not_zero(before: DataFrame, after: DataFrame, columns: Sequence[str], id: str = "id") -> DataFrame:
     """No value that was missing has become 0."""
     was = before.select(id, *[F.col(c).alias(f"_was_{c}") for c in columns])
     bad = [F.count_if(F.col(f"_was_{c}").isNull() & F.coalesce(F.col(c) == 0, F.lit(False))) for c in columns]
-    return _contract("MISSING_NOT_ZERO", after.join(was, id).agg(reduce(lambda a, b: a + b, bad).alias("n_bad")))
+    return contract_row("MISSING_NOT_ZERO", after.join(was, id).agg(reduce(lambda a, b: a + b, bad).alias("n_bad")))
 
 
 def kept_contracts(master: DataFrame, run: DataFrame, candidate: DataFrame, columns: Sequence[str], measured: Sequence[str], id: str = "id", success: str = "n_success") -> DataFrame:
@@ -154,20 +154,20 @@ def uniform_stamp(df: DataFrame, column: str = "synced_at") -> DataFrame:
     """One sync time, on every row."""
     least, most = F.min(column), F.max(column)
     bad = F.count_if(F.col(column).isNull()) + F.when(least != most, 1).otherwise(0)
-    return _contract("UNIFORM_STAMP", df.agg(bad.alias("n_bad")))
+    return contract_row("UNIFORM_STAMP", df.agg(bad.alias("n_bad")))
 
 
 def same_id_set(a: DataFrame, b: DataFrame, id: str = "id") -> DataFrame:
     """Both tables have the same set of ids."""
     both = a.select(id).subtract(b.select(id)).union(b.select(id).subtract(a.select(id)))
-    return _contract("ID_SET", both.agg(F.count(F.lit(1)).alias("n_bad")))
+    return contract_row("ID_SET", both.agg(F.count(F.lit(1)).alias("n_bad")))
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     """Both tables have the same rows, as often: one aggregation, in which a row's occurrences in b take off those in a."""
     both = a.withColumn("_side", F.lit(1)).union(b.select(*a.columns).withColumn("_side", F.lit(-1)))
     left = both.groupBy(*a.columns).agg(F.sum("_side").alias("_left")).where("_left <> 0")
-    return _contract("READBACK", left.agg(F.sum(F.abs("_left")).alias("n_bad")))
+    return contract_row("READBACK", left.agg(F.sum(F.abs("_left")).alias("n_bad")))
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -67,7 +67,7 @@ def skipped(corpus: DataFrame, rules: Rules = Rules()) -> DataFrame:
     c, n = F.col("content"), F.col("length")
     small = size_gate(n, rules.max_bytes)
     return corpus.agg(
-        F.count_if(c.isNull()).alias("unreadable"),
+        F.count_if(c.isNull() & F.coalesce(small, F.lit(True))).alias("unreadable"),
         F.count_if(~small).alias("too_large"),
         F.count_if(small & ~binary_gate(c)).alias("binary"),
         F.count_if(small & binary_gate(c) & ~utf8_gate(c)).alias("not_utf8"),

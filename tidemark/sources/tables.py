@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.sources.files import read_files
+
 
 def read_attempts(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Acquisition attempts as they landed, read-only and with the schema that is expected of them."""
@@ -15,7 +17,11 @@ def read_attempts(spark: SparkSession, path: str, schema: StructType | str) -> D
 def scan_corpus(df: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
     """``(path, content, length)`` of a manifest table; rows without a path are dropped.
 
-    Feed it a table, not a directory: Spark's file sources never list names that begin with a dot or an underscore, and
-    ``.env`` is what the scanner looks for first.
+    Of a directory, scan_files gives the same: Spark's own file sources never list names that begin with a dot or an underscore.
     """
     return df.where(F.col(path).isNotNull() & (F.col(path) != "")).select(F.col(path).alias("path"), F.col(content).cast("binary").alias("content")).withColumn("length", F.octet_length("content").cast("long"))
+
+
+def scan_files(spark: SparkSession, root: str, max_bytes: int = 2_000_000) -> DataFrame:
+    """``(path, content, length)`` of the files below a folder. Contents over ``max_bytes``, which no scan looks into, are not read."""
+    return read_files(spark, root, max_bytes)
