@@ -1,0 +1,150 @@
+"""Literals of patterns, samples of offending ids, quarantined rows and stored sketches."""
+
+import random
+import re
+from datetime import datetime
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
+
+from tidemark.functions import anchors, text
+from tidemark.operators import acquire, audit, contracts
+from tidemark.plans import operations, registry  # noqa: F401
+from tidemark.plans import refresh as R
+from tidemark.sources import publish, tables
+
+SF = "/root/testdata/sf0.001"
+PATTERNS = [*text.SECRETS, "a|b", "(?:foo|barbaz)+x?y", "[ab]c*", "(?i)key=", "(?i)ſ=", "x{2,}z", "", r"\d+", "a(b)?c", "[^a]bc", "gh[ab]_", "(ab|cd)(ef|gh)", "(a|b|)c", "a*b*", "(?:ab){0,2}c", "^ab$", r"\bab\b", "a.c", r"(a)\1b"]
+ALPHABET = "abcdefghkxyz_=:'\"-AIKPRB ſé1"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sampled_from(PATTERNS), st.data())
+def test_every_match_holds_the_literals(pattern, data):
+    pieces = st.one_of(st.text(ALPHABET, max_size=6), st.sampled_from(["-----BEGIN RSA PRIVATE KEY-----", "ghp_" + "a" * 30, "github_pat_" + "b" * 20, "AIza" + "c" * 30, "paſſword='12345678'", "API-KEY : \"abcdefgh\"", "foo", "barbaz"]))
+    t = "".join(data.draw(st.lists(pieces, max_size=6)))
+    if re.search(pattern.replace("(?iuU)", "(?i)"), t):
+        assert all(any(x in t for x in clause) for clause in anchors.required_literals(pattern))
+
+
+def test_literals_of_the_secrets():
+    assert [anchors.required_literals(p) for p in text.SECRETS] == [
+        (("PRIVATE KEY-----",), ("-----BEGIN ",)), (("gh",), ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")), (("github_pat_",),), (("AIza",),), (("'", '"'), ("=", ":")),
+    ]
+
+
+@pytest.mark.parametrize("pattern", ["[a-z&&[^b]]x", "[a[bc]]d", r"\vab", "(?i:ab)c", "(?=ab)c", "(?x) a b", r"\Qa.b\E", "(", r"\0101b"])
+def test_patterns_that_the_engines_read_otherwise_are_simply_tried(pattern):
+    assert anchors.required_literals(pattern) == ()
+
+
+def test_any_pattern_gives_what_the_patterns_give(spark):
+    texts = [None, "", "password='12345678'", "paſſword: \"abcdefgh\"", "API_KEY = 'a\nbcdefghi'", "ghp_" + "a1" * 15, "xghp_" + "a1" * 15, "x-----BEGIN PRIVATE KEY-----", "-----BEGIN DSA PRIVATE KEY-----", "AIza", "it's = so"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for patterns, n in ((text.SECRETS, 5), (["it.s", "[a-z&&[^b]]{4}"], 4)):
+        plain = F.coalesce(F.greatest(*[F.col("t").rlike(p) for p in patterns]), F.lit(False))
+        assert df.select((text.any_pattern(F.col("t"), patterns) == plain).alias("same")).distinct().collect() == [(True,)]
+        assert df.where(plain).count() == n
+
+
+def test_samples_name_ids_and_stay_small(spark):
+    bad = spark.range(10_000).select((F.when(F.col("id") % 3 > 0, "A").otherwise("B")).alias("contract"), "id")
+    got = {r["contract"]: (r["n_ids"], r["sample"]) for r in contracts.samples(bad, 4).collect()}
+    import hashlib
+
+    order = lambda rest: sorted((i for i in range(10_000) if (i % 3 > 0) == rest), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[:4]
+    assert got == {"A": (6666, order(True)), "B": (3334, order(False))}
+    plan = contracts.samples(bad)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2  # before the shuffle and after it
+    assert contracts.samples(bad.limit(0)).count() == 0
+
+
+def test_offenders_of_good_and_empty_tables(spark):
+    run = R.Run.written(spark, SF)
+    assert run.offenders().count() == 0
+    assert {r["contract"] for r in run.offenders(run.candidate.limit(0)).collect()} == {"MASTER_NON_SHRINK", "UNSELECTED_PRESERVATION", "LAST_GOOD"}
+    nulls = run.candidate.withColumn("id", F.lit(None).cast("bigint"))
+    assert "DUPLICATES" not in {r["contract"] for r in run.offenders(nulls).collect()}
+
+
+def test_offenders_agree_with_the_contracts_that_count(spark):
+    run = R.Run.written(spark, SF)
+    for name, (df, contract) in registry._broken(run.candidate).items():
+        counted = run.validated(df).where(F.col("contract") == contract).first()["n_bad"]
+        found = run.offenders(df).where(F.col("contract") == contract).count()
+        assert (found > 0) == (counted > 0) and (contract == "UNIFORM_STAMP" or found <= counted), name
+
+
+SCHEMA = StructType([
+    StructField("id", LongType()), StructField("n", IntegerType()), StructField("day", DateType()), StructField("at", TimestampNTZType()), StructField("flag", BooleanType()), StructField("name", StringType(), False),
+])
+
+
+def test_rows_that_do_not_coerce_are_rejected_without_values(spark, tmp_path):
+    rows = [
+        ("1", "5", "01.02.2024", "2024-02-01 10:00:00", "true", "a"), ("2", "3000000000", "31.02.2024", "2024-13-01 10:00:00", "maybe", "b"), ("3", "x", "2024-02-01", "noon", None, None), ("four", None, None, None, None, "d"),
+        ("5", "", "", "", "", ""), ("1", "5", "01.02.2024", "2024-02-01 10:00:00", "true", "a"), (None, "1e9", "01.02.2024", None, "false", "x" * 100_000),
+    ]
+    df = spark.createDataFrame(rows, "id string, n string, day string, at string, flag string, name string").withColumn("problems", F.lit("clash")).withColumn("extra", F.lit(1))
+    formats = {"day": "dd.MM.yyyy", "at": "yyyy-MM-dd HH:mm:ss"}
+    good, bad = tables.write_split(acquire.coerce_or_reject(df, SCHEMA, ("id",), formats), f"{tmp_path}/t")
+    assert sorted((r["id"] is None, r["id"], r["n"], str(r["day"]), r["flag"], len(r["name"])) for r in good.collect())[:2] == [(False, 1, 5, "2024-02-01", True, 1)] * 2
+    found = sorted((str(r["id"]), r["column"], r["reason"]) for r in acquire.quarantined(bad, ("id",)).collect())
+    # Text that Spark reads as a number it reads so here too: 1e9 is no integer's spelling, but one of a number.
+    assert found == sorted([
+        ("2", "n", "out of range"), ("2", "day", "no such date"), ("2", "at", "no such date"), ("2", "flag", "not a boolean"), ("3", "n", "not a number"), ("3", "day", "not in the format"), ("3", "at", "not in the format"),
+        ("3", "name", "missing"), ("None", "id", "not a number"), ("5", "n", "not a number"), ("5", "day", "not in the format"), ("5", "at", "not in the format"), ("5", "flag", "not a boolean"), ("None", "n", "out of range"),
+    ])
+    assert good.count() + bad.count() == len(rows) and all(r[c] is None for r in bad.collect() for c in ("n", "day", "at", "flag", "name"))
+    assert sum(r["n"] for r in acquire.rejections(bad).collect()) == len(found)
+    one, other = tables.write_split(acquire.coerce_or_reject(df.limit(0), SCHEMA, ("id",), formats), f"{tmp_path}/none")
+    assert one.count() == other.count() == 0 and one.columns == SCHEMA.names
+    with pytest.raises(AnalysisException):
+        tables.write_split(acquire.coerce_or_reject(df, SCHEMA, ("id",), formats), f"{tmp_path}/t")
+
+
+def test_a_missing_column_is_a_problem_only_where_it_must_be_there(spark):
+    df = spark.createDataFrame([("1",)], "id string")
+    (row,) = acquire.coerce_or_reject(df, SCHEMA, ("id",)).collect()
+    assert [tuple(p) for p in row["problems"]] == [("name", "missing")] and row["id"] == 1
+
+
+def test_each_side_of_a_split_is_read_alone(spark, tmp_path):
+    df = spark.createDataFrame([("1",), ("x",)], "id string")
+    good, bad = tables.write_split(acquire.coerce_or_reject(df, StructType([StructField("id", LongType())]), ("id",)), f"{tmp_path}/t")
+    for side in (good, bad):
+        assert "PartitionFilters: [" in (plan := side._jdf.queryExecution().executedPlan().toString()) and "PartitionFilters: []" not in plan
+
+
+def test_sketches_merge_within_their_bound(spark):
+    rng = random.Random(3)
+    values = [rng.lognormvariate(0, 2) for _ in range(60_000)]
+    rows = [(datetime(2024, 1, 1 + i % 28, 5), v, "FAIL" if i % 10 == 0 else "PASS") for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "started_at timestamp_ntz, wall_seconds double, final_status string")
+    days = audit.day_sketches(df)
+    (row,) = audit.sketched_trend(days, F.date_trunc("month", "day"), [0.01, 0.25, 0.5, 0.9, 0.99]).collect()
+    assert (row["n_runs"], row["n_failed_runs"]) == (60_000, 6_000)
+    values.sort()
+    for r, name in ((0.01, "q1"), (0.25, "q25"), (0.5, "q50"), (0.9, "q90"), (0.99, "q99")):
+        at = sum(v <= row[name] for v in values) / len(values)
+        assert abs(at - r) <= 0.02, (r, at)
+    assert max(len(r["sketch"]) for r in days.collect()) < 8_000
+    nulls = spark.createDataFrame([(datetime(2024, 1, 1), None, "FAIL")], df.schema)
+    (row,) = audit.sketched_trend(audit.day_sketches(nulls)).collect()
+    assert (row["n_runs"], row["n_failed_runs"], row["q50"]) == (1, 1, None)
+    assert audit.sketched_trend(audit.day_sketches(df.limit(0))).count() == 0
+
+
+def test_persisted_summaries_are_what_the_trend_reads(spark, tmp_path):
+    one = lambda **k: spark.range(1).select(*[F.lit(v).alias(n) for n, v in k.items()])
+    names = ("schema_contract", "type_contract", "backup_contract", "readback", "semantic_validation", "master_non_shrink", "unselected_preservation", "final_status")
+    for i, seconds in enumerate((30, 60, 90)):
+        start = datetime(2024, 2, 1, 4 + i)
+        s = audit.run_summary(f"r{i}", start, start.replace(minute=seconds // 60, second=seconds % 60), one(selected_count=1, success_count=1, failed_count=0, http_request_count=1), one(final_rows=1, final_unique_ids=1, duplicate_ids=0), one(**dict.fromkeys(names, "PASS")))
+        publish.write_run_summary(s, f"{tmp_path}/s")
+    days = audit.day_sketches(spark.read.schema(audit.SUMMARY_SCHEMA).parquet(f"{tmp_path}/s"))
+    assert tuple(audit.sketched_trend(days).first())[1:] == (3, 0, 60.0, 90.0, 90.0)

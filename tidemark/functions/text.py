@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.anchors import matches
+
 # Patterns of secrets. The last one ignores case and takes Unicode's white space and case folding.
 PRIVATE_KEY = r"-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----"
 GH_TOKEN = r"\bgh[pousr]_[A-Za-z0-9_]{30,}\b"
@@ -48,10 +50,13 @@ def has_assigned_secret(text: Column) -> Column:
 
 
 def any_pattern(text: Column, patterns: Sequence[str] = SECRETS) -> Column:
-    """Whether any pattern is found; the first one found ends the search. Null text holds nothing."""
+    """Whether any pattern is found; the first one found ends the search. Null text holds nothing.
+
+    A pattern is tried only on texts that hold the literals which all its matches hold.
+    """
     out = F.lit(False)
     for p in reversed(patterns):
-        out = F.when(text.rlike(p), F.lit(True)).otherwise(out)
+        out = F.when(matches(text, p), F.lit(True)).otherwise(out)
     return F.coalesce(out, F.lit(False))
 
 

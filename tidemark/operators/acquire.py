@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BooleanType, DateType, NumericType, StructField, StructType, TimestampNTZType, TimestampType
 
 
 def select_ids(attempts: DataFrame, id: str = "id", where: Column | None = None) -> DataFrame:
@@ -68,3 +68,50 @@ def unread(df: DataFrame, schema: StructType, formats: Mapping[str, str] | None
     """One row: per column, how many non-null values coerce_types cannot read."""
     fields = [f for f in schema.fields if f.name in df.columns]
     return df.agg(*[F.count_if(F.col(f.name).isNotNull() & _read(f, formats or {}).isNull()).alias(f.name) for f in fields])
+
+
+# Why a value has no place in its column; never the value itself.
+MISSING, NOT_A_NUMBER, OUT_OF_RANGE, NOT_IN_FORMAT, NO_SUCH_DATE, NOT_A_BOOLEAN, UNREADABLE = "missing", "not a number", "out of range", "not in the format", "no such date", "not a boolean", "unreadable"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def _reason(field: StructField, formats: Mapping[str, str]) -> Column:
+    """Why a value does not read as its type."""
+    text = F.col(field.name).cast("string")
+    if isinstance(field.dataType, NumericType):
+        return F.when(text.rlike(_NUMBER), OUT_OF_RANGE).otherwise(NOT_A_NUMBER)
+    if isinstance(field.dataType, (DateType, TimestampType, TimestampNTZType)):
+        form = formats.get(field.name, "yyyy-MM-dd" if isinstance(field.dataType, DateType) else "yyyy-MM-dd HH:mm:ss")
+        # A format's letters stand for digits, anything else for itself.
+        shape = "".join(r"\d" if c.isalpha() else r"\x{%x}" % ord(c) for c in form)
+        return F.when(text.rlike(f"^{shape}$"), NO_SUCH_DATE).otherwise(NOT_IN_FORMAT)
+    return F.lit(NOT_A_BOOLEAN if isinstance(field.dataType, BooleanType) else UNREADABLE)
+
+
+def coerce_or_reject(df: DataFrame, schema: StructType, keys: tuple[str, ...], formats: Mapping[str, str] | None = None) -> DataFrame:
+    """coerce_types with ``problems (column, reason)`` beside: empty for a row that has its types, and all that is wrong with one that has not.
+
+    A value that does not read as its type is a problem, and so is a null in a field that may hold none. A rejected row keeps its ``keys``, as far as they
+    read, and no other value. One pass over the rows, none of which is dropped.
+    """
+    formats = formats or {}
+    there = [f for f in schema.fields if f.name in df.columns]
+    wrong = lambda f: F.col(f.name).isNotNull() & _read(f, formats).isNull()
+    problem = lambda f, reason: F.struct(F.lit(f.name).alias("column"), reason.alias("reason"))
+    found = [F.when(wrong(f), problem(f, _reason(f, formats))) for f in there]
+    found += [F.when(F.col(f.name).isNull() if f in there else F.lit(True), problem(f, F.lit(MISSING))) for f in schema.fields if not f.nullable]
+    problems = F.array_compact(F.array(*found)) if found else F.array().cast("array<struct<column:string,reason:string>>")
+    read = lambda f: _read(f, formats) if f in there else F.lit(None).cast(f.dataType)
+    rows = df.withColumn("_problems", problems)
+    good = F.size("_problems") == 0
+    return rows.select(*[(read(f) if f.name in keys else F.when(good, read(f))).alias(f.name) for f in schema.fields], F.col("_problems").alias("problems"))
+
+
+def quarantined(rejected: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """A row a problem: the keys, column and reason."""
+    return rejected.select(*keys, F.explode("problems").alias("_p")).select(*keys, F.col("_p.column").alias("column"), F.col("_p.reason").alias("reason"))
+
+
+def rejections(rejected: DataFrame) -> DataFrame:
+    """How many values of each column were rejected for each reason."""
+    return quarantined(rejected, ()).groupBy("column", "reason").agg(F.count(F.lit(1)).alias("n"))

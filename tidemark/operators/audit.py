@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 #: The summary's fields, in order.
@@ -14,6 +14,8 @@ SUMMARY_SCHEMA = (
     "http_request_count bigint, final_rows bigint, final_unique_ids bigint, duplicate_ids bigint, schema_contract string, type_contract string, "
     "backup_contract string, readback string, semantic_validation string, master_non_shrink string, unselected_preservation string, final_status string"
 )
+#: Size of a stored sketch: its error in rank falls with it.
+SKETCH_K = 200
 #: What a log may hold: operational metadata, no payload.
 LOG_COLUMNS = ("run_id", "stage", "n_rows", "n_bad", "elapsed_seconds", "status", "error")
 
@@ -45,6 +47,26 @@ def run_trend(summaries: DataFrame) -> DataFrame:
     )
 
 
+def day_sketches(summaries: DataFrame, measure: str = "wall_seconds", k: int = SKETCH_K) -> DataFrame:
+    """By day: runs, failed ones, and a KLL sketch of a measure. Sketches of parts of a day, or of days, merge: what is stored grows with days, not with runs."""
+    return summaries.groupBy(F.to_date("started_at").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_runs"), F.count_if(F.col("final_status") != "PASS").alias("n_failed_runs"), F.kll_sketch_agg_double(F.col(measure), k).alias("sketch"),
+    )
+
+
+def sketched_trend(sketches: DataFrame, period: Column | None = None, ranks: Sequence[float] = (0.5, 0.9, 1.0), k: int = SKETCH_K) -> DataFrame:
+    """By period (a day, if none is given): runs, failed ones, and the quantiles of the stored measure, from merged sketches.
+
+    Up to k values in a period quantiles are exact, beyond that off by at most about 1.33 % in rank at k = 200. A period whose values are all null has none.
+    """
+    merged = sketches.groupBy((F.col("day") if period is None else period).alias("period")).agg(
+        F.sum("n_runs").alias("n_runs"), F.sum("n_failed_runs").alias("n_failed_runs"), F.kll_merge_agg_double("sketch", k).alias("_sketch"),
+    )
+    some = F.kll_sketch_get_n_double("_sketch") > 0
+    quantile = lambda r: F.when(some, F.kll_sketch_get_quantile_double("_sketch", F.lit(float(r)))).alias(f"q{round(100 * r)}")
+    return merged.select("period", "n_runs", "n_failed_runs", *map(quantile, ranks))
+
+
 def stage_row(df: DataFrame, stage: str) -> DataFrame:
     """One row: the stage and how many rows it gives."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(stage).alias("stage"), "n_rows")

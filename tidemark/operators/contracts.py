@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -123,33 +124,81 @@ def missing_not_zero(before: DataFrame, after: DataFrame, columns: Sequence[str]
     return contract_row("MISSING_NOT_ZERO", after.join(was, id).agg(reduce(lambda a, b: a + b, bad).alias("n_bad")))
 
 
-def kept_contracts(master: DataFrame, run: DataFrame, candidate: DataFrame, columns: Sequence[str], measured: Sequence[str], id: str = "id", success: str = "n_success") -> DataFrame:
-    """Four contracts at the cost of one: MASTER_NON_SHRINK, UNSELECTED_PRESERVATION, LAST_GOOD and MISSING_NOT_ZERO.
-
-    The three tables are one union with a mark of its side, and meet in one aggregation on id, where the single contracts would join them
-    pair by pair. Numbers are of ids: where a candidate repeats an id, its least and its greatest row must both be as they should.
-    """
-    side = lambda df, mark, ok: df.select(id, F.lit(mark).alias("_side"), F.struct(*columns).alias("_v"), ok.alias("_ok"))
+def _met(master: DataFrame, run: DataFrame, candidate: DataFrame, columns: Sequence[str], id: str, success: str, flags: Mapping[str, Column] | None = None) -> DataFrame:
+    """A row an id from one aggregation over the three tables: how often it is in each, its values, and how many of its candidate rows have each flag."""
     none = F.lit(None).cast("long")
+    flags = flags or {}
+
+    def side(df: DataFrame, mark: str, ok: Column) -> DataFrame:
+        own = [F.coalesce(c, F.lit(True)).alias(f"_f_{name}") if mark == "c" else F.lit(False).alias(f"_f_{name}") for name, c in flags.items()]
+        return df.select(id, F.lit(mark).alias("_side"), F.struct(*columns).alias("_v"), ok.alias("_ok"), *own)
+
     rows = side(master, "m", none).unionByName(side(run, "r", F.col(success).cast("long"))).unionByName(side(candidate, "c", none))
     on = lambda mark, c="_v": F.when(F.col("_side") == mark, F.col(c))
     count = lambda mark: F.count_if(F.col("_side") == mark).alias(f"_n{mark}")
-    met = rows.groupBy(id).agg(
-        count("m"), count("r"), count("c"), F.max(on("m")).alias("_m"), F.max(on("r")).alias("_r"), F.max(on("r", "_ok")).alias("_ok"), F.min(on("c")).alias("_lo"), F.max(on("c")).alias("_hi")
+    return rows.groupBy(id).agg(
+        count("m"), count("r"), count("c"), F.max(on("m")).alias("_m"), F.max(on("r")).alias("_r"), F.max(on("r", "_ok")).alias("_ok"), F.min(on("c")).alias("_lo"), F.max(on("c")).alias("_hi"),
+        *[F.count_if(f"_f_{name}").alias(f"_f_{name}") for name in flags],
     )
+
+
+def _departures(columns: Sequence[str], measured: Sequence[str]) -> tuple[Column, Column, Column, list[Column]]:
+    """Of a row of _met: whether its id was lost, changed though unselected, not carried though failed, and, by measure, became 0 where it is missing."""
     had, ran, there = (F.col(c) > 0 for c in ("_nm", "_nr", "_nc"))
     same = there & same_values(columns, "_m", "_lo") & same_values(columns, "_m", "_hi")
     failed = ran & (F.col("_ok") == 0)
     zero = lambda c: F.coalesce(F.col(f"_lo.{c}") == 0, F.lit(False)) | F.coalesce(F.col(f"_hi.{c}") == 0, F.lit(False))
-    zeroed = [F.count_if(ran & ~failed & F.col(f"_r.{c}").isNull() & zero(c)) for c in measured]
+    return had & ~there, had & ~ran & ~same, had & failed & ~same, [ran & ~failed & F.col(f"_r.{c}").isNull() & zero(c) for c in measured]
+
+
+def kept_contracts(master: DataFrame, run: DataFrame, candidate: DataFrame, columns: Sequence[str], measured: Sequence[str], id: str = "id", success: str = "n_success") -> DataFrame:
+    """Four contracts at the cost of one: MASTER_NON_SHRINK, UNSELECTED_PRESERVATION, LAST_GOOD and MISSING_NOT_ZERO.
+
+    The three tables are one union with a mark of its side, and meet in one aggregation on id, where the single contracts would join them
+    pair by pair. Numbers are of ids: where a candidate repeats an id, its least and its greatest row must both be as they should.
+    """
+    met = _met(master, run, candidate, columns, id, success)
+    lost, changed, not_carried, zeroed = _departures(columns, measured)
     counted = met.agg(
-        F.count_if(had & ~there).alias("lost"), F.count_if(had & ~ran & ~same).alias("changed"), F.count_if(had & failed & ~same).alias("not_carried"),
-        reduce(lambda a, b: a + b, zeroed, F.lit(0)).alias("zeroed"), F.sum("_nm").alias("before"), F.sum("_nc").alias("after"),
+        F.count_if(lost).alias("lost"), F.count_if(changed).alias("changed"), F.count_if(not_carried).alias("not_carried"),
+        reduce(lambda a, b: a + b, map(F.count_if, zeroed), F.lit(0)).alias("zeroed"), F.sum("_nm").alias("before"), F.sum("_nc").alias("after"),
     )
     grown = F.coalesce(F.col("after") >= F.col("before"), F.lit(True))
     return _lines(counted, [("MASTER_NON_SHRINK", F.col("lost"), grown), ("UNSELECTED_PRESERVATION", F.col("changed"), None), ("LAST_GOOD", F.col("not_carried"), None), ("MISSING_NOT_ZERO", F.col("zeroed"), None)])
 
 
+def offenders(
+    master: DataFrame, run: DataFrame, candidate: DataFrame, columns: Sequence[str], measured: Sequence[str], predicates: Mapping[str, Column], stamp: str | None = None, id: str = "id", success: str = "n_success"
+) -> DataFrame:
+    """``(contract, id)``: which ids make a contract over a candidate fail, each once a contract, from one aggregation on id.
+
+    A late stamp is one that is not the table's earliest. Rows without an id have nothing to be traced by, and are left to COUNTS.
+    """
+    rules = reduce(lambda a, b: a | b, [~F.coalesce(p, F.lit(False)) for p in predicates.values()], F.lit(False))
+    if stamp:
+        least = candidate.agg(F.min(stamp).alias("_least"))
+        candidate = candidate.crossJoin(F.broadcast(least))
+    late = (F.col(stamp).isNull() | (F.col(stamp) != F.col("_least"))) if stamp else F.lit(False)
+    met = _met(master, run, candidate, columns, id, success, {"rules": rules, "late": late}).where(F.col(id).isNotNull())
+    lost, changed, not_carried, zeroed = _departures(columns, measured)
+    named = {
+        "MASTER_NON_SHRINK": lost, "UNSELECTED_PRESERVATION": changed, "LAST_GOOD": not_carried, "MISSING_NOT_ZERO": reduce(lambda a, b: a | b, zeroed, F.lit(False)),
+        "DUPLICATES": F.col("_nc") > 1, "SEMANTIC_VALIDATION": F.col("_f_rules") > 0, "UNIFORM_STAMP": F.col("_f_late") > 0,
+    }
+    return met.select(id, F.explode(F.array_compact(F.array(*[F.when(c, name) for name, c in named.items()]))).alias("contract")).select("contract", id)
+
+
+def samples(offending: DataFrame, k: int = 5, id: str = "id") -> DataFrame:
+    """``(contract, n_ids, sample)``: how many ids offend, and the k of them with the smallest MD5, so that reruns and other engines name the same.
+
+    Each task keeps the k first of every contract before anything is shuffled, however many offend. Give a written table: it is read twice.
+    """
+    first = W.partitionBy("contract").orderBy(F.md5(F.col(id).cast("string")), id)
+    few = offending.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= k)
+    sample = few.groupBy("contract").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", id))), lambda x: x[id]).alias("sample"))
+    return offending.groupBy("contract").agg(F.count(F.lit(1)).alias("n_ids")).join(sample, "contract")
+
+
 def uniform_stamp(df: DataFrame, column: str = "synced_at") -> DataFrame:
     """One sync time, on every row."""
     least, most = F.min(column), F.max(column)

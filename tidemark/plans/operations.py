@@ -7,9 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import contracts, digests, merge, scan
+from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
+
+from tidemark.operators import acquire, audit, contracts, digests, merge, scan
 from tidemark.plans import refresh as R
-from tidemark.plans.registry import _FULL, _PATHS, _cases, _register, _sql_cases
+from tidemark.plans.registry import _FULL, _PATHS, _SUMMARIES, _broken, _cases, _register, _sql_cases, _summaries
 from tidemark.sources import buckets, commits, files, publish, tables
 from tidemark.sources.stage_log import StageLog
 from tidemark.sources.workspace import Scratch
@@ -198,3 +200,84 @@ def q43_sweep(spark, d):
     n = F.coalesce(*[F.when(F.col("version") == v, F.lit(k)) for v, k in left.items()], F.lit(0)).cast("long")
     gone = [r["version"] for r in swept.where("not kept").collect() if commits.exists(spark, f"{root}/versions/{r['version']}")]
     return swept.select("version", (F.col("kept") | F.col("version").isin(gone)).alias("kept"), n.alias("n_rows"))
+
+
+_SAMPLE = "(SELECT array_to_string(list(id ORDER BY md5(CAST(id AS VARCHAR)), id)[1:5], ',') FROM {0})"
+_OFFENDING = {
+    "shrunken": ("MASTER_NON_SHRINK", "(SELECT id FROM mas WHERE id % 10 = 3)"), "duplicated": ("DUPLICATES", "(SELECT id FROM cand WHERE id % 10 = 3)"),
+    "zero_filled": ("MISSING_NOT_ZERO", "(SELECT id FROM per WHERE n_success > 0 AND purchase_value IS NULL)"), "tampered": ("UNSELECTED_PRESERVATION", "(SELECT id FROM cand WHERE status = 'UNSELECTED')"),
+    "late_stamp": ("UNIFORM_STAMP", "(SELECT id FROM cand WHERE id % 10 = 3)"), "no_success": ("SEMANTIC_VALIDATION", "(SELECT id FROM cand WHERE id % 10 = 3)"), "carried_changed": ("LAST_GOOD", "(SELECT id FROM cand WHERE status = 'CARRIED')"),
+}
+
+
+@_register("q20_failing_samples", _FULL + "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{name}' AS candidate, '{contract}' AS contract, (SELECT count(*) FROM {ids}) AS n_ids, {_SAMPLE.format(ids)} AS sample" for name, (contract, ids) in _OFFENDING.items()) + ") WHERE n_ids > 0")
+def q20_samples(spark, d):
+    """Which ids make each broken candidate fail: how many, and the five with the smallest hash."""
+    run, scratch, rows = R.Run.written(spark, d), Scratch(spark), []
+    third = F.col("id") % 10 == 3
+    broken = {name: df for name, (df, _) in _broken(run.candidate).items()}
+    broken["no_success"] = run.candidate.withColumn("n_ok", F.when(third, F.lit(0)).otherwise(F.col("n_ok")))
+    broken["carried_changed"] = run.candidate.withColumn("last_value", F.when(F.col("status") == merge.CARRIED, F.lit(-1.0)).otherwise(F.col("last_value")))
+    for name, df in broken.items():
+        found = contracts.samples(scratch.table(run.offenders(df), name)).where(F.col("contract") == _OFFENDING[name][0])
+        rows.append(found.select(F.lit(name).alias("candidate"), "contract", "n_ids", F.array_join(F.col("sample").cast("array<string>"), ",").alias("sample")))
+    return contracts.all_contracts(*rows)
+
+
+_TYPED = StructType([
+    StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()), StructField("o_orderstatus", StringType(), False), StructField("o_totalprice", DoubleType()), StructField("o_orderdate", DateType()),
+])
+_KEYS, _FORMATS = ("o_orderkey",), {"o_orderdate": "dd.MM.yyyy"}
+
+
+def _orders_as_text(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as text, with what no column can hold planted in one of twenty."""
+    kind, day = F.col("o_orderkey") % 100, F.date_format("o_orderdate", "dd.MM.yyyy")
+    return R.table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.when(kind == 3, "99999999999999999999").otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        F.when(~kind.isin(4, 5), F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(kind.isin(2, 5), "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(kind == 0, "31.02.2001").when(kind == 1, "soon").otherwise(day).alias("o_orderdate"),
+    )
+
+
+def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return tables.write_split(acquire.coerce_or_reject(_orders_as_text(spark, d), _TYPED, _KEYS, _FORMATS), f"{Scratch(spark).root}/orders")
+
+
+_PLANTED = """q AS (SELECT o_orderkey, unnest(CASE o_orderkey % 100 WHEN 0 THEN [{'c': 'o_orderdate', 'r': 'no such date'}] WHEN 1 THEN [{'c': 'o_orderdate', 'r': 'not in the format'}] WHEN 2 THEN [{'c': 'o_totalprice', 'r': 'not a number'}]
+  WHEN 3 THEN [{'c': 'o_custkey', 'r': 'out of range'}] WHEN 4 THEN [{'c': 'o_orderstatus', 'r': 'missing'}] WHEN 5 THEN [{'c': 'o_totalprice', 'r': 'not a number'}, {'c': 'o_orderstatus', 'r': 'missing'}] ELSE [] END) AS p FROM orders)"""
+
+
+@_register("q24_quarantine", f"WITH {_PLANTED} SELECT o_orderkey, p.c AS \"column\", p.r AS reason FROM q")
+def q24_quarantine(spark, d):
+    """What is wrong with rows that do not have their types, without any value of theirs."""
+    return acquire.quarantined(_split(spark, d)[1], _KEYS)
+
+
+@_register("q24_accepted", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE o_orderkey % 100 NOT BETWEEN 0 AND 5")
+def q24_accepted(spark, d):
+    return _split(spark, d)[0]
+
+
+@_register("q24_split_counts", f"WITH {_PLANTED} SELECT (SELECT count(*) FROM orders) AS n_input, (SELECT count(*) FROM orders WHERE o_orderkey % 100 NOT BETWEEN 0 AND 5) AS n_accepted, (SELECT count(DISTINCT o_orderkey) FROM q) AS n_rejected, (SELECT count(*) FROM q) AS n_problems, (SELECT CAST(sum(o_orderkey) AS BIGINT) FROM orders) AS keys")
+def q24_counts(spark, d):
+    """Accepted and rejected rows are the input, to the row and to the sum of its keys."""
+    good, bad = _split(spark, d)
+    both = good.select("o_orderkey", F.lit(0).alias("n")).unionByName(bad.select("o_orderkey", F.size("problems").alias("n")))
+    n_input = R.table(spark, d, "orders").agg(F.count(F.lit(1)).alias("n_input"))
+    counts = both.agg(F.count_if(F.col("n") == 0).alias("n_accepted"), F.count_if(F.col("n") > 0).alias("n_rejected"), F.sum("n").alias("n_problems"), F.sum("o_orderkey").alias("keys"))
+    return n_input.crossJoin(F.broadcast(counts))
+
+
+@_register("q51_sketched_trend", f"WITH {_SUMMARIES} SELECT CAST(date_trunc('week', started_at) AS DATE) AS period, count(*) AS n_runs, count(*) FILTER (final_status <> 'PASS') AS n_failed_runs, quantile_disc(wall_seconds, 0.5) AS q50, quantile_disc(wall_seconds, 0.9) AS q90, max(wall_seconds) AS q100 FROM sums GROUP BY 1")
+def q51_sketched(spark, d):
+    """Summaries as they were persisted, run by run; their days are sketched and stored, and weeks come from merged sketches."""
+    scratch = Scratch(spark)
+    wanted = [F.col(part.split()[0]) if part.split()[0] in _summaries(spark, d).columns else F.lit(None).cast(part.split()[1]).alias(part.split()[0]) for part in audit.SUMMARY_SCHEMA.split(", ")]
+    for part in range(2):  # two days' worth of writers
+        publish.write_run_summary(_summaries(spark, d).where(F.dayofmonth("started_at") % 2 == part).select(*wanted), f"{scratch.root}/summaries")
+    persisted = spark.read.schema(audit.SUMMARY_SCHEMA).parquet(f"{scratch.root}/summaries")
+    stored = scratch.table(audit.day_sketches(persisted), "days")
+    return audit.sketched_trend(stored, F.date_trunc("week", "day").cast("date"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType, TimestampNTZType
 
@@ -99,12 +99,22 @@ class Run:
         candidate = scratch.table(observed(stamped(merge.merge_snapshot(prior, run, METRICS)), "materialize"), "candidate")
         return cls(run, prior, candidate, {stage: s.get["n_rows"] for stage, s in seen.items()})
 
+    @staticmethod
+    def rules() -> dict[str, Column]:
+        """What holds of every row of a candidate."""
+        fresh, new = F.col("status").isin(merge.REFRESHED, merge.NEW), F.col("last_ok_at") >= F.lit(CUT).cast("timestamp_ntz")
+        return {"has_a_success": F.col("n_ok") > 0, "fresh_is_of_this_run": ~fresh | new, "kept_is_older": fresh | ~new}
+
+    def offenders(self, candidate: DataFrame | None = None) -> DataFrame:
+        """The ids that make the contracts of validated() fail."""
+        cand = self.candidate if candidate is None else candidate
+        return contracts.offenders(self.prior, self.run, cand, METRICS, ["purchase_value", "last_value"], self.rules(), "synced_at")
+
     def validated(self, candidate: DataFrame | None = None) -> DataFrame:
         """A row a contract over the candidate, or over another one."""
         cand = self.candidate if candidate is None else candidate
         counts = acquire.run_counts(self.run)
-        fresh, new = F.col("status").isin(merge.REFRESHED, merge.NEW), F.col("last_ok_at") >= F.lit(CUT).cast("timestamp_ntz")
-        rules = {"has_a_success": F.col("n_ok") > 0, "fresh_is_of_this_run": ~fresh | new, "kept_is_older": fresh | ~new}
+        rules = self.rules()
         return contracts.all_contracts(
             contracts.accounting(counts),
             contracts.acquired_something(counts),
