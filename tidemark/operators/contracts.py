@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -49,6 +49,13 @@ def acquired_something(run_counts: DataFrame) -> DataFrame:
     return contract_row("ACQUISITION", run_counts, F.when((F.col("selected_count") > 0) & (F.col("success_count") == 0), F.col("selected_count")).otherwise(0))
 
 
+def run_contracts(run_counts: DataFrame) -> DataFrame:
+    """ACCOUNTING and ACQUISITION from one row of counts."""
+    lost = F.abs(F.col("selected_count") - F.col("success_count") - F.col("failed_count"))
+    nothing = F.when((F.col("selected_count") > 0) & (F.col("success_count") == 0), F.col("selected_count")).otherwise(0)
+    return _lines(run_counts, [("ACCOUNTING", lost, None), ("ACQUISITION", nothing, None)])
+
+
 def no_duplicates(df: DataFrame, id: str = "id") -> DataFrame:
     return contract_row("DUPLICATES", row_and_id_counts(df, id), "duplicate_ids")
 
@@ -89,6 +96,13 @@ def type_contract(df: DataFrame, expected: StructType, unread: DataFrame | None
     return contract_row("TYPE", unread, reduce(lambda a, b: a + b, [F.col(c) for c in unread.columns]) + wrong)
 
 
+def metadata_contracts(df: DataFrame, expected: StructType) -> DataFrame:
+    """SCHEMA and TYPE from metadata: no rows are read."""
+    names, wanted, kinds = df.columns, expected.names, {f.name: f.dataType for f in df.schema.fields}
+    order = sum(a != b for a, b in zip(names, wanted, strict=False)) + abs(len(names) - len(wanted))
+    return _lines(df.sparkSession.range(1), [("SCHEMA", F.lit(order), None), ("TYPE", F.lit(sum(kinds.get(f.name) != f.dataType for f in expected.fields)), None)])
+
+
 def non_shrink(master: DataFrame, candidate: DataFrame, id: str = "id") -> DataFrame:
     """No published id is lost, and there are as many rows as before or more."""
     rows = lambda df, c: df.agg(F.count(F.lit(1)).alias(c))
@@ -167,6 +181,14 @@ def kept_contracts(master: DataFrame, run: DataFrame, candidate: DataFrame, colu
     return _lines(counted, [("MASTER_NON_SHRINK", F.col("lost"), grown), ("UNSELECTED_PRESERVATION", F.col("changed"), None), ("LAST_GOOD", F.col("not_carried"), None), ("MISSING_NOT_ZERO", F.col("zeroed"), None)])
 
 
+def row_contracts(df: DataFrame, predicates: Mapping[str, Column], stamp: str) -> DataFrame:
+    """SEMANTIC_VALIDATION and UNIFORM_STAMP from one pass over the rows."""
+    failed = [F.count_if(~F.coalesce(p, F.lit(False))) for p in predicates.values()]
+    late = F.count_if(F.col(stamp).isNull()) + F.when(F.min(stamp) != F.max(stamp), 1).otherwise(0)
+    counted = df.agg(reduce(lambda a, b: a + b, failed, F.lit(0)).alias("rules"), late.alias("late"))
+    return _lines(counted, [("SEMANTIC_VALIDATION", F.col("rules"), None), ("UNIFORM_STAMP", F.col("late"), None)])
+
+
 def offenders(
     master: DataFrame, run: DataFrame, candidate: DataFrame, columns: Sequence[str], measured: Sequence[str], predicates: Mapping[str, Column], stamp: str | None = None, id: str = "id", success: str = "n_success"
 ) -> DataFrame:
@@ -219,14 +241,28 @@ def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     return contract_row("READBACK", left.agg(F.sum(F.abs("_left")).alias("n_bad")))
 
 
+def _fingerprint(df: DataFrame, columns: Sequence[str] | None) -> tuple[Column, Column]:
+    """The hash skips nulls, so a flag goes beside each value: (null, 1) and (1, null) differ."""
+    parts = [x for c in columns or sorted(df.columns) for x in (F.col(c).isNull(), F.col(c))]
+    return F.count(F.lit(1)).alias("n_rows"), F.sum(F.xxhash64(*parts).cast("decimal(38,0)")).alias("checksum")
+
+
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row: the number of rows, and a checksum of their content that no repartitioning changes.
+    """One row: the number of rows, and a checksum of their content that no repartitioning changes."""
+    return df.agg(*_fingerprint(df, columns))
 
-    The hash skips nulls, so a flag goes beside each value: (null, 1) and (1, null) differ.
-    """
-    columns = columns or sorted(df.columns)
-    parts = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.xxhash64(*parts).cast("decimal(38,0)")).alias("checksum"))
+
+def fingerprinted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` with its fingerprint taken as it is written; what reads back can be held against that without the rows being made or shuffled again."""
+    seen = Observation(name)
+    return df.observe(seen, *_fingerprint(df, None)), seen
+
+
+def reads_as_written(name: str, written: Observation, read: DataFrame) -> DataFrame:
+    """A contract that a table reads with the fingerprint that it was written with; 1 is the number of tables that do not. One pass, no shuffle of rows."""
+    was = written.get
+    same = [F.col(c).eqNullSafe(F.lit(was.get(c)).cast(kind)) for c, kind in (("n_rows", "bigint"), ("checksum", "decimal(38,0)"))]
+    return _lines(fingerprint(read), [(name, F.when(same[0] & same[1], 0).otherwise(1), None)])
 
 
 def all_contracts(*rows: DataFrame) -> DataFrame:

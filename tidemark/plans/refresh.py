@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType, TimestampNTZType
 
 from tidemark.functions.missing import sum_or_missing
 from tidemark.operators import acquire, audit, contracts, merge
+from tidemark.sources import publish
 from tidemark.sources.tables import read_attempts
 from tidemark.sources.workspace import Scratch
 
@@ -85,19 +86,36 @@ class Run:
     candidate: DataFrame
     #: Rows by stage, counted as the tables were written.
     stages: dict[str, int]
+    #: The first and the last attempt.
+    first: datetime | None = None
+    last: datetime | None = None
+    #: By table, the fingerprint that was taken as it was written.
+    written_as: dict[str, Observation] = field(default_factory=dict)
 
     @classmethod
-    def written(cls, spark: SparkSession, sf_dir: str) -> Run:
-        scratch, seen = Scratch(spark), {}
+    def written(cls, spark: SparkSession, sf_dir: str, root: str | None = None) -> Run:
+        """Writes the run, the master and the candidate, each once. With ``root``, the last two are written where they are published: as versions
+        run-0 and run-1, which no reader sees before the log names them."""
+        scratch, seen, prints = Scratch(spark), {}, {}
 
         def observed(df: DataFrame, stage: str) -> DataFrame:
             df, seen[stage] = audit.observed(df, stage)
             return df
 
-        run = scratch.table(observed(measured(observed(attempts(spark, sf_dir), "acquire")), "measure"), "run")
-        prior = scratch.table(observed(master(spark, sf_dir), "master"), "prior")
-        candidate = scratch.table(observed(stamped(merge.merge_snapshot(prior, run, METRICS)), "materialize"), "candidate")
-        return cls(run, prior, candidate, {stage: s.get["n_rows"] for stage, s in seen.items()})
+        def version(df: DataFrame, name: str, run_id: str) -> DataFrame:
+            if root is None:
+                return scratch.table(df, name)
+            df, prints[name] = contracts.fingerprinted(df, f"{name} as written")
+            publish.publish(df, root, run_id)
+            return publish.readback(spark, root, run_id, df.schema)
+
+        span = Observation("span")
+        tries = attempts(spark, sf_dir).observe(span, F.min("ts").alias("first"), F.max("ts").alias("last"))
+        run = scratch.table(observed(measured(observed(tries, "acquire")), "measure"), "run")
+        prior = version(observed(master(spark, sf_dir), "master"), "prior", "run-0")
+        candidate = version(observed(stamped(merge.merge_snapshot(prior, run, METRICS)), "materialize"), "candidate", "run-1")
+        found = span.get
+        return cls(run, prior, candidate, {stage: s.get["n_rows"] for stage, s in seen.items()}, found.get("first"), found.get("last"), prints)
 
     @staticmethod
     def rules() -> dict[str, Column]:
@@ -113,15 +131,10 @@ class Run:
     def validated(self, candidate: DataFrame | None = None) -> DataFrame:
         """A row a contract over the candidate, or over another one."""
         cand = self.candidate if candidate is None else candidate
-        counts = acquire.run_counts(self.run)
-        rules = self.rules()
         return contracts.all_contracts(
-            contracts.accounting(counts),
-            contracts.acquired_something(counts),
+            contracts.run_contracts(acquire.run_counts(self.run)),
             contracts.id_contracts(cand),
-            contracts.schema_contract(cand, CANDIDATE),
-            contracts.type_contract(cand, CANDIDATE),
+            contracts.metadata_contracts(cand, CANDIDATE),
             contracts.kept_contracts(self.prior, self.run, cand, METRICS, ["purchase_value", "last_value"]),
-            contracts.semantic(cand, rules),
-            contracts.uniform_stamp(cand),
+            contracts.row_contracts(cand, self.rules(), "synced_at"),
         )

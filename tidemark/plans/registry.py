@@ -209,23 +209,19 @@ _SUMMARY = _FULL + """SELECT 'run-1' AS run_id, min(ts) AS started_at, max(ts) A
 @_register("q21_run_summary", _SUMMARY)
 def q21(spark, d):
     """The run's summary after publication: started and finished are the first and the last attempt."""
-    scratch, run = Scratch(spark), R.Run.written(spark, d)
-    cand, prior = run.candidate, run.prior
-    publish.publish(prior, scratch.root, "run-0")
-    before = contracts.fingerprint(publish.readback(spark, scratch.root, "run-0"))
-    found = scratch.table(run.validated(), "contracts")
-    publish.publish(cand, scratch.root, "run-1")
-    read = contracts.same_rows(cand, publish.readback(spark, scratch.root, "run-1"))
-    kept = contracts.same_rows(before, contracts.fingerprint(publish.readback(spark, scratch.root, "run-0"))).withColumn("contract", F.lit("BACKUP"))
-    every = scratch.table(contracts.all_contracts(found, read, kept), "statuses")
+    scratch = Scratch(spark)
+    run = R.Run.written(spark, d, scratch.root)
+    cand = run.candidate
+    kept = contracts.reads_as_written("BACKUP", run.written_as["prior"], publish.readback(spark, scratch.root, "run-0", run.prior.schema))
+    read = contracts.reads_as_written("READBACK", run.written_as["candidate"], publish.readback(spark, scratch.root, "run-1", cand.schema))
+    every = scratch.table(contracts.all_contracts(run.validated(), read, kept), "statuses")
     status = lambda *names: F.when(F.count_if(F.col("contract").isin(*names) & (F.col("status") != "PASS")) > 0, "FAIL").otherwise("PASS")
     statuses = every.agg(
         status("SCHEMA").alias("schema_contract"), status("TYPE").alias("type_contract"), status("BACKUP").alias("backup_contract"), status("READBACK").alias("readback"),
         status("SEMANTIC_VALIDATION", "LAST_GOOD", "MISSING_NOT_ZERO", "UNIFORM_STAMP").alias("semantic_validation"), status("MASTER_NON_SHRINK").alias("master_non_shrink"),
         status("UNSELECTED_PRESERVATION").alias("unselected_preservation"), F.when(F.count_if(F.col("status") != "PASS") > 0, "FAIL").otherwise("PASS").alias("final_status"),
     )
-    first, last = R.attempts(spark, d).agg(F.min("ts"), F.max("ts")).first()
-    return audit.run_summary("run-1", first, last, acquire.run_counts(run.run), contracts.row_and_id_counts(cand), statuses)
+    return audit.run_summary("run-1", run.first, run.last, acquire.run_counts(run.run), contracts.row_and_id_counts(cand), statuses)
 
 
 @_register("q21_summary_readback", _SUMMARY)

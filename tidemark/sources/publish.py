@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators import digests
 from tidemark.operators.contracts import FAIL, PASS, contract_row, fingerprint, require, same_rows
@@ -56,9 +57,9 @@ def publish(df: DataFrame, root: str, version: str, buckets: int | None = None,
     B.write_manifest(df.sparkSession, _at(root, version), df.schema, buckets, id)
 
 
-def readback(spark: SparkSession, root: str, version: str) -> DataFrame:
-    """What was written, read afresh."""
-    return read_version(spark, root, version)
+def readback(spark: SparkSession, root: str, version: str, schema: StructType | None = None) -> DataFrame:
+    """What was written, read afresh; a schema that is expected spares a look into the files."""
+    return read_version(spark, root, version) if schema is None else spark.read.schema(schema).parquet(_at(root, version))
 
 
 def readback_contract(expected: DataFrame, root: str, version: str, afresh: bool = True) -> DataFrame:
