@@ -5,6 +5,7 @@ import html
 import random
 import re
 import string
+import time
 
 import numpy as np
 import pytest
@@ -55,6 +56,49 @@ def test_wrappers_of_the_article_stay(wrapper, inner):
     assert html_text.main_text(page(ARTICLE + related)) == TEXT
 
 
+#: Markup that is broken off or that HTML does not have.
+BROKEN = {
+    "<p>ok</p><![ x": "ok <![ x", "<![>": "", "<![foo[ x ]]>": "", "if (x <![0] )": "if (x <![0] )", "<p>a<![CDATA[b<c]]>d</p>": "ad", "<p>a<![CDATA[b>d</p>": "ad", "<p>a<![endif]-->b</p>": "ab",
+    "<p>a<!-- b <p>c": "a<!-- b c", "<p>a</p": "a</p", "<?php x": "<?php x", "<!doctype": "<!doctype", "<p>1 <2 and 3> 2</p>": "1 <2 and 3> 2", "<": "<", "</": "</", "<!": "<!", "<!--": "<!--", "<script>x<p>y": "",
+    "<p>a&#" + "9" * 6000 + ";b&#00000000065;c&#x0000000041;": "a\ufffdbAcA", "<p>x <!-- c --> y</p>": "x y", "<a href=\"x>y<p>z</p>": "<a href=\"x>y z", "&#x110000;&#0;": "\ufffd\ufffd",
+}
+
+
+def test_broken_markup_ends_no_job(spark):
+    pages = [*BROKEN, "<p>good</p>"]
+    df = spark.createDataFrame([(i, None, h) for i, h in enumerate(pages)], "page_id bigint, url string, html string")
+    got = {pages[r["page_id"]]: r["text"] for r in html_text.extract(df).collect()}
+    assert got == {**BROKEN, "<p>good</p>": "good"}
+
+
+@pytest.mark.parametrize(
+    "piece", ["<a ", "<!--", "<!-- >", "</a ", "<?", "<![", "<![CDATA[", "<!x", "<a x=\"", "<a x='\">", "<script>", "</scrip", "&#1", "<", "<a/", "<a =", "<a x=\">\" ", "<b>", "-- ", "<!DOCTYPE "]
+)
+@pytest.mark.parametrize("end", ["", ">", "x=\">\" "])
+def test_a_megabyte_of_markup_without_ends_takes_seconds(piece, end):
+    began = time.process_time()
+    html_text.main_text(piece * (1_000_000 // len(piece)) + end)
+    assert time.process_time() - began < 20
+
+
+@pytest.mark.parametrize(
+    "block",
+    ["div class=share-price", "section class=related-work", "div id=search-strategy", "table class=form-factors", "figure class=banner-photo", "div class=copyright-law-section", "section class=public-notice", "div class=skip-level-meetings"],
+)
+def test_blocks_of_an_article_stay_whatever_they_are_about(block):
+    tag = block.split()[0]
+    words = "<tr><td>Words of it.</td></tr>" if tag == "table" else "Words of it."
+    assert html_text.main_text(page(f"<article><p>First.</p><{block}>{words}</{tag}><p>Last one.</p></article>")) == "First. Words of it. Last one."
+    links = "".join(f"<a href={i}>Elsewhere {i}</a> " for i in range(6))
+    if tag != "table":
+        assert html_text.main_text(page(f"<article><p>First.</p><{block}>{links}</{tag}><p>Last one.</p></article>")) == "First. Last one."
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-slot-3", "share-buttons", "social share", "related-posts", "newsletter-signup", "cookie-notice", "comment-list", "promo-box", "sidebar-left", "search-form", "copyright", "skip-link", "advert-price", "promo-price"])
+def test_named_blocks_that_are_no_article_go(name):
+    assert html_text.main_text(page(f'<article><p>First.</p><div class="{name}">Words of it.</div><p>Last one.</p></article>')) == "First. Last one."
+
+
 def brute_marks(values):
     """Smoothing and clustering by the letter: a weighted mean of up to five lines, then the best split of all into two."""
     out = []

@@ -32,6 +32,14 @@ MARKS = frozenset(
     "alert popup modal overlay paywall newsletter subscribe subscription signup login search share sharing social related recommended recommendations teaser teasers "
     "comment comments commentlist respond replies reply disqus form copyright disclaimer skip".split()
 )
+#: Those of them that are also words of what articles are about, and words that only say how a page is laid out. Inside an article, a container whose name has one of
+#: the first, and beside it any word that is in none of these lists, is taken for the article's unless it is mostly links.
+COMMON = frozenset("share sharing social related recommended search form banner notice notices notification alert copyright disclaimer skip rail aside overlay promotion respond reply replies header head top".split())
+LAYOUT = frozenset(
+    "box block boxes blocks container wrapper wrap inner outer list lists item items post posts page pages site link links button buttons btn bar area areas section sections content left right top bottom center main col cols column columns "
+    "row rows grid title heading head body text module modules component panel card cards region slot unit zone holder icon icons logo image images img desktop mobile sticky fixed field fields input label group global primary secondary "
+    "article articles story stories news more tools tool dialog bottom small large wide full hidden visible new js id".split()
+)
 #: These mark it when they are the whole name, or name a part of the page and not of the article.
 HEADERS = frozenset("header head top siteheader pageheader".split())
 #: Words in a class or id that speak for an article: beside one of MARKS, the ratios decide.
@@ -62,11 +70,16 @@ LINKED = 0.5
 #: Characters a tag from which a line is content wherever the clusters part.
 SURE = 80.0
 #: What its tag, role or name says of an element.
-PLAIN, HARD, NAMED_SO, MIXED, COMMENT = range(5)
+PLAIN, HARD, NAMED_SO, MIXED, COMMENT, TOPIC = range(6)
+#: Reading tags that never close may cost so many times the page's length; after that a tag has to close within so many characters.
+PATIENCE, SHORT_TAG = 8, 512
+#: Numbers of character references with more digits than any character has.
+LONG_REFERENCE = re.compile(r"&#(?:([0-9]{8,})|[xX]([0-9a-fA-F]{8,}));?")
 
 
 def _kind(tag: str, attrs: dict[str, str]) -> int:
-    """HARD: goes whatever it holds. NAMED_SO: goes, as a form or by its name, unless it holds the article. MIXED: its name says both. COMMENT: named as readers' comments."""
+    """HARD: goes whatever it holds. NAMED_SO: goes, as a form or by its name, unless it holds the article. MIXED: its name says both. COMMENT: named as readers' comments.
+    TOPIC: its name has a mark that is a common word, beside words of its own: inside an article it goes only if it is mostly links."""
     role = attrs.get("role", "").lower()
     if tag in DROPPED - FORMS or role in ROLES - FORMS or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
         return HARD
@@ -75,6 +88,7 @@ def _kind(tag: str, attrs: dict[str, str]) -> int:
     if tag not in NAMED and tag not in FORMS and role not in FORMS:
         return PLAIN
     marked, story, comment = tag in FORMS or role in FORMS, False, False
+    topic = not marked
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
         words = [w.lower() for w in NAME.findall(name)]
         if not words or words[0] in ("has", "with", "no", "is", "js"):
@@ -85,8 +99,11 @@ def _kind(tag: str, attrs: dict[str, str]) -> int:
             # An article that is a reader's comment or a teaser goes; one with such a word beside others stays.
             marked |= words[0] in ("comment", "reply", "teaser", "promo", "ad", "related")
         else:
-            marked |= not MARKS.isdisjoint([*words, "".join(words)]) or "".join(words) in HEADERS or (words[-1] == "header" and words[0] in ("site", "page", "main", "global", "top"))
-    return (COMMENT if comment else MIXED if story and tag != "article" else NAMED_SO) if marked else PLAIN
+            this = not MARKS.isdisjoint([*words, "".join(words)]) or "".join(words) in HEADERS or (words[-1] == "header" and words[0] in ("site", "page", "main", "global", "top"))
+            marked |= this
+            # Every name that marks the element has to have words of its own.
+            topic &= not this or (MARKS.isdisjoint({*words, "".join(words)} - COMMON) and any(w not in MARKS | LAYOUT and not w.isdigit() for w in words))
+    return (COMMENT if comment else MIXED if story and tag != "article" else TOPIC if topic and tag != "article" else NAMED_SO) if marked else PLAIN
 
 
 class _Page(HTMLParser):
@@ -104,6 +121,69 @@ class _Page(HTMLParser):
         self.drops = self.links = self.tags = self.linked = 0
         self.text: list[str] = []
         self.lines: list[tuple[str, int, int, int]] = []
+        self.spent = 0
+
+    def read(self, source: str) -> None:
+        """Parses a whole page at once, so that what has no end is known to have none.
+
+        A markup without its end is text from its first sign on. Searches for an end that cannot be found are not made, and those for the ends of tags are
+        limited in sum, so the time is in proportion to the page, whatever is left open in it.
+        """
+        self.rawdata = LONG_REFERENCE.sub(_short_reference, source)
+        # After these places nothing of the kind ends.
+        self.last = {sign: self.rawdata.rfind(sign) for sign in (">", "-->", "]]>")}
+        self.comments_end = True
+        try:
+            self.close()
+        except (AssertionError, ValueError):
+            # An input that the standard library's parser gives up on: what was read up to there stays.
+            pass
+        self.flush()
+
+    def as_text(self, at: int) -> int:
+        self.handle_data(self.rawdata[at : at + 1])
+        return at + 1
+
+    def parse_starttag(self, i: int) -> int:
+        whole = self.rawdata
+        if i > self.last[">"]:
+            return self.as_text(i)
+        if self.spent <= PATIENCE * len(whole):
+            k = super().parse_starttag(i)
+            if k < 0:
+                self.spent += len(whole) - i
+        else:
+            self.rawdata = whole[i : i + SHORT_TAG]
+            try:
+                k = super().parse_starttag(0)
+            finally:
+                self.rawdata = whole
+            k += i if k >= 0 else 0
+        return k if k >= 0 else self.as_text(i)
+
+    def parse_endtag(self, i: int) -> int:
+        return super().parse_endtag(i) if i < self.last[">"] else self.as_text(i)
+
+    def parse_pi(self, i: int) -> int:
+        return super().parse_pi(i) if i < self.last[">"] else self.as_text(i)
+
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        k = super().parse_comment(i, report) if self.comments_end else -1
+        # Of a comment that does not end no later one does.
+        self.comments_end = k >= 0
+        return k if k >= 0 else self.as_text(i)
+
+    def parse_html_declaration(self, i: int) -> int:
+        if i > self.last[">"]:
+            return self.as_text(i)
+        if self.rawdata.startswith("<![", i):
+            return self.parse_marked_section(i)
+        return super().parse_html_declaration(i)
+
+    def parse_marked_section(self, i: int, report: bool = True) -> int:
+        """Up to its end if it is character data, else up to the next end of a tag: HTML has no others, and takes them for comments."""
+        data = self.rawdata[i + 3 : i + 9].upper() == "CDATA[" and i < self.last["]]>"]
+        return self.rawdata.find("]]>", i) + 3 if data else self.rawdata.find(">", i) + 1
 
     def flush(self) -> None:
         if self.text and (line := " ".join("".join(self.text).split())):
@@ -159,6 +239,12 @@ class _Page(HTMLParser):
                 self.linked += len(data.strip())
 
 
+def _short_reference(m: re.Match) -> str:
+    """The reference without zeros before it; what is no character is the replacement character."""
+    digits = (m[1] or m[2]).lstrip("0") or "0"
+    return f"&#{'x' if m[2] else ''}{digits};" if len(digits) < 8 else "\ufffd"
+
+
 def smoothed(ratios: np.ndarray, radius: int = 2) -> np.ndarray:
     """Gaussian smoothing over neighbouring lines; the kernel is renormalised at both ends."""
     kernel = np.exp(-0.5 * np.arange(-radius, radius + 1) ** 2 / max(1.0, radius / 2) ** 2)
@@ -189,11 +275,12 @@ def content_lines(ratios: np.ndarray) -> np.ndarray:
 def _gone(page: _Page) -> list[bool]:
     """Which elements go, by their names or as a form, with all they hold.
 
-    Such an element stays if it holds more text of an article or main part than stands in others outside such elements; if it holds most
+    One of them that is inside an article and whose name has words of its own (TOPIC) stays unless it is mostly links.
+    Any other stays if it holds more text of an article or main part than stands in others outside such elements; if it holds most
     of the text that the ratios mark, readers' comments apart; and, where its name says both, if most of its own text is marked. Inner
     elements are decided first, and what goes in them does not count.
     """
-    n, doubtful = len(page.tag), [k in (NAMED_SO, MIXED, COMMENT) for k in page.kind]
+    n, doubtful = len(page.tag), [k in (NAMED_SO, MIXED, COMMENT, TOPIC) for k in page.kind]
     gone = [False] * n
     if not any(doubtful) or not page.lines:
         return gone
@@ -207,24 +294,27 @@ def _gone(page: _Page) -> list[bool]:
     marks = np.zeros(len(page.lines), bool)
     if told:
         marks[told] = content_lines(ratios([page.lines[i] for i in told]))
-    plain, marked, article = [0] * n, [0] * n, [0] * n
+    plain, marked, article, links = [0] * n, [0] * n, [0] * n, [0] * n
     total = free = 0
     for (text, _, linked, at), m in zip(page.lines, marks.tolist(), strict=True):
         size = len(text) - linked
         plain[at] += size
+        links[at] += linked
         marked[at] += size * m
         total += size * m
         free += size * (inside[at] and not doubted[at])
     for i in range(n - 1, 0, -1):
         if doubtful[i]:
             holds = article[i] > free or (page.kind[i] != COMMENT and not free and marked[i] > total / 2) or (page.kind[i] == MIXED and marked[i] > plain[i] / 2)
+            if page.kind[i] == TOPIC and inside[i]:
+                holds |= links[i] <= LINKED * (plain[i] + links[i])
             if not holds:
                 gone[i] = True
                 continue
         elif page.tag[i] in ("article", "main"):
             article[i] = plain[i]
         p = page.parent[i]
-        plain[p], marked[p], article[p] = plain[p] + plain[i], marked[p] + marked[i], article[p] + article[i]
+        plain[p], marked[p], article[p], links[p] = plain[p] + plain[i], marked[p] + marked[i], article[p] + article[i], links[p] + links[i]
     for i in range(1, n):
         gone[i] = gone[i] or gone[page.parent[i]]
     return gone
@@ -249,9 +339,7 @@ def main_text(html: str | None) -> str:
     and headings among them too; if that is so of none, the container with most marked text is.
     """
     page = _Page()
-    page.feed(html or "")
-    page.close()
-    page.flush()
+    page.read(html or "")
     gone = _gone(page)
     lines = [x for x in page.lines if not gone[x[3]]]
     if not lines:
@@ -286,7 +374,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """Main text of ``pages (page_id, url, html)``: page_id, url, text, n_chars; other columns are dropped.
 
     Pages are read one by one in their own tasks and no rows move. Time and memory grow with a page's length, however deep its elements are
-    nested. A null or empty page has an empty text; so has one of which nothing but menus and the like is left. Equal rows each get a row; null ids and urls stay null. An empty table gives an empty result.
+    nested and whatever is left open in it: markup without an end is text, and declarations that HTML does not have are left out. A null or empty page has an empty text; so has one of which nothing but menus and the like is left. Equal rows each get a row; null ids and urls stay null. An empty table gives an empty result.
     """
     kind = pages.schema["page_id"].dataType
     whole = pages.select(F.col("page_id").cast("string"), "url", F.coalesce("html", F.lit("")).alias("html"))
