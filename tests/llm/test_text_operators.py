@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import math
 import random
 import re
 import string
@@ -248,6 +249,89 @@ def test_cutoffs_rise_where_words_look_random():
     assert secrets.cutoffs({"a": even, "b": mixed, "c": one, "d": words}) == {"a": 0.001, "b": 0.01, "c": 0.001, "d": 0.5}
 
 
+def plain_battery(token, letters):
+    """The three tests written out in plain loops, the chi-squared tail summed exactly where it can be."""
+    x, n, k = [letters.index(c) for c in token], len(token), len(letters)
+    bins = [b for b in ("".join(c for c in chars if c in letters) for chars in secrets.BINS) if b]
+    cells, o, e = [], 0, 0.0
+    for b in bins:
+        o, e = o + sum(letters[i] in b for i in x), e + n * len(b) / k
+        if e >= secrets.LEAST_EXPECTED:
+            cells.append([o, e])
+            o, e = 0, 0.0
+    if e and cells:
+        cells[-1] = [cells[-1][0] + o, cells[-1][1] + e]
+    chi, df = sum((o - e) ** 2 / e for o, e in cells), len(cells) - 1
+    # The tail by the trapezoid rule over the density.
+    grid = np.linspace(0, chi, 20_001)[1:]
+    density = grid ** (df / 2 - 1) * np.exp(-grid / 2) / (2 ** (df / 2) * math.gamma(df / 2))
+    uniform = 1 - float(np.trapezoid(density, grid)) if df > 0 else 1.0
+    high = [i >= k / 2 for i in x]
+    n1, n2 = sum(high), n - sum(high)
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:], strict=False))
+    mean, var = 1 + 2 * n1 * n2 / n, 2 * n1 * n2 * (2 * n1 * n2 - n) / (n * n * (n - 1))
+    p_runs = math.erfc(abs(runs - mean) / math.sqrt(2 * var))
+    m = sum(x) / n
+    r = sum((a - m) * (b - m) for a, b in zip(x, x[1:], strict=False)) / sum((a - m) ** 2 for a in x)
+    product = uniform * p_runs * math.erfc(abs((r + 1 / n) * math.sqrt(n)) / math.sqrt(2))
+    y = -math.log(max(product, 1e-300))
+    return math.exp(-y) * (1 + y + y * y / 2)
+
+
+@pytest.mark.parametrize("encoding", ["hex", "base32", "base36", "base62", "base64"])
+def test_battery_against_plain_loops(encoding):
+    rnd = random.Random(4)
+    for n in (20, 33, 64):
+        for _ in range(40):
+            token = key(rnd, secrets.ALPHABETS[encoding], n)
+            if len(set(token)) > 3 and secrets.infer_encoding(token) == encoding:
+                got = secrets.combined(secrets.battery(token, encoding).values())
+                assert abs(got - plain_battery(token, secrets.ALPHABETS[encoding])) < 0.02, token
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_keys_are_found_whatever_the_table_holds(sf):
+    """Recall after the cut-offs, keys alone and in groups planted among the given documents, which hold thousands of words that are as long."""
+    import pyarrow.parquet as pq
+
+    def histogram(texts, into):
+        for t in texts:
+            for s, e, c, p in secrets.examined(t or "")[1]:
+                of = into.setdefault(secrets._class(c, e - s), dict.fromkeys((*secrets.LEVELS, secrets.SURELY), 0))
+                for level in of:
+                    of[level] += p >= level
+        return into
+
+    background = histogram(pq.read_table(f"/root/testdata/{sf}/documents.parquet", columns=["text"]).column(0).to_pylist(), {})
+    alphabets = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "base32": secrets.ALPHABETS["base32"], "base36": secrets.ALPHABETS["base36"], "base62": secrets.ALPHABETS["base62"], "base64": secrets.ALPHABETS["base64"], "digits": "0123456789"}
+    rnd = random.Random(9)
+    for name, letters in alphabets.items():
+        for n in (20, 23) if name in ("hex", "digits") else (20, 40):  # from 24 on these are a base kind
+            for group in (1, 5, 10, 20):
+                found = total = 0
+                for _ in range(max(6, 200 // group)):
+                    keys = [f"the {key(rnd, letters, n)} and" for _ in range(group)]
+                    cuts = secrets.cutoffs(histogram(keys, {k: dict(v) for k, v in background.items()}))
+                    for k in keys:
+                        found += any(kind == "random" and s <= 4 and e >= 4 + n for kind, s, e in secrets.scan(k, cuts))
+                    total += group
+                assert found >= 0.9 * total, (name, n, group, found, total)
+
+
+def test_clean_words_of_the_table_are_no_secrets():
+    import pyarrow.parquet as pq
+
+    for text in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column(0).to_pylist():
+        assert all(c == "digits" for *_, c, p in secrets.examined(text or "")[1] if p >= secrets.LEVELS[0])
+
+
+def test_long_runs_of_letters_are_examined():
+    rnd = random.Random(6)
+    assert not secrets.candidates("a " + key(rnd, string.ascii_lowercase, 31) + " b")
+    assert sum(p >= secrets.LEVELS[0] for _ in range(100) for *_, p in secrets.candidates("a " + key(rnd, string.ascii_letters, 48) + " b")) >= 90
+    assert all(p < secrets.LEVELS[0] for *_, p in secrets.candidates("verkehrsinfrastrukturfinanzierungsgesellschaft x"))
+
+
 def test_secrets_by_their_class_in_the_table(spark):
     """Spans of all rows, by a loop over all candidates; the cut-off of a class follows from the whole table."""
     rnd = random.Random(2)

@@ -31,12 +31,18 @@ ALPHABETS = {
     "digits": "0123456789",
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
+    "lower": "abcdefghijklmnopqrstuvwxyz",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
+#: Alphabets that words are written in too: a run of them is examined from so many characters on, where words no longer pass for random. Of keys of 20
+#: characters in a wider alphabet, one in 30 at most has letters only, and the longer the fewer.
+WORDS, LEAST_LETTERS = frozenset(["lower", "upper", "letters"]), 32
 #: Bins of the uniformity test: characters that words, names and numbers use alike often.
 BINS = ("01", "234", "56789", "etaoinsr", "hldcumfpg", "wybvkxjqz", "ETAOINSR", "HLDCUMFPG", "WYBVKXJQZ", "+/-_")
 LEAST_EXPECTED = 2.0
@@ -44,6 +50,8 @@ FALSE_DISCOVERY = 0.01
 #: Combined p values at which the battery can be cut, and the one from which only random tokens are expected.
 LEVELS = (0.001, 0.003, 0.01, 0.03, 0.1, 0.3)
 SURELY = 0.5
+#: A class is taken to hold others than random tokens where random ones alone would look like it less often than so.
+CHANCE = 0.001
 
 
 @lru_cache(maxsize=None)
@@ -117,7 +125,7 @@ def candidates(text: str, taken: Callable[[int, int], bool] = lambda s, e: False
         if len(body) < LEAST_RANDOM:
             return []
         encoding, whole = infer_encoding(body), []
-        if encoding and not taken(s, e):
+        if encoding and not (encoding in WORDS and len(body) < LEAST_LETTERS) and not taken(s, e):
             whole = [(s, e, encoding, combined(battery(body, encoding).values()))]
             if whole[0][3] >= LEVELS[0]:
                 return whole
@@ -140,18 +148,32 @@ def _class(encoding: str, length: int) -> str:
     return f"{encoding}:{min(length.bit_length(), 8)}"
 
 
+def _few_by_chance(n: int, share: float, seen: int) -> float:
+    """P(at most ``seen`` of n), each with probability ``share``: exact for few, by the normal approximation for many."""
+    if n <= 1_000:
+        return math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(share) + (n - i) * math.log1p(-share)) for i in range(seen + 1))
+    return 0.5 * math.erfc((n * share - seen - 0.5) / math.sqrt(2 * n * share * (1 - share)))
+
+
 def cutoffs(histogram: dict[str, dict[float, int]], level: float = FALSE_DISCOVERY) -> dict[str, float]:
     """The combined p value from which tokens of a class count as random; ``histogram`` has a class's candidates at or above each level and SURELY.
 
     Random tokens spread evenly over p values, and others fall towards 0, the more so the longer they are. Twice those from SURELY on are
-    therefore about all random ones of a class, and what stands above a level beyond their share of it are false discoveries. The
-    lowest level at which those are ``level`` of all at most is the class's cut-off. At the first level two standard errors of the candidates are
-    allowed; a class that fails there holds others than random tokens, and from then on only those of the tokens from SURELY on are.
+    therefore about all random ones of a class, and what stands above a level beyond their share of it are false discoveries. The lowest level is the
+    class's cut-off at which those are ``level`` of all at most. At the first level a class passes too if chance leaves as few from SURELY on among random
+    tokens alone: a few keys that happen to lie low are not given up. A class that fails there holds others, and is cut where these end, but for two standard
+    errors of what lies from SURELY on.
     """
     out = {}
     for name, above in histogram.items():
-        false = lambda t: above[t] - 2 * (1 - t) * above[SURELY] - 2 * math.sqrt(above[t if t == LEVELS[0] else SURELY])  # noqa: E731, B023
-        out[name] = next((t for t in LEVELS if false(t) <= level * above[t]), SURELY)
+
+        def holds(t: float) -> bool:
+            false = above[t] - 2 * (1 - t) * above[SURELY]
+            if t == LEVELS[0] and _few_by_chance(above[t], (1 - SURELY) / (1 - t), above[SURELY]) >= CHANCE:
+                return True
+            return false - (t > LEVELS[0]) * 2 * math.sqrt(above[SURELY]) <= level * above[t]
+
+        out[name] = next((t for t in LEVELS if holds(t)), SURELY)
     return out
 
 
