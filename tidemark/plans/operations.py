@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql.types import DateType, DoubleType, LongType, StringType, Struct
 
 from tidemark.operators import acquire, audit, contracts, digests, merge, scan
 from tidemark.plans import refresh as R
+from tidemark.plans.job import Refresh, refresh
 from tidemark.plans.registry import _FULL, _PATHS, _SUMMARIES, _broken, _cases, _register, _sql_cases, _summaries
 from tidemark.sources import buckets, commits, files, publish, tables
 from tidemark.sources.stage_log import StageLog
@@ -281,3 +283,49 @@ def q51_sketched(spark, d):
     persisted = spark.read.schema(audit.SUMMARY_SCHEMA).parquet(f"{scratch.root}/summaries")
     stored = scratch.table(audit.day_sketches(persisted), "days")
     return audit.sketched_trend(stored, F.date_trunc("week", "day").cast("date"))
+
+
+def events_refresh() -> Refresh:
+    return Refresh(R.CANDIDATE, R.METRICS, ["purchase_value", "last_value"], R.measured, R.Run.rules(), buckets=BUCKETS)
+
+
+def _refreshed(spark: SparkSession, d: str) -> str:
+    """Three runs under one root: the first makes the master's rows, the second refreshes them, and the third is refused, as what it calls fresh is old."""
+    root, whole = f"{Scratch(spark).root}/published", R.Run.rules()
+    before = R.events_as_attempts(spark, d).where(F.col("ts") < F.lit(R.CUT).cast("timestamp_ntz"))
+    first = replace(events_refresh(), rules={"has_a_success": whole["has_a_success"]})
+    refresh(spark, first, before.where("ok"), root, "run-0", _T0)
+    refresh(spark, events_refresh(), R.attempts(spark, d), root, "run-1", _T1)
+    try:
+        refresh(spark, events_refresh(), before.where(F.col("id") % 10 == 3), root, "run-2", _T2)
+    except RuntimeError:  # its summary, stages and traces are what the queries show
+        return root
+    raise AssertionError("the third run should have been refused")
+
+
+_THIRD = "third AS (SELECT id, count(*) AS n_attempts, count(*) FILTER (ok) AS n_success FROM old WHERE id % 10 = 3 GROUP BY id), third_rows AS (SELECT id FROM cand UNION SELECT id FROM third WHERE n_success > 0)"
+
+
+@_register("q60_refresh_summaries", _FULL + f""", {_THIRD} SELECT 'run-0' AS run_id, count(*) AS selected_count, count(*) AS success_count, CAST(0 AS BIGINT) AS failed_count, (SELECT count(*) FROM old WHERE ok) AS http_request_count, count(*) AS final_rows, count(*) AS final_unique_ids,
+  'PASS' AS semantic_validation, 'PASS' AS readback, 'PASS' AS backup_contract, 'PASS' AS final_status, false AS current FROM mas
+  UNION ALL SELECT 'run-1', count(*), count(*) FILTER (n_success > 0), count(*) FILTER (n_success = 0), (SELECT count(*) FROM att), (SELECT count(*) FROM cand), (SELECT count(*) FROM cand), 'PASS', 'PASS', 'PASS', 'PASS', true FROM per
+  UNION ALL SELECT 'run-2', count(*), count(*) FILTER (n_success > 0), count(*) FILTER (n_success = 0), CAST(coalesce(sum(n_attempts), 0) AS BIGINT), (SELECT count(*) FROM third_rows), (SELECT count(*) FROM third_rows), 'FAIL', 'NOT RUN', 'NOT RUN', 'FAIL', false FROM third""")
+def q60_summaries(spark, d):
+    """The persisted summaries of three runs of the whole job, the last of which fails and leaves the second current."""
+    root = _refreshed(spark, d)
+    rows = spark.read.schema(audit.SUMMARY_SCHEMA).parquet(f"{root}/summaries")
+    names = ("selected_count", "success_count", "failed_count", "http_request_count", "final_rows", "final_unique_ids", "semantic_validation", "readback", "backup_contract", "final_status")
+    return rows.select("run_id", *names, (F.col("run_id") == publish.current_version(spark, root)).alias("current"))
+
+
+@_register("q60_refresh_current", _FULL + "SELECT * FROM cand")
+def q60_current(spark, d):
+    """What the job's readers see after the refused run: the candidate of the one before."""
+    return publish.read_current(spark, _refreshed(spark, d))
+
+
+@_register("q60_refresh_traces", _FULL + f", {_THIRD}, bad AS (SELECT id FROM third WHERE n_success > 0 UNION SELECT id FROM cand WHERE last_ok_at >= TIMESTAMP '2024-01-30 12:00:00') SELECT 'run-2' AS run_id, 'SEMANTIC_VALIDATION' AS contract, (SELECT count(*) FROM bad) AS n_ids, {_SAMPLE.format('bad')} AS sample")
+def q60_traces(spark, d):
+    """Which ids made the refused run fail."""
+    traces = spark.read.parquet(f"{_refreshed(spark, d)}/traces")
+    return traces.select("run_id", "contract", "n_ids", F.array_join(F.col("sample").cast("array<string>"), ",").alias("sample"))

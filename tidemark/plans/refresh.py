@@ -39,6 +39,10 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_attempts(spark, f"{sf_dir}/events.parquet", EVENTS)
 
 
+def events_as_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_attempts(_events(spark, sf_dir))
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_attempts(_events(spark, sf_dir).where(F.col("ts") >= F.lit(CUT).cast("timestamp_ntz")))
 
