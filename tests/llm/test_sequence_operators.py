@@ -200,3 +200,26 @@ def test_planted_conversation(spark):
 def test_chat_formatting_needs_no_python(spark):
     plan = chat_format.op13_chat_formatting(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_mixing_deals_rows_without_ids_by_their_texts(spark, tmp_path):
+    """Null ids, equal sizes and a capped source: rows spread over the shards, and SQL that shares out what shards are cut gives the same."""
+    import duckdb
+
+    from tidemark.llm import mixing
+
+    rng = random.Random(8)
+    rows = [(None if i % 3 else i, " ".join(rng.choice("abcdefgh") for _ in range(12)), "big") for i in range(3000)]
+    rows += [(10_000 + i, "x " * rng.randrange(1, 30), "small") for i in range(1500)] + [(20_000 + i, "y " * (i % 7), None) for i in range(500)] + [(None, None, "small"), (5, "", "a")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    mixed = mixing.mix(df)
+    assert sorted(r["n"] for r in mixed.where("doc_id is null and source = 'big'").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect())[0] > 200
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = Counter(con.execute(mixing.OP10_SQL).fetchall())
+    names = [c[0] for c in con.description]
+    assert Counter(map(tuple, mixed.select(*names).collect())) == want
+    # The source without a name is capped: it takes exactly three times its words, though shards are cut.
+    capped = mixed.where("source is null").collect()
+    assert sum(r["taken"] for r in capped) == 3 * capped[0]["source_size"] == capped[0]["target"] and all(r["taken"] == 3 * r["size"] for r in capped)

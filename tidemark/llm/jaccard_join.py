@@ -325,8 +325,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
 
 
 def _digest() -> F.Column:
-    """Names a row's text beside its doc_id, where a doc_id alone may be null or repeat."""
-    return F.xxhash64(F.coalesce("text", F.lit("")))
+    """Names a row's text beside its doc_id, in 128 bits, where a doc_id alone may be null or repeat."""
+    return F.md5(F.coalesce("text", F.lit("")))
 
 
 def _near_duplicates(docs: DataFrame, similarity: float, recall: float) -> DataFrame:
@@ -338,7 +338,7 @@ def _near_duplicates(docs: DataFrame, similarity: float, recall: float) -> DataF
     last = F.lit(2**63 - 1)
     read = docs.select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     numbered = read.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", _digest().alias("digest"))
-    signed = scratch.table(numbered.mapInPandas(_sign, "row bigint, doc_id bigint, key1 bigint, key2 bigint, n bigint, signature array<smallint>, digest bigint"), "signed")
+    signed = scratch.table(numbered.mapInPandas(_sign, "row bigint, doc_id bigint, key1 bigint, key2 bigint, n bigint, signature array<smallint>, digest string"), "signed")
 
     sets = signed.where("n > 0").groupBy("key1", "key2", "n")
     reps = sets.agg(F.min(F.struct("doc_id", "row")).alias("m"), F.min("row").alias("rid"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature"))

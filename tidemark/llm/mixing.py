@@ -23,8 +23,11 @@ def word_count(text: Column) -> Column:
 
 def _lot(seed: int, *parts: str) -> Column:
     """A number below 2^60 that any SQL engine can compute: the first digits of an MD5; nulls count as empty."""
-    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    return _number(F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts])))
+
+
+def _number(md5: Column) -> Column:
+    return F.conv(F.substring(md5, 1, 15), 16, 10).cast("long")
 
 
 def source_targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -116,19 +119,20 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = M
     words, or fewer where all texts together have under 10,000 blocks.
 
     Null texts and texts without words have size 0 and take 0. A null source is a source, weighed last. Rows that repeat count
-    as often as they occur; equal rows may share their words out either way. An empty table gives an empty result. Only
-    doc_id, text and source are used; other columns play no part. Rerunning gives the same rows: everything random is a
-    hash of seed, doc_id and size.
+    as often as they occur; equal rows may share their words out either way. Rows without an id, or of one id, are dealt by their texts. An empty table
+    gives an empty result. Only doc_id, text and source are used; other columns play no part. Rerunning gives the same rows: everything random is a
+    hash of seed, doc_id and text.
 
     Returns doc_id, source, size, source_size, target, taken, and the row's shard.
     """
     scratch = Scratch(docs.sparkSession)
-    sized = scratch.table(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sized")
+    content = _number(F.md5(F.coalesce("text", F.lit("")))).alias("_content")
+    sized = scratch.table(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), content), "sized")
     n, words = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     # Both a shard's rows and the number of shards grow as the root of a very large input.
     shards = max(1, n // max(shard_rows, int(n**0.5)))
     block = max(1, min(block_words, words // 10_000))
-    dealt = sized.select("*", (_lot(seed, "doc_id", "size") % shards).alias("shard"), _lot(seed + 1, "doc_id", "size").alias("_order"))
+    dealt = sized.select("*", (_lot(seed, "doc_id", "_content") % shards).alias("shard"), _lot(seed + 1, "doc_id", "_content").alias("_order"))
 
     per_shard = dealt.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
     per_source = per_shard.groupBy("source").agg(F.sum("shard_size").alias("source_size"))
@@ -139,7 +143,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = M
     plan = scratch.table(sainte_lague(joined, "shard_size", "_source_blocks", ["source"], ["shard"]).drop("_source_blocks"), "plan")
 
     plan = _within_limits(plan, block, max_epochs).withColumnsRenamed({"source": "_source", "shard": "_shard"})
-    within = W.partitionBy("source", "shard").orderBy("_order", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    within = W.partitionBy("source", "shard").orderBy("_order", "doc_id", "_content").rowsBetween(W.unboundedPreceding, -1)
     start = F.coalesce(F.sum("size").over(within), F.lit(0))
     overlap = lambda lo, hi: F.greatest(F.lit(0), F.least(F.col("_start") + F.col("size"), hi) - F.greatest(F.col("_start"), lo))
     return (
@@ -161,10 +165,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = r"""
-WITH z AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+WITH z AS (SELECT doc_id, source, CAST(concat('0x', substr(md5(coalesce(text, '')), 1, 15)) AS BIGINT) AS content, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 g AS (SELECT count(*) AS n, CAST(coalesce(sum(size), 0) AS BIGINT) AS words, greatest(1, n // greatest(1000, CAST(floor(sqrt(n)) AS BIGINT))) AS shards, greatest(1, least(64, words // 10000)) AS block FROM z),
-d AS (SELECT z.*, CAST(concat('0x', substr(md5(concat('17:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', CAST(size AS VARCHAR))), 1, 15)) AS BIGINT) % shards AS shard,
-             CAST(concat('0x', substr(md5(concat('18:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', CAST(size AS VARCHAR))), 1, 15)) AS BIGINT) AS o FROM z, g),
+d AS (SELECT z.*, CAST(concat('0x', substr(md5(concat('17:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', CAST(content AS VARCHAR))), 1, 15)) AS BIGINT) % shards AS shard,
+             CAST(concat('0x', substr(md5(concat('18:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', CAST(content AS VARCHAR))), 1, 15)) AS BIGINT) AS o FROM z, g),
 h AS (SELECT source, shard, CAST(sum(size) AS BIGINT) AS shard_size FROM d GROUP BY ALL),
 s0 AS (SELECT source, CAST(sum(shard_size) AS BIGINT) AS source_size FROM h GROUP BY source),
 s1 AS (SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight, 3 * source_size AS cap FROM s0),
@@ -176,10 +180,13 @@ q AS (SELECT source, target / (2 * k + 1) AS quotient, k, max(blocks) OVER () AS
 w AS (SELECT source, count(*) AS won FROM (SELECT *, row_number() OVER (ORDER BY quotient DESC, source, k) AS r FROM q) WHERE r <= blocks GROUP BY source),
 hq AS (SELECT h.source, h.shard, shard_size / (2 * k + 1) AS quotient, k, w.won FROM h JOIN w ON h.source IS NOT DISTINCT FROM w.source, unnest(range(0, w.won)) AS u(k)),
 hw AS (SELECT source, shard, count(*) AS quota FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY quotient DESC, shard, k) AS r FROM hq) WHERE r <= won GROUP BY ALL),
-p AS (SELECT h.source, h.shard, h.shard_size, least(coalesce(hw.quota, 0) * block, 3 * h.shard_size) AS due, due // greatest(h.shard_size, 1) AS passes, due - passes * h.shard_size AS rest,
-             CASE WHEN h.shard_size > 0 THEN CAST(concat('0x', substr(md5(concat('19:', coalesce(h.source, ''), ':', CAST(h.shard AS VARCHAR))), 1, 15)) AS BIGINT) % h.shard_size // block * block ELSE 0 END AS lo, lo + rest AS hi
+r0 AS (SELECT h.source, h.shard, h.shard_size, coalesce(hw.quota, 0) * block AS wanted, 3 * h.shard_size AS most, greatest(0, wanted - most) AS cut, greatest(0, most - wanted) AS room
       FROM h LEFT JOIN hw ON h.source IS NOT DISTINCT FROM hw.source AND h.shard = hw.shard, g),
-e AS (SELECT d.*, CAST(coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY o, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS a FROM d)
+r1 AS (SELECT *, sum(room) OVER (PARTITION BY source) AS rooms, least(sum(cut) OVER (PARTITION BY source), rooms) AS given, sum(room) OVER (PARTITION BY source ORDER BY shard) AS till FROM r0),
+p AS (SELECT source, shard, shard_size, CAST(least(wanted, most) + CASE WHEN given > 0 THEN CAST(till AS HUGEINT) * given // rooms - CAST(till - room AS HUGEINT) * given // rooms ELSE 0 END AS BIGINT) AS due, due // greatest(shard_size, 1) AS passes, due - passes * shard_size AS rest,
+             CASE WHEN shard_size > 0 THEN CAST(concat('0x', substr(md5(concat('19:', coalesce(source, ''), ':', CAST(shard AS VARCHAR))), 1, 15)) AS BIGINT) % shard_size // block * block ELSE 0 END AS lo, lo + rest AS hi
+      FROM r1, g),
+e AS (SELECT d.*, CAST(coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY o, doc_id, content ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS a FROM d)
 SELECT e.doc_id, e.size, s.source_size, s.target, CAST(p.passes * e.size + greatest(0, least(a + e.size, hi) - greatest(a, lo)) + greatest(0, least(a + e.size, hi - shard_size) - a) AS BIGINT) AS taken, e.source
 FROM e JOIN p ON e.source IS NOT DISTINCT FROM p.source AND e.shard = p.shard JOIN s ON e.source IS NOT DISTINCT FROM s.source
 """
