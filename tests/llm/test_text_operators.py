@@ -371,6 +371,43 @@ def test_language_accuracy_and_edges(spark):
     assert language_id.Filters.build({}).predict("abc") == ("und", 0.0)
 
 
+def plain_grams(text):
+    """The n-grams of a text's words as strings, a mark at either end of a word."""
+    t = "\0" + "".join(c if c.isalpha() else "\0" for c in text.lower()) + "\0"
+    return [g for n in language_id.SIZES for i in range(len(t) - n + 1) if "\0" not in (g := t[i : i + n])[1:-1]]
+
+
+def test_predictions_against_sets_of_strings(spark):
+    """Each language's n-grams as plain sets, with no filter and no hash: the masks hold all languages of an n-gram, and counts decide alike."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    filters = language_id.fit(docs.where(~language_id.held_out("doc_id")))
+    rows = docs.withColumn("held", language_id.held_out("doc_id")).collect()
+    seen, n_docs = {}, {}
+    for r in rows:
+        if not r["held"] and r["lang"] and r["text"] is not None:
+            n_docs[r["lang"]] = n_docs.get(r["lang"], 0) + 1
+            for g in set(plain_grams(r["text"])):
+                seen.setdefault(r["lang"], {}).setdefault(g, 0)
+                seen[r["lang"]][g] += 1
+    held = {lang: {g for g, n in found.items() if n >= max(language_id.SHARE * n_docs[lang], 2 if n_docs[lang] >= 20 else 1)} for lang, found in seen.items()}
+    names = sorted(held)
+    for g in sorted({g for found in held.values() for g in found if len(g) == 3 and "\0" not in g})[::7]:
+        of_three = next(language_id.gram_hashes(g))  # of the word's beginning, all of it, and its end
+        mask = int(filters.masks(of_three)[1])
+        assert all(mask >> i & 1 for i, x in enumerate(names) if g in held[x]), g
+    wrong = 0
+    for r, got in zip(rows, language_id.predict(docs, filters).collect(), strict=True):
+        grams = plain_grams(r["text"] or "")
+        if grams:
+            counts = {x: sum(math.log((len(names) + 1) / m) for g in grams if g in held[x] and (m := sum(g in held[y] for y in names))) for x in names}
+            wrong += max(names, key=lambda x: (counts[x], -names.index(x))) != got["lang_pred"]
+            share = sum(g in held[got["lang_pred"]] for g in grams) / len(grams)
+            assert abs(share - got["score"]) < 0.02
+        else:
+            assert (got["lang_pred"], got["score"]) == ("und", 0.0)
+    assert wrong <= 1
+
+
 def test_more_languages_than_a_mask_word_holds(spark):
     rnd = random.Random(5)
     vocabulary = {f"l{k:02}": ["".join(rnd.choice(string.ascii_lowercase) for _ in range(7)) for _ in range(12)] for k in range(70)}

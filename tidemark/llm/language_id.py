@@ -9,19 +9,21 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, drawn, table
 
 SIZES = (3, 4)
-SLOT_BITS = 19
 HASHES = 3
+#: A filter has at least as many slots as bits for each hash of an n-gram that set one.
+SLOTS_A_HASH = 6
+LEAST_SLOT_BITS, MOST_SLOT_BITS = 16, 26
 #: Languages a mask word holds; more take several words a slot.
 MASK_LANGUAGES = 64
 #: So many documents of each language are fitted on at most, chosen by a hash of id and text.
 SAMPLE_DOCS = 2_000
-GRAMS_A_LANGUAGE = 30_000
+#: A language holds the n-grams that at least this share of its sampled documents have; so a language has at most 1 / SHARE times as many as a document.
+SHARE = 0.01
 PIECE = 1 << 16
 UND = "und"
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -60,8 +62,8 @@ def gram_hashes(text: str) -> Iterator[np.ndarray]:
             yield h * M2
 
 
-def _slots(h: np.ndarray) -> list[np.ndarray]:
-    step = np.uint64(64 - SLOT_BITS)
+def _slots(h: np.ndarray, bits: int) -> list[np.ndarray]:
+    step = np.uint64(64 - bits)
     return [(h * np.uint64(2 * k + 1) + (h >> np.uint64(32)) * np.uint64(k)) * M1 >> step for k in range(HASHES)]
 
 
@@ -72,19 +74,23 @@ class Filters:
     languages: list[str]
     slots: np.ndarray
     false: np.ndarray
+    bits: int
 
     @classmethod
     def build(cls, grams: dict[str, np.ndarray]) -> Filters:
+        """Filters of the n-grams of each language, all of them; the slots grow with the language that has most."""
         languages = sorted(grams)
         words = max(1, -(-len(languages) // MASK_LANGUAGES))
-        slots, fill = np.zeros((words, 1 << SLOT_BITS), np.uint64), []
+        most = max([1, *(len(g) for g in grams.values())])
+        bits = min(MOST_SLOT_BITS, max(LEAST_SLOT_BITS, (SLOTS_A_HASH * HASHES * most - 1).bit_length()))
+        slots, fill = np.zeros((words, 1 << bits), np.uint64), []
         for at, name in enumerate(languages):
             word, bit = slots[at // MASK_LANGUAGES], np.uint64(1 << at % MASK_LANGUAGES)
-            for s in _slots(grams[name]):
+            for s in _slots(grams[name], bits):
                 word[s] |= bit
             fill.append(np.count_nonzero(word & bit) / len(word))
         kind = next((t for most, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32)) if len(languages) <= most), np.uint64)
-        return cls(languages, (slots if words > 1 else slots[0]).astype(kind), np.array(fill) ** HASHES)
+        return cls(languages, (slots if words > 1 else slots[0]).astype(kind), np.array(fill) ** HASHES, bits)
 
     @property
     def empty(self) -> bool:
@@ -94,23 +100,36 @@ class Filters:
     def masks(self, h: np.ndarray) -> np.ndarray:
         """All languages that hold each n-gram, as bits; a row for each 64 where there are more."""
         out = None
-        for s in _slots(h):
+        for s in _slots(h, self.bits):
             out = self.slots[..., s] if out is None else out & self.slots[..., s]
         return out
 
+    def counts(self, h: np.ndarray) -> np.ndarray:
+        """By language and by how many languages hold an n-gram, from none on: the number of n-grams."""
+        masks, n = np.atleast_2d(self.masks(h)), len(self.languages)
+        held = np.bitwise_count(masks).sum(0, dtype=np.int64)
+        out = np.zeros((n, n + 1), np.int64)
+        for at in range(n):
+            bit = masks.dtype.type(1 << at % MASK_LANGUAGES)
+            out[at] = np.bincount(held[(masks[at // MASK_LANGUAGES] & bit) != 0], minlength=n + 1)
+        return out
+
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The language with the highest corrected popcount (of equal ones the first by name), and that count as a share of the n-grams; ``und`` without letters."""
-        counts, n = np.zeros(len(self.languages)), 0
+        """The language with the highest corrected popcount of rare n-grams (of equal ones the first by name), and its popcount as a share of the n-grams; ``und`` without letters.
+
+        An n-gram that m of L languages hold counts log((L + 1) / m) for each of them. Those that a filter holds by mistake are taken off: they stand alone, as a rule.
+        """
+        languages, n = len(self.languages), 0
+        counts = np.zeros((languages, languages + 1), np.int64)
         for h in gram_hashes(text or ""):
-            masks = np.atleast_2d(self.masks(h))
+            counts += self.counts(h)
             n += len(h)
-            bit = [masks.dtype.type(1 << k) for k in range(min(MASK_LANGUAGES, len(self.languages)))]
-            counts += [np.count_nonzero(masks[at // MASK_LANGUAGES] & bit[at % MASK_LANGUAGES]) for at in range(len(self.languages))]
         if not n or not self.languages:
             return UND, 0.0
-        real = np.clip((counts - n * self.false) / (1 - np.minimum(self.false, 0.99)), 0, n)
-        best = int(real.argmax())
-        return self.languages[best], float(real[best] / n)
+        weight = np.concatenate(([0.0], np.log((languages + 1) / np.arange(1, languages + 1))))
+        best = int((counts @ weight - weight[1] * n * self.false).argmax())
+        real = np.clip((counts[best].sum() - n * self.false[best]) / (1 - min(self.false[best], 0.99)), 0, n)
+        return self.languages[best], float(real / n)
 
 
 def _count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,12 +143,12 @@ def _count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"lang": lang, "gram": np.fromiter(found, np.int64, len(found)), "n": np.fromiter(found.values(), np.int64, len(found))})
 
 
-def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS_A_LANGUAGE) -> Filters:
+def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, share: float = SHARE) -> Filters:
     """Filters from ``labelled (doc_id, text, lang)``.
 
     Of each language at most sample_docs documents are taken, the first by a hash of doc_id and text. An n-gram's documents are counted per
-    language; a language holds those n-grams that at least a hundredth of its sampled documents (two, of a few) and at least a fifth as large
-    a share of them as of any other language's have, at most ``grams`` of the commonest. Rows with a null text or language teach nothing.
+    language; a language holds all n-grams that at least ``share`` of its sampled documents (two, of a few) have, whatever other languages hold them
+    too. Rows with a null text or language teach nothing.
     """
     known = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     # Counted without the texts, which a columnar scan then leaves unread.
@@ -141,19 +160,15 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, grams: int = GRAMS_
     sizes = sample.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
     counts = sample.mapInPandas(_count_batches, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # A row a language, of which there are few.
-    held = counts.join(F.broadcast(sizes), "lang").withColumn("share", F.col("n") / F.col("docs"))
-    held = held.where((F.col("share") >= 0.01) & (F.col("n") >= F.when(F.col("docs") >= 20, 2).otherwise(1)))
-    most = held.groupBy("gram").agg(F.max("share").alias("most"))
-    chosen = scratch.table(held.join(most, "gram").where(F.col("share") >= F.col("most") / 5).select("lang", "gram", "n"), "grams")
-    first = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    top = chosen.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= grams).select("lang", "gram").toPandas()
+    held = counts.join(F.broadcast(sizes), "lang").where(F.col("n") >= F.greatest(F.lit(share) * F.col("docs"), F.when(F.col("docs") >= 20, 2).otherwise(1)))
+    top = held.select("lang", "gram").toPandas()
     scratch.drop("sample")
     found = {name: part.to_numpy(np.int64).view(np.uint64) for name, part in top.groupby("lang")["gram"]}
     return Filters.build({name: found.get(name, np.zeros(0, np.uint64)) for name in totals})
 
 
 def prediction(spark: SparkSession, filters: Filters):
-    """A column function of text: lang_pred and score. The filters (at most 4 MB for each 64 languages) are broadcast."""
+    """A column function of text: lang_pred and score. The filters, whose size follows from what the bounded sample holds, are broadcast."""
     held = spark.sparkContext.broadcast(filters)
 
     @F.pandas_udf("lang_pred string, score double")
