@@ -13,7 +13,7 @@ from pyspark.sql.types import DateType, DoubleType, LongType, StringType, Struct
 from tidemark.operators import acquire, audit, contracts, digests, merge, scan
 from tidemark.plans import refresh as R
 from tidemark.plans.job import Refresh, refresh
-from tidemark.plans.registry import _FULL, _PATHS, _SUMMARIES, _broken, _cases, _register, _sql_cases, _summaries
+from tidemark.plans.registry import _FULL, _PATHS, _SQL_CORPUS, _SUMMARIES, _corpus, _broken, _cases, _register, _sql_cases, _summaries
 from tidemark.sources import buckets, commits, files, publish, tables
 from tidemark.sources.stage_log import StageLog
 from tidemark.sources.workspace import Scratch
@@ -82,6 +82,12 @@ def q32_files(spark, d):
     return scan.violations(tables.scan_files(spark, root))
 
 
+@_register("q32_exempt_rules", f"""WITH {_SQL_CORPUS.replace("'.jsonl')", "'.jsonl', '.example')")} SELECT rule, path FROM v""")
+def q32_exempt(spark, d):
+    """Rules by which the exempt path would be forbidden: it stays, while the same name in a folder does not, and its content is scanned like any other."""
+    return scan.violations(_corpus(spark, d), scan.Rules(suffixes=(*scan.paths.SUFFIXES, ".example")))
+
+
 @_register("q10_bucketed_candidate", _FULL + "SELECT * FROM cand")
 def q10_buckets(spark, d):
     """The candidate, merged into a version that lies in buckets: the master is read in place and only the run is shuffled."""
