@@ -64,3 +64,21 @@ def test_run_summary_has_its_fields_in_order(spark, tmp_path):
     publish.write_run_summary(got, f"{tmp_path}/s")
     row = spark.read.parquet(f"{tmp_path}/s").first()
     assert len(row) == 19 and row["wall_seconds"] == 86400.0 and list(row.asDict())[0] == "run_id" and row["final_status"] == "PASS"
+
+
+def test_scratch_folders_are_freed_at_the_end(spark):
+    from pathlib import Path
+
+    from tidemark.sources.workspace import Scratch, freed
+
+    kept = Scratch(spark)
+    with freed(spark):
+        inner = Scratch(spark)
+        df = inner.table(spark.range(3), "a")
+        out = kept.table(df, "out")
+    assert out.count() == 3 and not Path(inner.root.removeprefix("file:")).exists()
+    with pytest.raises(ValueError), freed(spark):
+        lost = Scratch(spark)
+        lost.table(spark.range(3), "a")
+        raise ValueError
+    assert not Path(lost.root.removeprefix("file:")).exists() and kept.root in Scratch.made and lost.root not in Scratch.made

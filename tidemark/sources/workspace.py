@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +25,13 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """A folder for one job's tables. A lost executor is recovered from them, and they cut the lineage."""
 
+    #: Folders of this process that were not freed.
+    made: ClassVar[list[str]] = []
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}"
+        self.made.append(self.root)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.root}/{name}")
@@ -32,5 +39,21 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Frees a table that no later read needs."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(self.spark, f"{self.root}/{name}")
+
+
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """Frees the scratch folders that are made inside, at its end, failed or not: what is read later has to be written elsewhere by then."""
+    before = len(Scratch.made)
+    try:
+        yield
+    finally:
+        for root in Scratch.made[before:]:
+            _delete(spark, root)
+        del Scratch.made[before:]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
