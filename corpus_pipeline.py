@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard_join, language_id, mixing, secrets
 from tidemark.llm.common import Scratch, ship, table
+from tidemark.sources.workspace import freed
 
 #: A text whose best language knows fewer of its n-grams than this is in none of the learned languages.
 LEAST_LANGUAGE_SCORE = 0.05
@@ -90,10 +91,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; a stage's table is freed once the next one is written."""
+    """All stages over ``documents``; what a stage wrote for itself is freed once its table is written, and that once the next one is."""
     docs, scratch, before = table(spark, sf_dir, "documents"), Scratch(spark), None
     for name, stage in STAGES:
-        docs = scratch.table(stage(spark, docs, sf_dir), name)
+        with freed(spark):
+            docs = scratch.table(stage(spark, docs, sf_dir), name)
         if before:
             scratch.drop(before)
         before = name
