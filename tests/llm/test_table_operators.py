@@ -32,7 +32,7 @@ def words(text):
 
 def test_queries_against_sql(spark):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "benchmark"):
+    for t in ("documents", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in entries.ORACLES.items():
         df = entries.QUERIES[name](spark, SF)
@@ -311,6 +311,44 @@ def test_recall_of_pairs_at_the_threshold_and_above(spark):
     assert all(r["class_id"] >= root[r["doc_id"]] for r in rows)
 
 
+def test_links_of_a_large_class_without_all_its_pairs(spark, monkeypatch):
+    """Thousands of different near copies: all links are counted, by few of the pairs."""
+    rnd = random.Random(21)
+    base = [f"w{i}" for i in range(400)]
+
+    def copy(edits):
+        x = list(base)
+        for at in rnd.sample(range(400), edits):
+            x[at] = f"{rnd.random():.9f}"
+        return " ".join(x)
+
+    texts = [copy(rnd.choice((1, 2))) for _ in range(2_700)] + [copy(8) for _ in range(300)]
+    sets = [jaccard_join.shingles(t) for t in texts]
+    column = {h: i for i, h in enumerate(sorted({int(h) for s in sets for h in s}))}
+    held = np.zeros((len(sets), len(column)), np.float32)
+    for i, s in enumerate(sets):
+        held[i, [column[int(h)] for h in s]] = 1
+    size = held.sum(1)
+    both = held @ held.T
+    links = (both >= 0.8 * (size[:, None] + size[None, :] - both) - 1e-6).sum(1) - 1
+
+    compared, in_blocks = [], jaccard_join._in_blocks
+
+    def watched(members):
+        dealt = in_blocks(members)
+        pairs = dealt.groupBy("grp", "first", "second").agg(F.count_if(F.col("block") == F.col("first")).alias("a"), F.count_if(F.col("block") == F.col("second")).alias("b"))
+        compared.append(pairs.agg(F.coalesce(F.sum(F.when(F.col("first") == F.col("second"), F.col("a") * F.col("a") / 2).otherwise(F.col("a") * F.col("b"))), F.lit(0.0))).first()[0])
+        return dealt
+
+    monkeypatch.setattr(jaccard_join, "_in_blocks", watched)
+    rows = jaccard_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()
+    assert {r["doc_id"]: r["n_links"] for r in rows} == dict(enumerate(links.tolist())) and {r["class_id"] for r in rows} == {0}
+    # All pairs are 4.5 million. In the search and in the counting, the loose copies meet all.
+    assert sum(compared) < 2 * 300 * 3_000
+    compared.clear()
+    assert jaccard_join.keep_one(spark.createDataFrame(list(enumerate(texts)), DOCS)).count() == 1 and sum(compared) < 300 * 3_000
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1100)] + [(5000, 5000)]
     random.Random(1).shuffle(edges)

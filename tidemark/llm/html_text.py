@@ -72,7 +72,7 @@ SURE = 80.0
 #: What its tag, role or name says of an element.
 PLAIN, HARD, NAMED_SO, MIXED, COMMENT, TOPIC = range(6)
 #: Reading tags that never close may cost so many times the page's length; after that a tag has to close within so many characters.
-PATIENCE, SHORT_TAG = 8, 512
+PATIENCE, SHORT_TAG = 8, 128
 #: Numbers of character references with more digits than any character has.
 LONG_REFERENCE = re.compile(r"&#(?:([0-9]{8,})|[xX]([0-9a-fA-F]{8,}));?")
 

@@ -8,6 +8,7 @@ from uuid import uuid4
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, table
@@ -23,6 +24,8 @@ DEEPEST = 8
 BLOCK_DOCS = 384
 BLOCK_SHINGLES = 500_000
 BROADCAST_IDS = 1_000_000
+#: Members of a class, by a hash, whose signatures tell what most of the class have.
+TYPICAL = 256
 CHUNK = 4_096
 GAMMA, MIX1, MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -224,14 +227,70 @@ def _compared(dealt: DataFrame, sets: DataFrame, similarity: float, depth: int)
 
 
 def _in_blocks(members: DataFrame) -> DataFrame:
-    """``members (grp, rid, n)`` dealt to blocks of bounded size, and every two blocks of a group to a task."""
-    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"))
-    blocks = F.ceil(F.greatest(F.col("members") / BLOCK_DOCS, F.col("total") / BLOCK_SHINGLES)).cast("int")
-    own = members.join(sizes.select("grp", blocks.alias("blocks")), "grp").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("first"), F.greatest("block", j).alias("second")))
+    """``members (grp, rid, n, near)`` dealt to blocks of bounded size, and every two blocks of a group to a task, but for two of near ones.
+
+    What is near has blocks of its own, behind the others'.
+    """
+    near = F.col("near")
+    blocks = lambda side: F.ceil(F.greatest(F.count_if(side) / BLOCK_DOCS, F.coalesce(F.sum(F.when(side, F.col("n"))), F.lit(0)) / BLOCK_SHINGLES)).cast("int")
+    sizes = members.groupBy("grp").agg(blocks(~near).alias("far_blocks"), blocks(near).alias("near_blocks")).where("far_blocks > 0")
+    lot = lambda n: F.pmod(F.xxhash64("rid"), F.col(n)).cast("int")
+    block = F.when(near, F.col("far_blocks") + lot("near_blocks")).otherwise(lot("far_blocks"))
+    own = members.join(sizes, "grp").withColumn("block", block)
+    others = F.sequence(F.lit(0), F.col("far_blocks") + F.when(near, 0).otherwise(F.col("near_blocks")) - 1)
+    pairs = F.transform(others, lambda j: F.struct(F.least("block", j).alias("first"), F.greatest("block", j).alias("second")))
     return own.select("grp", F.lit(0).alias("part"), "block", "rid", F.explode(pairs).alias("p")).select("grp", "part", "p.first", "p.second", "block", "rid")
 
 
+def _most_common(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """At each place of the signatures of a few members, the value that most of them have."""
+    held = np.stack(rows["signature"].to_numpy())
+    common = [values[counts.argmax()] for values, counts in (np.unique(held[:, i], return_counts=True) for i in range(held.shape[1]))]
+    return pd.DataFrame({"grp": [key[0]], "common": [common]})
+
+
+def _to_center(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Similarities of a part of a class to its center, which is its first block."""
+    sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
+    center = int(np.flatnonzero(rows["block"].to_numpy() == 0)[0])
+    rest = [i for i in range(len(sets)) if i != center]
+    if not rest:
+        return pd.DataFrame({"rid": np.zeros(0, np.int64), "similarity": np.zeros(0)})
+    both = _counts([sets[center]], [sets[i] for i in rest]).astype(np.float64)[0]
+    return pd.DataFrame({"rid": rows["rid"].to_numpy()[rest], "similarity": both / (len(sets[center]) + np.array([len(sets[i]) for i in rest]) - both)})
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """A written table, broadcast if it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
+def _near_center(members: DataFrame, reps: DataFrame, sets: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """``(grp, rid)`` of those members of large classes that are so near their class's center that any two of them are linked.
+
+    One less the similarity of two sets is a distance, so two that lie within half the distance of a link from a third are linked: these need not be compared.
+    The center is the member whose signature agrees most with what is most common in the class; whichever it is, only how many pairs
+    are spared depends on it. Each member is compared with it once, in parts of bounded size.
+    """
+    large = members.groupBy("grp").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK_DOCS)
+    large = scratch.table(large.select("grp", F.ceil(F.col("members") / BLOCK_DOCS).cast("int").alias("parts")), "large")
+    if large.isEmpty():
+        return members.select("grp", "rid").limit(0)
+    of_large = members.join(_few(large), "grp").select("grp", "parts", "rid")
+    signed = scratch.table(of_large.join(reps.select("rid", "signature"), "rid"), "large_members")
+    first = W.partitionBy("grp").orderBy(F.xxhash64("rid"), "rid")
+    some = signed.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= TYPICAL).select("grp", "signature")
+    common = scratch.table(some.groupBy("grp").applyInPandas(_most_common, "grp bigint, common array<smallint>"), "common")
+    agrees = F.aggregate(F.zip_with("signature", "common", lambda a, b: (a == b).cast("int")), F.lit(0), lambda a, b: a + b)
+    centers = signed.join(_few(common), "grp").groupBy("grp").agg(F.max_by("rid", F.struct(agrees, -F.col("rid"))).alias("center"))
+    centers = scratch.table(centers, "centers")
+    dealt = signed.join(_few(centers), "grp").where("rid != center").select("grp", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("block"), "rid")
+    leads = centers.join(large, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("block"), F.col("center").alias("rid"))
+    measured = dealt.union(leads).join(sets, "rid").groupBy("grp", "part").applyInPandas(_to_center, "rid bigint, similarity double")
+    near = measured.where(F.col("similarity") > (1 + similarity) / 2 + 1e-9).select("rid")
+    return scratch.table(signed.join(near, "rid").select("grp", "rid").union(centers.select("grp", F.col("center").alias("rid"))), "near")
+
+
 class _Forest:
     """The search for classes over representatives ``reps (rid, signature, ...)``: what hangs together by the links verified so far.
 
@@ -270,7 +329,7 @@ class _Forest:
         return [x or 0.0 for x in seen]
 
     def search(self, depth: int, stars: bool) -> list[float]:
-        """Verifies the candidates of all nodes of a depth: first, with ``stars``, members against their node's first, then all pairs of classes left in a node."""
+        """Verifies the candidates of all nodes of a depth: first, with ``stars``, members against their node's first, then, in nodes that still hold several classes, all pairs but those within the largest."""
         nodes, keyed = self.nodes(depth)
         members = self.scratch.table(keyed.join(nodes, "grp"), f"members_{depth}")
         wanted = members.select("rid").distinct()
@@ -286,8 +345,10 @@ class _Forest:
             both = dealt.union(leads).select("grp", "part", F.lit(0).alias("first"), F.lit(1).alias("second"), "block", "rid")
             seen = self.join(_compared(both, self.sets, self.similarity, depth), f"stars_{depth}")
         now = self.rooted(members.select("grp", "rid"))
-        open_ = now.groupBy("grp").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most").select("grp")
-        left = now.join(open_, "grp").join(self.reps.select("rid", "n"), "rid").select("grp", "rid", "n")
+        held = now.groupBy("grp", "root").agg(F.count(F.lit(1)).alias("held"))
+        open_ = held.groupBy("grp").agg(F.max_by("root", F.struct("held", "root")).alias("main"), F.count(F.lit(1)).alias("several")).where("several > 1").select("grp", "main")
+        # Members of the node's largest class hang together already, and meet the others only.
+        left = now.join(open_, "grp").join(self.reps.select("rid", "n"), "rid").select("grp", "rid", "n", (F.col("root") == F.col("main")).alias("near"))
         more = self.join(_compared(_in_blocks(left), self.sets, self.similarity, depth), f"nodes_{depth}")
         return [a + b for a, b in zip(seen, more, strict=True)]
 
@@ -311,9 +372,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     Words are runs of digits, letters a-z and anything beyond ASCII in A-Z-lowered text; a text of fewer than five words is
     one shingle. Whole texts are hashed, in chunks. First, equal sets become one representative. Its minhashes make a path in
     each of the forest's tries. Nodes at the deepest prefixes give the first candidates: a node's members are compared with its first one,
-    and where classes are left apart, all with all. From the similarities of the links found follows what share of such links these
+    and where classes are left apart, all with all but the largest class's own. From the similarities of the links found follows what share of such links these
     prefixes find; as long as it is below ``recall``, prefixes are shortened to where it is not, and what then shares a node and no class yet
-    is compared. At last all pairs of each class are compared for the numbers of links, so links within a class are all counted. Every
+    is compared. At last the pairs of each class are compared for the numbers of links, so links within a class are all counted; of a large class
+    those are spared that lie so near its center that any two of them are linked. Every
     comparison is exact and runs in blocks of bounded size, and tasks return counts and forests, never pairs: no link is lost, and a
     node, a class or a set of copies that holds a third of the rows is spread over its blocks.
 
@@ -329,8 +391,19 @@ def _digest() -> F.Column:
     return F.md5(F.coalesce("text", F.lit("")))
 
 
-def _near_duplicates(docs: DataFrame, similarity: float, recall: float) -> DataFrame:
-    """Near duplicates, with a ``digest`` of each row's text."""
+def _linked(members: DataFrame, reps: DataFrame, sets: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """``(rid, docs, reps)``: how many rows and how many other sets each member of a class is linked to; ``members (grp, rid, n)``."""
+    near = _near_center(members, reps, sets, scratch, similarity)
+    with_copies = near.join(reps.select("rid", "copies"), "rid")
+    of_class = with_copies.groupBy("grp").agg(F.sum("copies").alias("all_docs"), F.count(F.lit(1)).alias("all_reps"))
+    sure = with_copies.join(of_class, "grp").select("rid", (F.col("all_docs") - F.col("copies")).alias("docs"), (F.col("all_reps") - 1).alias("reps"))
+    told = members.join(near.select("rid", F.lit(True).alias("near")), "rid", "left").select("grp", "rid", "n", F.coalesce("near", F.lit(False)).alias("near"))
+    compared = _compared(_in_blocks(told), sets, similarity, 1).select("rid", "docs", "reps")
+    return compared.union(sure).groupBy("rid").agg(F.sum("docs").alias("docs"), F.sum("reps").alias("reps"))
+
+
+def _near_duplicates(docs: DataFrame, similarity: float, recall: float, count_links: bool = True) -> DataFrame:
+    """Near duplicates, with a ``digest`` of each row's text; the numbers of links are those of equal sets alone where they are not to be counted."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     kind = docs.schema["doc_id"].dataType
@@ -357,9 +430,10 @@ def _near_duplicates(docs: DataFrame, similarity: float, recall: float) -> DataF
     forest = _Forest(reps, sets_of, scratch, similarity)
     forest.grow(recall)
     classes = forest.classes
-    members = classes.join(reps.select("rid", "n"), "rid").select(F.col("root").alias("grp"), "rid", "n")
-    links = _compared(_in_blocks(members), forest.sets, similarity, 1)
-    counted = scratch.table(links.groupBy("rid").agg(F.sum("docs").alias("docs"), F.sum("reps").alias("reps")), "counted")
+    counted = spark.createDataFrame([], "rid bigint, docs bigint, reps bigint")
+    if count_links and forest.sets is not None:
+        members = scratch.table(classes.join(reps.select("rid", "n"), "rid").select(F.col("root").alias("grp"), "rid", "n"), "class_members")
+        counted = scratch.table(_linked(members, reps, forest.sets, scratch, similarity), "counted")
     named = reps.select("rid", F.struct("rep", "rep_row").alias("m"))
     least = classes.join(named, "rid").groupBy("root").agg(F.min("m").alias("m"))
     known = reps.join(classes.join(least, "root").select("rid", "m"), "rid", "left").join(counted, "rid", "left")
@@ -389,7 +463,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
     A row is known by its doc_id and a digest of its text, so rows whose doc_id is null or repeats go and stay by what their own
     texts are. The keys of rows that go are broadcast where there are few, else joined. Of rows with equal doc_id and text one stays.
     """
-    found = Scratch(docs.sparkSession).table(_near_duplicates(docs, similarity, recall).select("doc_id", "digest", "keeps"), "kept")
+    found = Scratch(docs.sparkSession).table(_near_duplicates(docs, similarity, recall, count_links=False).select("doc_id", "digest", "keeps"), "kept")
     per_row = found.groupBy("doc_id", "digest").agg(F.max("keeps").alias("keeps"), F.count(F.lit(1)).alias("n"))
     last = F.lit(2**63 - 1)
     gone = per_row.where(~F.col("keeps")).select(F.coalesce(F.col("doc_id").cast("long"), last).alias("_gone_id"), F.col("digest").alias("_gone_digest"))
