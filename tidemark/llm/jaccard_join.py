@@ -229,11 +229,13 @@ def _compared(dealt: DataFrame, sets: DataFrame, similarity: float, depth: int)
 def _in_blocks(members: DataFrame) -> DataFrame:
     """``members (grp, rid, n, near)`` dealt to blocks of bounded size, and every two blocks of a group to a task, but for two of near ones.
 
-    What is near has blocks of its own, behind the others'.
+    What is near has blocks of its own, behind the others', in groups that do not fit in one block; a group without others is left out.
     """
-    near = F.col("near")
     blocks = lambda side: F.ceil(F.greatest(F.count_if(side) / BLOCK_DOCS, F.coalesce(F.sum(F.when(side, F.col("n"))), F.lit(0)) / BLOCK_SHINGLES)).cast("int")
-    sizes = members.groupBy("grp").agg(blocks(~near).alias("far_blocks"), blocks(near).alias("near_blocks")).where("far_blocks > 0")
+    sizes = members.groupBy("grp").agg(blocks(F.lit(True)).alias("whole"), blocks(~F.col("near")).alias("far_blocks"), blocks(F.col("near")).alias("near_blocks")).where("far_blocks > 0")
+    one = F.col("whole") == 1
+    sizes = sizes.select("grp", "whole", F.when(one, 1).otherwise(F.col("far_blocks")).alias("far_blocks"), F.when(one, 0).otherwise(F.col("near_blocks")).alias("near_blocks"))
+    near = F.col("near") & ~one
     lot = lambda n: F.pmod(F.xxhash64("rid"), F.col(n)).cast("int")
     block = F.when(near, F.col("far_blocks") + lot("near_blocks")).otherwise(lot("far_blocks"))
     own = members.join(sizes, "grp").withColumn("block", block)
