@@ -237,8 +237,9 @@ def test_jaccard_join_against_all_pairs(spark, monkeypatch):
     links, root = near(texts)
     degree = Counter(itertools.chain(*links))
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], f"{DOCS}, key1 int").repartition(3)
-    for block in (384, 4):  # in one block, and in many that meet pairwise
+    for block, large in ((384, 8), (4, 8), (4, 1)):  # in one block, in many that meet pairwise, and by a center
         monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", block)
+        monkeypatch.setattr(jaccard_join, "LARGE_BLOCKS", large)
         got = {r["doc_id"]: (r["n_links"], r["class_id"]) for r in jaccard_join.near_duplicates(df).collect()}
         assert got == {i: (degree[i], root[i]) for i in range(len(texts))}
     kept = jaccard_join.keep_one(df)
@@ -332,6 +333,7 @@ def test_links_of_a_large_class_without_all_its_pairs(spark, monkeypatch):
     both = held @ held.T
     links = (both >= 0.8 * (size[:, None] + size[None, :] - both) - 1e-6).sum(1) - 1
 
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 128)
     compared, in_blocks = [], jaccard_join._in_blocks
 
     def watched(members):

@@ -24,6 +24,8 @@ DEEPEST = 8
 BLOCK_DOCS = 384
 BLOCK_SHINGLES = 500_000
 BROADCAST_IDS = 1_000_000
+#: From so many blocks on a class is measured against its center first; a smaller one is compared whole, each member with a bounded number of others.
+LARGE_BLOCKS = 8
 #: Members of a class, by a hash, whose signatures tell what most of the class have.
 TYPICAL = 256
 CHUNK = 4_096
@@ -274,7 +276,7 @@ def _near_center(members: DataFrame, reps: DataFrame, sets: DataFrame, scratch:
     The center is the member whose signature agrees most with what is most common in the class; whichever it is, only how many pairs
     are spared depends on it. Each member is compared with it once, in parts of bounded size.
     """
-    large = members.groupBy("grp").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK_DOCS)
+    large = members.groupBy("grp").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > LARGE_BLOCKS * BLOCK_DOCS)
     large = scratch.table(large.select("grp", F.ceil(F.col("members") / BLOCK_DOCS).cast("int").alias("parts")), "large")
     if large.isEmpty():
         return members.select("grp", "rid").limit(0)
