@@ -64,6 +64,44 @@ def test_files_read_as_written(spark, tmp_path, monkeypatch):
     assert small[".env"] == (None, 3) and bytes(small["a/b.bin"][0]) == b"\0\xff"
 
 
+def _shares(root, **options) -> list[list[str]]:
+    """What each partition of a folder reads."""
+    reader = files.FilesReader({"path": str(root), **options})
+    return [[p for b in reader.read(share) for p in b.column("path").to_pylist()] for share in reader.partitions()]
+
+
+@pytest.mark.parametrize("n", [60, 600])
+def test_more_directories_make_larger_partitions_not_more(tmp_path, monkeypatch, n):
+    monkeypatch.setattr(files, "PLANNED_DIRECTORIES", 20)
+    want = sorted(f"d{i}/{j}/a/x" for i in range(n) for j in range(5))
+    for f in want:
+        (tmp_path / f).parent.mkdir(parents=True)
+        (tmp_path / f).touch()
+    shares = [s for s in _shares(tmp_path, partitions="6") if s]
+    assert sorted(p for s in shares for p in s) == want and len(shares) <= 6
+    assert max(map(len, shares)) < 1.5 * len(want) / len(shares)
+
+
+def test_more_files_of_one_directory_make_larger_partitions_not_more(tmp_path):
+    want = sorted(f"flat/{i}" for i in range(3000))
+    (tmp_path / "flat").mkdir()
+    for f in want:
+        (tmp_path / f).touch()
+    shares = [s for s in _shares(tmp_path, partitions="6") if s]
+    assert sorted(p for s in shares for p in s) == want and len(shares) == 6 and max(map(len, shares)) < 700
+
+
+def test_planning_holds_no_list_of_a_wide_directory(tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "HELD_DIRECTORIES", 50, raising=False)
+    monkeypatch.setattr(files, "PLANNED_DIRECTORIES", 20)
+    want = [f"w/{i}/x" for i in range(400)] + [f"n/{i}/y/z" for i in range(30)] + ["top", "w/own"]
+    for f in want:
+        (tmp_path / f).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / f).touch()
+    shares = files.FilesReader({"path": str(tmp_path), "partitions": "6"}).partitions()
+    assert sum(len(s.of) for s in shares) < 100 and sorted(p for s in _shares(tmp_path, partitions="6") for p in s) == sorted(want)
+
+
 def test_scan_of_files_with_odd_ones(spark, tmp_path):
     root = tmp_path / "r"
     (root / "logs").mkdir(parents=True)

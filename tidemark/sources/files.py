@@ -18,10 +18,14 @@ FORMAT = "tidemark_files"
 SCHEMA = "path string, content binary, length bigint"
 #: Directories that planning lists at most; what lies deeper is listed by the tasks.
 PLANNED_DIRECTORIES = 1_000
-#: Files that a partition reads, more or less, of directories that planning has listed.
+#: Directories that planning hands on without having listed them; those of a directory that has more come by parts of its names.
+HELD_DIRECTORIES = 100_000
+#: Files that a partition reads at least, more or less, of directories that planning has listed.
 FILES_A_PARTITION = 200
-#: Directories beyond those that one task walks.
+#: Directories beyond those that one task walks at least.
 WALKED_TOGETHER = 16
+#: Partitions of either kind, more or less, where the session has no more than a quarter as many cores. A task takes as long to start as to read some 600 small files.
+PARTITIONS = 64
 BATCH_BYTES = 16 * 2**20
 
 # Executors need no copy of the package for this module.
@@ -48,12 +52,16 @@ def _listed(store, directory: str, skip: frozenset[str]) -> tuple[list, list[str
 
 @dataclass
 class Directory:
-    """The files of one directory whose names' hashes leave ``part`` of ``parts``; with ``below``, those of all directories in it too."""
+    """What one directory holds whose names' hashes leave ``part`` of ``parts``: its files and, with ``below``, all that lies in its directories too; without ``own``, in these only."""
 
     at: str
     below: bool = False
     part: int = 0
     parts: int = 1
+    own: bool = True
+
+    def has(self, path: str) -> bool:
+        return self.parts == 1 or zlib.crc32(posixpath.basename(path).encode()) % self.parts == self.part
 
 
 @dataclass
@@ -65,31 +73,41 @@ class Directories(InputPartition):
 
 class FilesReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.url, self.max_bytes = options["path"], int(options.get("maxbytes", "0"))
+        self.url, self.max_bytes, self.tasks = options["path"], int(options.get("maxbytes", "0")), int(options.get("partitions", PARTITIONS))
         self.skip = frozenset(x for x in options.get("skip", ".git").split(",") if x)
 
     def partitions(self) -> list[Directories]:
-        """Breadth first, down to PLANNED_DIRECTORIES: small directories are read together, a large one by parts of its names; those left are walked by tasks."""
+        """Breadth first, down to PLANNED_DIRECTORIES: small directories are read together, a large one by parts of its names; those left are walked by tasks.
+
+        More files and directories make partitions larger, not more: what is left is dealt in turn, so that each walks as much of every level.
+        """
         store, root = _opened(self.url)
-        out, level, listed, few, n_few, left = [], [root], 0, [], 0, []
+        level, listed, left, wide = [root], [], [], []
         while level:
             below = []
             for directory in level:
-                if listed == PLANNED_DIRECTORIES:
+                if len(listed) == PLANNED_DIRECTORIES:
                     left.append(Directory(directory, below=True))
                     continue
                 files, found = _listed(store, directory, self.skip)
-                listed += 1
-                below += found
-                parts = -(-len(files) // FILES_A_PARTITION)
-                if parts > 1:
-                    out += [Directories([Directory(directory, False, i, parts)]) for i in range(parts)]
-                    continue
-                few, n_few = [*few, Directory(directory)], n_few + len(files)
-                if n_few >= FILES_A_PARTITION:
-                    out, few, n_few = [*out, Directories(few)], [], 0
+                listed.append((directory, len(files)))
+                if len(below) + len(found) > HELD_DIRECTORIES:
+                    wide.append(directory)
+                else:
+                    below += found
             level = below
-        return [*out, Directories(few), *(Directories(left[i : i + WALKED_TOGETHER]) for i in range(0, len(left), WALKED_TOGETHER))]
+        most = -(-sum(n for _, n in listed) // self.tasks)
+        out, few, n_few, most = [], [], 0, max(most, FILES_A_PARTITION)
+        for directory, n in listed:
+            parts = -(-n // most)
+            if parts > 1:
+                out += [Directories([Directory(directory, False, i, parts)]) for i in range(parts)]
+                continue
+            few, n_few = [*few, Directory(directory)], n_few + n
+            if n_few >= most:
+                out, few, n_few = [*out, Directories(few)], [], 0
+        walks = self.tasks if wide else min(self.tasks, -(-len(left) // WALKED_TOGETHER))
+        return [*out, Directories(few), *(Directories(left[i::walks] + [Directory(w, True, i, walks, own=False) for w in wide]) for i in range(walks))]
 
     def _content(self, store, file) -> bytes | None:
         if self.max_bytes and file.size > self.max_bytes:
@@ -105,8 +123,8 @@ class FilesReader(DataSourceReader):
         while rest:
             directory = rest.pop()
             files, found = _listed(store, directory.at, self.skip)
-            rest += [Directory(f, below=True) for f in found] if directory.below else []
-            yield from (f for f in files if directory.parts == 1 or zlib.crc32(posixpath.basename(f.path).encode()) % directory.parts == directory.part)
+            rest += [Directory(f, below=True) for f in found if directory.has(f)] if directory.below else []
+            yield from (f for f in files if directory.own and directory.has(f.path))
 
     def read(self, partition: Directories) -> Iterator[pa.RecordBatch]:
         store, root = _opened(self.url)
@@ -119,7 +137,7 @@ class FilesReader(DataSourceReader):
         for f in self._files(store, partition):
             content = self._content(store, f)
             rows.append((posixpath.relpath(f.path, root), content, f.size))
-            size += len(content or b"")
+            size += len(content or b"") + len(f.path)
             if size >= BATCH_BYTES:
                 yield batch()
                 rows, size = [], 0
@@ -154,7 +172,7 @@ class FilesWriter(DataSourceWriter):
 
 
 class Files(DataSource):
-    """Files below the folder ``path``. Options: ``maxBytes``, above which contents are not read (null, their length known); ``skip``, names of directories left out."""
+    """Files below the folder ``path``. Options: ``maxBytes``, above which contents are not read (null, their length known); ``skip``, names of directories left out; ``partitions``, how many to read by, more or less."""
 
     @classmethod
     def name(cls) -> str:
@@ -176,11 +194,12 @@ class Files(DataSource):
 def read_files(spark: SparkSession, path: str, max_bytes: int | None = None, skip: tuple[str, ...] = (".git",)) -> DataFrame:
     """``(path, content, length)`` of all files below a folder that driver and executors share, by relative path; no name is hidden.
 
-    Planning lists up to PLANNED_DIRECTORIES directories, and tasks the rest; a large directory is read by several tasks. A file that cannot be read has null
+    Planning lists up to PLANNED_DIRECTORIES directories, and tasks the rest, four a core or PARTITIONS; a large directory is read by several tasks. A file that cannot be read has null
     content. Of files over ``max_bytes`` only the length is taken. Links that lead to no file are left out. An empty folder gives no rows.
     """
     spark.dataSource.register(Files)
-    reader = spark.read.format(FORMAT).option("skip", ",".join(skip))
+    tasks = max(PARTITIONS, 4 * spark.sparkContext.defaultParallelism)
+    reader = spark.read.format(FORMAT).option("skip", ",".join(skip)).option("partitions", str(tasks))
     return (reader if max_bytes is None else reader.option("maxBytes", str(max_bytes))).load(path)
 
 
