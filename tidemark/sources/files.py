@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 FORMAT = "tidemark_files"
@@ -150,23 +150,23 @@ class Written(WriterCommitMessage):
     paths: int
 
 
-class FilesWriter(DataSourceWriter):
+class FilesWriter(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str]):
         self.url = options["path"]
 
-    def write(self, iterator: Iterator) -> Written:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         """A file a row. Another attempt of a task writes the same files with the same contents."""
         store, root = _opened(self.url)
         n, there = 0, set()
-        for row in iterator:
-            at = posixpath.normpath(posixpath.join(root, row["path"]))
+        for path, content in (row for batch in iterator for row in zip(batch.column("path"), batch.column("content"), strict=True)):
+            at = posixpath.normpath(posixpath.join(root, path.as_py()))
             if not at.startswith(root.rstrip("/") + "/"):
                 raise ValueError("a path leads out of the folder that is written")
             if (folder := posixpath.dirname(at)) not in there:
                 store.create_dir(folder, recursive=True)
                 there.add(folder)
             with store.open_output_stream(at) as f:
-                f.write(bytes(row["content"] or b""))
+                f.write(content.as_py() or b"")
             n += 1
         return Written(n)
 
